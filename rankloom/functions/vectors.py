@@ -32,30 +32,31 @@ def term_vector(text: Column) -> Column:
     return bind(F.sort_array(tokens(text)), count)
 
 
+def term_map(text: Column) -> Column:
+    """The same vector as map<term, tf>, the form for pairwise products."""
+    return F.map_from_entries(term_vector(text))
+
+
 def squared_norm(vector: Column) -> Column:
     return F.aggregate(
         vector, F.lit(0).cast("long"), lambda acc, e: acc + e["tf"].cast("long") * e["tf"]
     )
 
 
-def sparse_dot(first: Column, second: Column) -> Column:
-    """Dot product of two term vectors: sort both together, multiply neighbours."""
+def map_squared_norm(vector: Column) -> Column:
+    return F.aggregate(
+        F.map_values(vector), F.lit(0).cast("long"), lambda acc, tf: acc + tf.cast("long") * tf
+    )
 
-    def tagged(vector: Column) -> Column:
-        return F.transform(
-            vector, lambda e: F.struct(e["term"].alias("term"), e["tf"].cast("long").alias("tf"))
-        )
 
-    def add_up(es: Column) -> Column:
-        products = F.transform(
-            es,
-            lambda e, i: F.when(
-                F.get(es, i - 1)["term"] == e["term"], F.get(es, i - 1)["tf"] * e["tf"]
-            ).otherwise(F.lit(0).cast("long")),
-        )
-        return F.aggregate(products, F.lit(0).cast("long"), lambda acc, p: acc + p)
-
-    return bind(F.sort_array(F.concat(tagged(first), tagged(second))), add_up)
+def sparse_dot(first: Column, second: Column) -> Column:
+    """Dot product of two term maps; both are read once, matched by hash."""
+    products = F.map_zip_with(first, second, lambda _, a, b: a.cast("long") * b)
+    return F.aggregate(
+        F.map_values(products),
+        F.lit(0).cast("long"),
+        lambda acc, p: acc + F.coalesce(p, F.lit(0).cast("long")),
+    )
 
 
 def clipped_cosine(dot: Column, first_norm2: Column, second_norm2: Column) -> Column:
@@ -67,7 +68,9 @@ def clipped_cosine(dot: Column, first_norm2: Column, second_norm2: Column) -> Co
 
 
 def sparse_cosine(first: Column, second: Column) -> Column:
-    return clipped_cosine(sparse_dot(first, second), squared_norm(first), squared_norm(second))
+    return clipped_cosine(
+        sparse_dot(first, second), map_squared_norm(first), map_squared_norm(second)
+    )
 
 
 def dense_dot(first: Column, second: Column) -> Column:

@@ -11,9 +11,9 @@ from rankloom.functions.vectors import (
     candidate_text,
     clipped_cosine,
     job_text,
+    map_squared_norm,
     sparse_dot,
-    squared_norm,
-    term_vector,
+    term_map,
 )
 from rankloom.operators.joins import lookup_join, skew_join
 from rankloom.schemas import FEATURE_COLUMNS
@@ -51,21 +51,21 @@ def experience_match(candidate_years: Column, required_years: Column) -> Column:
     )
 
 
-def coverage(text: Column, found: Column, terms: Column) -> Column:
-    """Share of ``terms`` in a text whose phrases are ``found``; both lower-cased.
+def coverage(text: Column, found: Column, plain: Column, odd: Column) -> Column:
+    """Share of the job's terms in a text whose phrases are ``found``; all lower-cased.
 
-    Terms that phrases cannot express are tested by pattern on the text itself.
+    ``odd`` terms, which phrases cannot express, are tested by pattern on the text.
     """
+    edge = f"[{TERM_CHARS}]"
 
-    def occurs(fs: Column, t: Column) -> Column:
-        edge = f"[{TERM_CHARS}]"
+    def occurs(t: Column) -> Column:
         pattern = F.concat(F.lit(rf"(?<!{edge})\Q"), t, F.lit(rf"\E(?!{edge})"))
-        return F.when(t.rlike(_PLAIN), F.array_contains(fs, t)).otherwise(
-            F.regexp_like(text, pattern)
-        )
+        return F.regexp_like(text, pattern)
 
-    hits = F.size(bind(found, lambda fs: F.filter(terms, lambda t: occurs(fs, t))))
-    return F.when(F.size(terms) > 0, hits.cast("double") / F.size(terms)).otherwise(F.lit(0.0))
+    in_text = F.when(F.size(odd) > 0, F.size(F.filter(odd, occurs))).otherwise(F.lit(0))
+    hits = F.size(F.array_intersect(plain, found)) + in_text
+    terms = F.size(plain) + F.size(odd)
+    return F.when(terms > 0, hits.cast("double") / terms).otherwise(F.lit(0.0))
 
 
 def candidate_profile(
@@ -89,7 +89,7 @@ def candidate_profile(
         _degrees_named(F.lower(F.array_join(degrees, " "))).alias("degrees"),
         F.lower(F.array_join(project_words, " ")).alias("project_text"),
         F.col("years_of_experience").alias("candidate_years"),
-        *([term_vector(text).alias("candidate_vector")] if vectors else []),
+        *([term_map(text).alias("candidate_vector")] if vectors else []),
     )
     found = bind(
         runs(F.col("project_text")),
@@ -99,7 +99,7 @@ def candidate_profile(
     )
     full = base.withColumn("project_phrases", found)
     if vectors:
-        full = full.withColumn("candidate_norm2", squared_norm(F.col("candidate_vector")))
+        full = full.withColumn("candidate_norm2", map_squared_norm(F.col("candidate_vector")))
     return full
 
 
@@ -129,9 +129,17 @@ def job_profile(
         (F.size("programming_languages") > 0).alias("has_language"),
         (F.size("frameworks") > 0).alias("has_framework"),
         (F.size("tools") > 0).alias("has_tool"),
-        *([term_vector(text).alias("job_vector")] if vectors else []),
+        *([term_map(text).alias("job_vector")] if vectors else []),
     )
-    return base.withColumn("job_norm2", squared_norm(F.col("job_vector"))) if vectors else base
+    split_terms = base.withColumns(
+        {
+            "plain_terms": F.filter("project_terms", lambda t: t.rlike(_PLAIN)),
+            "odd_terms": F.filter("project_terms", lambda t: ~t.rlike(_PLAIN)),
+        }
+    ).drop("project_terms")
+    if not vectors:
+        return split_terms
+    return split_terms.withColumn("job_norm2", map_squared_norm(F.col("job_vector")))
 
 
 def join_pairs(pairs: DataFrame, candidates: DataFrame, jobs: DataFrame) -> DataFrame:
@@ -187,7 +195,10 @@ def pair_features(
             F.col("held_keys"), F.col("certification_keys")
         ),
         "project_relevance_score": coverage(
-            F.col("project_text"), F.col("project_phrases"), F.col("project_terms")
+            F.col("project_text"),
+            F.col("project_phrases"),
+            F.col("plain_terms"),
+            F.col("odd_terms"),
         ),
         "programming_language_match": match_ratio(skills, F.col("language_keys")),
         "framework_match": match_ratio(skills, F.col("framework_keys")),

@@ -40,7 +40,11 @@ def skew_join(
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
+    # A stated partition count keeps adaptive execution from merging the small but
+    # costly partitions of this one exchange into too few tasks.
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salted_left = left.join(hot, key, "left").withColumn("_salt", spread).drop("_hot")
+    salted_left = salted_left.repartition(tasks, key, "_salt")
     salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
