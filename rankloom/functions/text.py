@@ -192,24 +192,23 @@ def term_keys(values: Column) -> Column:
     return F.array_distinct(F.filter(keys, lambda k: k != ""))
 
 
-def matching_terms(have: Column, required: Column) -> Column:
-    """Required terms that ``have`` contains, in required order (semi-join)."""
-    return bind(
-        F.transform(have, token_key),
-        lambda hs: F.filter(
-            distinct_terms(required), lambda r: F.array_contains(hs, token_key(r))
-        ),
+def keyed_terms(values: Column) -> Column:
+    """Distinct terms with their token key: array<key, term>, first spelling first."""
+    return F.transform(
+        distinct_terms(values), lambda v: F.struct(token_key(v).alias("key"), v.alias("term"))
     )
 
 
-def missing_terms(have: Column, required: Column) -> Column:
-    """Required terms that ``have`` lacks, in required order (anti-join)."""
-    return bind(
-        F.transform(have, token_key),
-        lambda hs: F.filter(
-            distinct_terms(required), lambda r: ~F.array_contains(hs, token_key(r))
-        ),
-    )
+def matching_terms(have_keys: Column, required: Column) -> Column:
+    """Keyed terms whose key is among ``have_keys``, in required order (semi-join)."""
+    kept = F.filter(required, lambda r: F.array_contains(have_keys, r["key"]))
+    return F.transform(kept, lambda r: r["term"])
+
+
+def missing_terms(have_keys: Column, required: Column) -> Column:
+    """Keyed terms whose key is not among ``have_keys``, in required order (anti-join)."""
+    kept = F.filter(required, lambda r: ~F.array_contains(have_keys, r["key"]))
+    return F.transform(kept, lambda r: r["term"])
 
 
 def match_ratio(have_keys: Column, required_keys: Column) -> Column:

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.dictionary import phrases, runs
-from rankloom.functions.text import bind, distinct_terms, match_ratio, term_keys
+from rankloom.functions.text import (
+    bind,
+    distinct_terms,
+    keyed_terms,
+    match_ratio,
+    term_keys,
+)
 from rankloom.functions.vectors import (
     candidate_text,
     clipped_cosine,
@@ -83,7 +89,7 @@ def candidate_profile(
     base = candidates.select(
         "candidate_id",
         F.col("name").alias("candidate_name"),
-        F.col("skills").alias("candidate_skills"),
+        F.size("skills").alias("skill_count"),
         term_keys(F.col("skills")).alias("skill_keys"),
         term_keys(F.transform("certifications", lambda c: c["name"])).alias("held_keys"),
         _degrees_named(F.lower(F.array_join(degrees, " "))).alias("degrees"),
@@ -112,8 +118,8 @@ def job_profile(
     base = jobs.select(
         "job_id",
         F.col("title").alias("job_title"),
-        F.col("required_skills").alias("job_required"),
-        F.col("preferred_skills").alias("job_preferred"),
+        keyed_terms(every_skill).alias("job_wanted"),
+        keyed_terms(F.col("required_skills")).alias("job_required"),
         term_keys(every_skill).alias("wanted_keys"),
         term_keys(F.col("required_skills")).alias("required_keys"),
         term_keys(F.col("programming_languages")).alias("language_keys"),
@@ -209,7 +215,7 @@ def pair_features(
         "number_of_matching_skills": F.size(
             F.array_intersect("required_keys", "skill_keys")
         ).cast("double"),
-        "total_candidate_skills": F.size("candidate_skills").cast("double"),
+        "total_candidate_skills": F.col("skill_count").cast("double"),
     }
     return rows.select(
         "candidate_id",

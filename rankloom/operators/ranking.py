@@ -96,12 +96,17 @@ def name_or_stem(name: Column, path: Column) -> Column:
     return F.coalesce(F.nullif(name, F.lit("")), stem)
 
 
+def round_half_even(value: Column, digits: int) -> Column:
+    """Scale, round to the nearest integer with ties to even, scale back."""
+    return F.rint(value * float(10**digits)) / float(10**digits)
+
+
 def rankings(ranked: DataFrame, name: Column | None = None) -> DataFrame:
     """Output columns, similarity to 4 and score to 2 decimals, half-even."""
     return ranked.select(
         "job_id",
         "rank",
         (F.col("candidate_name") if name is None else name).alias("candidate_name"),
-        F.bround("semantic_similarity", 4).alias("similarity_score"),
-        F.bround(SCORE, 2).alias("predicted_score"),
+        round_half_even(F.col("semantic_similarity"), 4).alias("similarity_score"),
+        round_half_even(F.col(SCORE), 2).alias("predicted_score"),
     )

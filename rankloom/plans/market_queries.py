@@ -19,6 +19,7 @@ from rankloom.operators.ranking import (
     rank_all,
     rank_top,
     rankings,
+    round_half_even,
     score_by_formula,
 )
 from rankloom.operators.records import parse_candidates, parse_jobs
@@ -281,19 +282,21 @@ FROM pairs p LEFT JOIN have USING (c) LEFT JOIN need USING (s) LEFT JOIN every U
 )
 def matched_and_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched skills of required-then-preferred, missing required skills."""
+    wanted = F.concat("required_skills", "preferred_skills")
     rows = join_pairs(
         market_applications(spark, sf_dir),
-        candidates(spark, sf_dir).select("candidate_id", "skills"),
-        jobs(spark, sf_dir).select("job_id", "required_skills", "preferred_skills"),
+        candidates(spark, sf_dir).select("candidate_id", X.term_keys(F.col("skills")).alias("keys")),
+        jobs(spark, sf_dir).select(
+            "job_id",
+            X.keyed_terms(wanted).alias("wanted"),
+            X.keyed_terms(F.col("required_skills")).alias("required"),
+        ),
     )
-    every = X.distinct_terms(F.concat("required_skills", "preferred_skills"))
-    return rows.withColumn("every", every).select(
+    return rows.select(
         *_PAIR,
-        F.array_join(X.matching_terms(F.col("skills"), F.col("every")), ", ").alias("matched"),
-        F.array_join(
-            X.missing_terms(F.col("skills"), F.col("required_skills")), ", "
-        ).alias("missing"),
-        F.size("every").cast("long").alias("n_wanted"),
+        F.array_join(X.matching_terms(F.col("keys"), F.col("wanted")), ", ").alias("matched"),
+        F.array_join(X.missing_terms(F.col("keys"), F.col("required")), ", ").alias("missing"),
+        F.size("wanted").cast("long").alias("n_wanted"),
     )
 
 
@@ -312,7 +315,7 @@ def _best_paid_job(spark: SparkSession, sf_dir: str) -> str:
     truth(_ONE_JOB)
     + f"""
 SELECT s::VARCHAR AS job_id, rank, CASE WHEN seg = 'HOUSEHOLD' THEN '' ELSE seg || ' NATION' END AS candidate_name,
-  round_even(semantic_similarity, 4) AS similarity_score, round_even(round(score, 6), 2) AS predicted_score
+  round_even(semantic_similarity * 10000, 0) / 10000 AS similarity_score, round_even(round(score, 6) * 100, 0) / 100 AS predicted_score
 FROM ranked JOIN cust USING (c)""",
 )
 def single_job_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -455,7 +458,7 @@ def forest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     truth()
     + """
 SELECT s::VARCHAR AS job_id, rank, c::VARCHAR AS candidate_id,
-  round_even(semantic_similarity, 4) AS similarity_score, round(score, 6) AS score,
+  round_even(semantic_similarity * 10000, 0) / 10000 AS similarity_score, round(score, 6) AS score,
   75.0::DOUBLE AS confidence
 FROM ranked WHERE rank <= 10""",
 )
@@ -466,7 +469,7 @@ def top_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "job_id",
         F.col("rank").cast("long").alias("rank"),
         "candidate_id",
-        F.bround("semantic_similarity", 4).alias("similarity_score"),
+        round_half_even(F.col("semantic_similarity"), 4).alias("similarity_score"),
         F.col(SCORE).alias("score"),
         F.col(CONFIDENCE).alias("confidence"),
     )
