@@ -14,7 +14,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from rankloom.functions.text import bind
+from rankloom.functions.text import bind, constant_array, constant_map
 from rankloom.vocabulary import TERM_CHARS
 
 _PLAIN_TERM = re.compile(rf"[{TERM_CHARS}]+(?: [{TERM_CHARS}]+)*")
@@ -72,12 +72,13 @@ def dictionary_terms(text: Column, terms) -> Column:
             F.when(lowered.rlike(rf"(?<!{edge})\Q{t}\E(?!{edge})"), F.lit(t)) for t in odd
         ]
         candidates = F.concat(candidates, F.array_compact(F.array(*tests)))
-    matched = F.array_intersect(F.array(*[F.lit(t) for t in spellings]), candidates)
+    matched = F.array_intersect(constant_array(spellings), candidates)
     respelled = {k: v for k, v in spellings.items() if k != v}
     if not respelled:
         return matched
-    lookup = F.create_map(*[F.lit(x) for pair in respelled.items() for x in pair])
-    return F.transform(matched, lambda t: F.coalesce(F.element_at(lookup, t), t))
+    return F.transform(
+        matched, lambda t: F.coalesce(F.element_at(constant_map(respelled), t), t)
+    )
 
 
 def keyword_coverage(text: Column, terms) -> Column:

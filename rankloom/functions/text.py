@@ -49,6 +49,17 @@ def bind(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
 
 
+def constant_array(values) -> Column:
+    """A string array as one literal; Catalyst folds the split away."""
+    return F.split(F.lit("\x1f".join(values)), "\x1f")
+
+
+def constant_map(entries: dict) -> Column:
+    """A string map as one literal, folded like ``constant_array``."""
+    joined = "\x1f".join(f"{key}\x1e{value}" for key, value in entries.items())
+    return F.str_to_map(F.lit(joined), F.lit("\x1f"), F.lit("\x1e"))
+
+
 def strip(text: Column, chars: str = WHITESPACE) -> Column:
     return F.btrim(text, F.lit(chars))
 
@@ -107,8 +118,7 @@ def header_key(line: Column) -> Column:
 
 def section_name(line: Column, aliases: dict) -> Column:
     """Section a header line opens, null for any other line."""
-    entries = [(a, s) for s, names in aliases.items() for a in names]
-    lookup = F.create_map(*[F.lit(x) for pair in entries for x in pair])
+    lookup = constant_map({a: s for s, names in aliases.items() for a in names})
     return F.element_at(lookup, header_key(line))
 
 

@@ -21,7 +21,7 @@ from rankloom.functions.vectors import (
     sparse_dot,
     term_map,
 )
-from rankloom.operators.joins import lookup_join, skew_join
+from rankloom.operators.joins import SMALL_BYTES, is_small, lookup_join, skew_join
 from rankloom.schemas import FEATURE_COLUMNS
 from rankloom.vocabulary import DEGREE_EQUIVALENTS, TERM_CHARS
 
@@ -148,13 +148,16 @@ def job_profile(
     return split_terms.withColumn("job_norm2", map_squared_norm(F.col("job_vector")))
 
 
-def join_pairs(pairs: DataFrame, candidates: DataFrame, jobs: DataFrame) -> DataFrame:
+def join_pairs(
+    pairs: DataFrame, candidates: DataFrame, jobs: DataFrame, small_jobs: bool | None = None
+) -> DataFrame:
     """Pair rows with both prepared sides.
 
     Jobs are broadcast when measured small. Candidates meet their pairs in one
     exchange on candidate_id, in which hot candidates are split.
     """
-    return lookup_join(skew_join(pairs, candidates, "candidate_id"), jobs, "job_id")
+    met = skew_join(pairs, candidates, "candidate_id")
+    return lookup_join(met, jobs, "job_id", small_jobs)
 
 
 def pair_features(
@@ -173,10 +176,14 @@ def pair_features(
     row to pass on, such as ``candidate_name``.
     """
     own_vectors = similarity is None
+    # A job's profile holds a few copies of terms of its text, so the text is measured:
+    # that needs none of the parsed columns.
+    small_jobs = is_small(jobs.select("job_id", "raw_text"), max_bytes=SMALL_BYTES // 4)
     rows = join_pairs(
         pairs.select("candidate_id", "job_id"),
         candidate_profile(candidates, candidate_text, own_vectors),
         job_profile(jobs, job_text, own_vectors),
+        small_jobs,
     )
     if own_vectors:
         cosine = clipped_cosine(

@@ -24,9 +24,8 @@ def skew_join(
     key: str,
     hot_rows: int = HOT_ROWS,
     salts: int = SALTS,
-    how: str = "inner",
 ) -> DataFrame:
-    """Equi-join where a few keys may hold most rows of ``left``.
+    """Inner equi-join where a few keys may hold most rows of ``left``.
 
     Keys with more than ``hot_rows`` left rows are spread over ``salts`` tasks;
     only their right rows are repeated. At most rows / hot_rows keys can be hot,
@@ -46,14 +45,19 @@ def skew_join(
     salted_left = left.join(hot, key, "left").withColumn("_salt", spread).drop("_hot")
     salted_left = salted_left.repartition(tasks, key, "_salt")
     salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
+    return salted_left.join(salted_right, [key, "_salt"]).drop("_salt")
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner", **skew) -> DataFrame:
-    """Broadcast ``right`` when measured small, otherwise a skew-safe shuffle join."""
-    if is_small(right):
-        return left.join(F.broadcast(right), key, how)
-    return skew_join(left, right, key, how=how, **skew)
+def lookup_join(
+    left: DataFrame, right: DataFrame, key: str, small: bool | None = None, **skew
+) -> DataFrame:
+    """Broadcast ``right`` when it is small, otherwise a skew-safe shuffle join.
+
+    ``small`` passes on a measurement already made; by default ``right`` is measured.
+    """
+    if is_small(right) if small is None else small:
+        return left.join(F.broadcast(right), key)
+    return skew_join(left, right, key, **skew)
 
 
 def spread(df: DataFrame) -> DataFrame:

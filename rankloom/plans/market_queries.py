@@ -49,8 +49,10 @@ from rankloom.plans.market_truth import (
     features as truth,
 )
 from rankloom.schemas import CANDIDATE_FIELDS, FEATURE_COLUMNS, TARGET_COLUMN
-from rankloom.session import scratch_path
+from rankloom.plans.jobs import train_model
+from rankloom.session import scratch_path, shared_dir
 from rankloom.sources.files import (
+    exists,
     from_record,
     read_training,
     reuse_or_create,
@@ -421,32 +423,52 @@ def training_csv_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_training(spark, path).select(*_rounded(columns))
 
 
+def _run_path(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A path shared by the queries of one application on one data set."""
+    data = sf_dir.strip("/").replace("/", "_")
+    return f"{shared_dir(spark).rstrip('/')}/{spark.sparkContext.applicationId}-{data}-{name}"
+
+
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows, built once per run folder and read again afterwards."""
-    path = scratch_path(spark, "training")
+    """Noisy training rows, built by the first query that needs them."""
+    path = _run_path(spark, sf_dir, "training")
     return reuse_or_create(spark, path, lambda: with_target(features(spark, sf_dir)))
 
 
-@query("A11 A12 H4 H5 H6 H10")
+def _model(spark: SparkSession, sf_dir: str):
+    """The default forest, trained and saved by the first query that needs it."""
+    path = _run_path(spark, sf_dir, "model")
+    if not exists(spark, f"{path}/metadata/_SUCCESS"):
+        train_model(_training(spark, sf_dir), path, labelled=True, folds=0)
+    return forest.load_model(path)
+
+
+@query("A11 A12 H3 H4 H5 H10")
 def forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train the default forest on noisy labels; hold-out and five-fold errors."""
-    _, metrics = forest.train(_training(spark, sf_dir))
-    return metrics
+    """Hold-out errors of the default forest trained on the noisy labels."""
+    rows = exact_holdout(_training(spark, sf_dir), _PAIR).where("is_test")
+    scored = _model(spark, sf_dir).transform(forest.assemble(rows))
+    return forest.error_metrics(scored)
+
+
+@query("H6")
+def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five-fold RMSE, mean and population deviation, of a smaller forest."""
+    mean, deviation = forest.cross_validate(_training(spark, sf_dir), _PAIR, trees=20, depth=6)
+    columns = "cross_validation_rmse_mean double, cross_validation_rmse_std double"
+    return spark.createDataFrame([(mean, deviation)], columns)
 
 
-@query("H4 H7")
+@query("H7")
 def forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    model, _ = forest.train(_training(spark, sf_dir), folds=0)
-    return forest.importances(spark, model)
+    return forest.importances(spark, _model(spark, sf_dir))
 
 
 @query("A11 E8 I1 I2 I4 I5 I9 K2")
 def forest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Train, save, reload, score every application and keep ten per job."""
-    rows = _training(spark, sf_dir)
-    model, _ = forest.train(rows, folds=0)
-    loaded = forest.load_model(forest.save_model(model, scratch_path(spark, "model")))
-    best = rank_top(forest.predict(loaded, rows), 10)
+    """Score every application with the saved forest and keep ten per job."""
+    scored = forest.predict(_model(spark, sf_dir), _training(spark, sf_dir))
+    best = rank_top(scored, 10)
     return best.select("job_id", "rank", "candidate_id", SCORE, CONFIDENCE)
 
 
