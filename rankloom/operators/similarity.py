@@ -23,6 +23,7 @@ from rankloom.vocabulary import TARGET_WEIGHTS
 _COSINE_WEIGHT = TARGET_WEIGHTS["semantic_similarity"]
 _COVERAGE_WEIGHT = TARGET_WEIGHTS["skill_match_percentage"]
 MATRIX_CELLS = 8_000_000
+_GATHERED_CELLS = 16_000_000
 
 
 def vectorize(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -107,30 +108,37 @@ class _ProfileBlock:
         for column, row in enumerate(rows):
             at = self.index.get_indexer([e["term"] for e in row["vector"]])
             self.weights[at, column] = [e["tf"] for e in row["vector"]]
+        self.present = (self.weights > 0).astype(float)
         self.norm2 = np.array([float(r["norm2"]) for r in rows])
         self.terms = np.array([float(len(r["vector"])) for r in rows])
 
+    def pieces(self, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """The batch in pieces whose gathered weights fit in a bounded buffer."""
+        if len(batch):
+            longest = max(1, min(int(batch["terms"].map(len).max()), len(self.index)))
+            rows = max(1, _GATHERED_CELLS // (longest * len(self.jobs)))
+            for start in range(0, len(batch), rows):
+                yield batch.iloc[start : start + rows]
+
     def score(self, pdf: pd.DataFrame):
-        """Yield (rows, shared, cosine, coverage, score) for slices of a batch."""
+        """(shared, cosine, coverage, score) matrices: batch rows by jobs."""
         lengths = pdf["terms"].map(len).to_numpy()
         terms = self.index.get_indexer(np.concatenate(pdf["terms"].to_numpy()))
         tf = np.concatenate(pdf["tfs"].to_numpy()).astype(float)
-        owner = np.repeat(np.arange(len(pdf)), lengths)
         known = terms >= 0
-        terms, tf, owner = terms[known], tf[known], owner[known]
-        bounds = np.searchsorted(owner, np.arange(len(pdf) + 1))
+        row = np.repeat(np.arange(len(pdf)), lengths)[known]
+        terms, tf = terms[known], tf[known]
         dots = np.zeros((len(pdf), len(self.jobs)))
         shared = np.zeros((len(pdf), len(self.jobs)))
-        present = self.weights > 0
-        for i in range(len(pdf)):
-            mine = slice(bounds[i], bounds[i + 1])
-            dots[i] = tf[mine] @ self.weights[terms[mine]]
-            shared[i] = present[terms[mine]].sum(axis=0)
+        if len(row):
+            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
+            dots[row[starts]] = np.add.reduceat(self.weights[terms] * tf[:, None], starts)
+            shared[row[starts]] = np.add.reduceat(self.present[terms], starts)
         norm2 = pdf["norm2"].to_numpy(dtype=float)
         scale = np.sqrt(norm2)[:, None] * np.sqrt(self.norm2)[None, :]
         cosine = np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0)
         cosine = np.clip(cosine, 0.0, 1.0)
-        coverage = np.divide(shared, self.terms, out=np.zeros_like(shared), where=self.terms > 0)
+        coverage = shared / self.terms
         total = _COSINE_WEIGHT * cosine + _COVERAGE_WEIGHT * coverage
         return shared, cosine, coverage, np.clip(total, 0.0, 1.0) * 100.0
 
@@ -167,15 +175,15 @@ def _block_scores(candidates: DataFrame, profile_rows: list, k: int) -> DataFram
     def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         block = shipped.value
         kept = None
-        for pdf in batches:
-            if len(pdf):
+        for batch in batches:
+            for pdf in block.pieces(batch):
                 found = _best_of_batch(block, pdf, k)
                 kept = _keep_best(found if kept is None else pd.concat([kept, found]), k)
         if kept is not None and len(kept):
             kept["job_id"] = np.array(block.jobs, dtype=object)[kept["job"].to_numpy()]
             yield kept[["job_id", "candidate_id", "shared", "cosine", "coverage", "score"]]
 
-    flat = candidates.where(F.size("vector") > 0).select(
+    flat = candidates.select(
         "candidate_id",
         "norm2",
         F.transform("vector", lambda e: e["term"]).alias("terms"),

@@ -110,7 +110,6 @@ def customer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sort_array(F.collect_set("o_orderstatus")).alias("statuses"),
         F.sort_array(F.collect_set(period)).alias("periods"),
         F.min("ordered").alias("first_year"),
-        F.count_distinct("ordered").alias("active_years"),
     )
 
 
@@ -174,7 +173,8 @@ def candidate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = customer.join(customer_facts(spark, sf_dir), "c_custkey", "left")
     empty = F.array().cast("array<string>")
     segment, country = F.col("c_mktsegment"), F.col("n_name")
-    years = F.coalesce("active_years", F.lit(0)).cast("string")
+    active = F.array_distinct(F.transform("periods", lambda p: p["year"]))
+    years = F.coalesce(F.size(active), F.lit(0)).cast("string")
     text = F.concat_ws(
         "\n",
         F.when(segment == "HOUSEHOLD", segment).otherwise(F.concat_ws(" ", segment, country)),
