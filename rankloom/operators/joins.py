@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SMALL_ROWS = 20_000
 SMALL_BYTES = 64 * 1024 * 1024
@@ -22,7 +23,7 @@ def skew_join(
     left: DataFrame,
     right: DataFrame,
     key: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
     salts: int = SALTS,
 ) -> DataFrame:
     """Inner equi-join where a few keys may hold most rows of ``left``.
@@ -31,10 +32,13 @@ def skew_join(
     only their right rows are repeated. At most rows / hot_rows keys can be hot,
     which bounds the broadcast list of them.
     """
-    counts = left.groupBy(key).count().where(F.col("count") > hot_rows)
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    counts = left.groupBy(key).count().where(F.col("count") > limit)
     hot = F.broadcast(counts.select(key, F.lit(True).alias("_hot")))
+    nested = (T.MapType, T.ArrayType, T.StructType)
+    plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, nested)]
     spread = F.when(
-        F.col("_hot"), F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+        F.col("_hot"), F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
     ).otherwise(F.lit(0))
     copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))

@@ -61,9 +61,10 @@ def _weak_score(cosine: Column, coverage: Column) -> Column:
     return F.greatest(F.least(total, F.lit(1.0)), F.lit(0.0)) * 100.0
 
 
-def _entries(vectors: DataFrame, id_column: str) -> DataFrame:
-    return vectors.select(id_column, "norm2", F.explode("vector").alias("e")).select(
-        id_column, "norm2", F.col("e.term").alias("term"), F.col("e.tf").cast("long").alias("tf")
+def _entries(vectors: DataFrame, *columns: str) -> DataFrame:
+    """One row per term of a vector, next to the named columns."""
+    return vectors.select(*columns, F.explode("vector").alias("e")).select(
+        *columns, F.col("e.term").alias("term"), F.col("e.tf").cast("long").alias("tf")
     )
 
 
@@ -76,11 +77,10 @@ def shared_term_scores(
     on the map side before the exchange on the pair.
     """
     salt = F.pmod(F.xxhash64("candidate_id"), F.lit(salts)).cast("int")
-    left = _entries(candidates, "candidate_id").withColumn("salt", salt)
+    left = _entries(candidates, "candidate_id", "norm2").withColumn("salt", salt)
     right = (
-        _entries(profiles.withColumn("terms", F.size("vector")), "job_id")
+        _entries(profiles.withColumn("terms", F.size("vector")), "job_id", "norm2", "terms")
         .withColumnsRenamed({"norm2": "job_norm2", "tf": "job_tf"})
-        .join(profiles.select("job_id", F.size("vector").alias("terms")), "job_id")
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     )
     sums = (

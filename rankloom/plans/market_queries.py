@@ -321,7 +321,7 @@ SELECT s::VARCHAR AS job_id, rank, CASE WHEN seg = 'HOUSEHOLD' THEN '' ELSE seg
 FROM ranked JOIN cust USING (c)""",
 )
 def single_job_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customers for one job: the full ranking the reference task produces."""
+    """All customers for one job, fully ranked."""
     everyone = candidate_documents(spark, sf_dir).select(F.col("doc_id").alias("candidate_id"))
     pairs = assign(everyone, [_best_paid_job(spark, sf_dir)])
     rows = features(spark, sf_dir, pairs, keep=("candidate_name",))

@@ -146,6 +146,66 @@ INTERVIEW_BANDS = (
 )
 SCORE_LABELS = ((0.75, "high"), (0.50, "moderate"), (None, "low"))
 
+# Review rules in output order.
+# (feature, reaches, stays below or None, text)
+STRENGTHS = (
+    ("semantic_similarity", 0.75, None, "Strong semantic similarity with the job description"),
+    ("semantic_similarity", 0.65, 0.75, "Good semantic similarity with the job description"),
+    ("skill_match_percentage", 0.70, None, "Strong match against required and preferred skills"),
+    ("experience_match_score", 0.80, None, "High experience match for the role"),
+    ("education_match_score", 0.80, None, "Relevant education for the role"),
+    ("certification_match_score", 0.80, None, "Relevant certifications are present"),
+    ("project_relevance_score", 0.60, None, "Relevant projects align with job requirements"),
+    ("programming_language_match", 0.70, None, "Good programming language match"),
+    ("framework_match", 0.70, None, "Good framework match"),
+    ("tools_match", 0.70, None, "Good tools and platform match"),
+)
+MISSING_SKILLS = "Missing required skills: "
+# (required flag or None, feature, stays below or "zero", text)
+WEAKNESSES = (
+    (None, "skill_match_percentage", 0.50, "Overall skill match is low"),
+    (None, "experience_match_score", 0.70, "Experience match is below the role requirement"),
+    ("has_education", "education_match_score", 0.50,
+     "Education alignment is limited or not clearly stated"),
+    ("has_certification", "certification_match_score", "zero",
+     "Relevant certification match was not identified"),
+    ("has_language", "programming_language_match", 0.50, "Programming language match is limited"),
+    ("has_framework", "framework_match", "zero",
+     "Framework experience is missing or not clearly stated"),
+    ("has_tool", "tools_match", "zero", "Tools or cloud technology match is missing"),
+    (None, "project_relevance_score", 0.40, "Project relevance to the role is limited"),
+)
+ADD_SKILL = ("Add ", " if you have hands-on experience.")
+RECOMMENDATIONS = (
+    (None, "project_relevance_score", 0.60,
+     "Highlight projects that directly use the role's key skills."),
+    ("has_tool", "tools_match", 0.50,
+     "Mention relevant tools, cloud platforms, and deployment work."),
+    ("has_framework", "framework_match", 0.50,
+     "Add framework experience that matches the job description."),
+    ("has_language", "programming_language_match", 0.50,
+     "Emphasize programming languages requested by the role."),
+    (None, "experience_match_score", 0.80, "Clarify total years of relevant experience."),
+    (None, "semantic_similarity", 0.65,
+     "Align resume wording more closely with the job requirements."),
+    (None, "skill_match_percentage", 0.70,
+     "Move the most relevant skills into a clear skills section."),
+)
+NO_GAPS = "No required skill gaps were identified from the parsed data."
+REPORT_TITLE = "Resume Review Report"
+REPORT_RULE = "========================================================="
+REPORT_DETAILS = (
+    ("Semantic Similarity", "semantic_similarity"),
+    ("Skill Match", "skill_match_percentage"),
+    ("Experience Match", "experience_match_score"),
+    ("Education Match", "education_match_score"),
+    ("Certification Match", "certification_match_score"),
+    ("Programming Languages", "programming_language_match"),
+    ("Frameworks", "framework_match"),
+    ("Tools", "tools_match"),
+    ("Project Relevance", "project_relevance_score"),
+)
+
 # ---------------------------------------------------------------------------
 
 

@@ -100,6 +100,20 @@ def test_all_features_of_one_pair(spark, one_pair):
     assert row["target"] == pytest.approx(80.13333333)
 
 
+def test_features_are_the_same_when_jobs_are_not_small(spark, sf_dir, monkeypatch):
+    from rankloom.plans.market_queries import features
+
+    small = features(spark, sf_dir).toPandas()
+    monkeypatch.setattr("rankloom.operators.features.is_small", lambda *a, **k: False)
+    monkeypatch.setattr("rankloom.operators.joins.HOT_ROWS", 10)
+    shuffled = features(spark, sf_dir).toPandas()
+    keys = ["candidate_id", "job_id"]
+    assert len(small) > 500
+    assert small.sort_values(keys).reset_index(drop=True).equals(
+        shuffled.sort_values(keys).reset_index(drop=True)
+    )
+
+
 def test_texts_to_compare(spark, one_pair):
     candidates, jobs = one_pair
     text = candidates.select(V.candidate_text()).first()[0]
