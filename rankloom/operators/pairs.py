@@ -13,8 +13,13 @@ def assign(candidates: DataFrame, job_ids) -> DataFrame:
 
 
 def applications(events: DataFrame, candidate: str, job: str) -> DataFrame:
-    """Distinct (candidate, job) pairs of an application or contact log."""
-    return events.select(
+    """Distinct (candidate, job) pairs of an application or contact log.
+
+    Rows without either id are dropped here and not left to the joins, so that all
+    uses of the pairs share one exchange.
+    """
+    named = events.select(
         F.col(candidate).cast("string").alias("candidate_id"),
         F.col(job).cast("string").alias("job_id"),
-    ).distinct()
+    )
+    return named.dropna().distinct()
