@@ -28,9 +28,15 @@ def unique_terms(terms) -> dict[str, str]:
     return spellings
 
 
+# Runs one space apart. Possessive, so that Java matches it without recursion.
+_CHAIN = "[a-z0-9+#.-]++(?: [a-z0-9+#.-]++)*+"
+
+
 def runs(text: Column) -> Column:
     """Runs of term characters. An empty element marks where a phrase must stop."""
-    return F.split(F.regexp_replace(F.lower(text), r"[^a-z0-9+#. -]", "  "), " ")
+    chains = F.regexp_extract_all(F.lower(text), F.lit(_CHAIN), F.lit(0))
+    stop = F.array(F.lit(""))
+    return F.flatten(F.transform(chains, lambda c: F.concat(F.split(c, " "), stop)))
 
 
 def phrases(words: Column, n: int, starts=None) -> Column:

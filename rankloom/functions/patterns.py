@@ -12,6 +12,7 @@ from rankloom.functions.text import (
     capitalize_words,
     distinct_ignoring_case,
     first_by_key,
+    keep_only,
     meaningful_lines,
     raw_lines,
     regex,
@@ -88,7 +89,7 @@ def person_name(text: Column, vocabulary: Vocabulary = DEFAULT) -> Column:
     names = F.transform(
         F.slice(raw_lines(text), 1, 8),
         lambda l: bind(
-            strip(F.regexp_replace(l, "[^A-Za-z .'-]", "")), lambda v: name(l, v)
+            F.trim(keep_only(l, "A-Za-z .'-")), lambda v: name(l, v)
         ),
     )
     return capitalize_words(_first(F.array_compact(names)))

@@ -174,6 +174,11 @@ def test_dictionary_terms_outside_the_class(spark):
     ]
 
 
+def test_long_text_without_punctuation(spark):
+    text = "plain words " * 30_000 + "deep learning"
+    assert apply(spark, lambda c: dictionary_terms(c, ("Deep Learning", "SQL")), [text]) == [["Deep Learning"]]
+
+
 def test_dictionary_equals_regular_expressions(spark, sf_dir):
     import re
 
