@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate
+from rankloom.llm import decontaminate, licenses, simhash
 from rankloom.llm.registry import query, table
 
 #: Lower-casing of A-Z and the words of the contracts, for DuckDB.
@@ -47,3 +47,29 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(table(spark, sf_dir, "documents"))
+    words = F.col("base_places.word")
+    base, more = F.col("base_places.label"), F.col("notices.label")
+    # A base phrase alone is a weak sign; an aligned notice counts by its matched share.
+    notice = F.coalesce(F.array_max("notices.share"), F.lit(0.0))
+    weak = F.when(F.size("base_places") > 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("base_places").cast("long").alias("n_base"),
+        F.array_min(words).alias("first_word"),
+        F.array_max(words).alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(F.array_distinct(F.concat(base, more))), ",").alias("labels"),
+        F.greatest(notice, weak).alias("score"),
+    )
+
+
+@query()
+def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
