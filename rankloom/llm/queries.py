@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, licenses, simhash
+from rankloom.llm import decontaminate, licenses, neighbours, simhash, transducer
 from rankloom.llm.registry import query, table
 
 #: Lower-casing of A-Z and the words of the contracts, for DuckDB.
@@ -73,3 +73,35 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id")
+
+
+TOKENIZER = "piece_bpe_32k.model"
+CONTEXT = 4096
+
+
+@query()
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    found = transducer.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return found.withColumn("over_limit", F.col("n_tokens") > CONTEXT)
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    pairs AS (
+      SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
+    ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+      FROM pairs)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+    """
+)
+def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
