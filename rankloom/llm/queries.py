@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, licenses, neighbours, simhash, transducer
+from rankloom.llm import decontaminate, licenses, neighbours, simhash, transducer, warc
 from rankloom.llm.registry import query, table
+from rankloom.session import scratch_path
 
 #: Lower-casing of A-Z and the words of the contracts, for DuckDB.
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -89,11 +90,11 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    WITH v AS (
-      SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
-      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-        AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-        AND len(list_filter(embedding, x -> x <> 0)) > 0),
+    WITH n AS (SELECT row_number() OVER () AS r, vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+    good AS (
+      SELECT r FROM (SELECT r, unnest(e) AS x FROM n) GROUP BY r
+      HAVING bool_and(coalesce(isfinite(x), false)) AND bool_or(x <> 0)),
+    v AS (SELECT vec_id, e FROM n JOIN good USING (r) WHERE vec_id IS NOT NULL),
     pairs AS (
       SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.e) = len(c.e)),
@@ -105,3 +106,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
+@query(
+    """
+    WITH p AS (
+      SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha1(coalesce(html, '')) AS digest FROM pages),
+    kept AS (
+      SELECT digest, max(page_id) AS kept FROM p WHERE size >= 1000 GROUP BY digest HAVING count(*) > 1)
+    SELECT page_id, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
+      CASE WHEN kept IS NULL OR page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN page_id <> kept THEN kept END AS refers_to
+    FROM p LEFT JOIN kept USING (digest)
+    """
+)
+def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = warc.with_revisits(table(spark, sf_dir, "pages"))
+    path = warc.write_warc(rows, scratch_path(spark, "warc"))
+    return warc.payload_summary(warc.read_warc(spark, path))
