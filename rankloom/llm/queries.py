@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, licenses, neighbours, simhash, transducer, warc
+from rankloom.llm import decontaminate, licenses, lines, neighbours, simhash, transducer, warc
 from rankloom.llm.registry import query, table
 from rankloom.session import scratch_path
 
@@ -124,3 +124,34 @@ def op9_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = warc.with_revisits(table(spark, sf_dir, "pages"))
     path = warc.write_warc(rows, scratch_path(spark, "warc"))
     return warc.payload_summary(warc.read_warc(spark, path))
+
+
+@query(
+    f"""
+    WITH p AS (
+      SELECT row_number() OVER () AS r, page_id,
+        nullif(lower(regexp_extract(url, '{lines.HOST}', 1)), '') AS host,
+        regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''),
+          '{lines.UNSEEN}', chr(10), 'g'), '{lines.INLINE}', '', 'g'), '{lines.TAG}', chr(10), 'g') AS body
+      FROM pages),
+    split AS (SELECT r, unnest(string_split_regex(body, '{lines.BREAK}')) AS raw,
+        unnest(range(len(string_split_regex(body, '{lines.BREAK}')))) AS i FROM p),
+    l AS (SELECT r, host, i, trim(raw, ' ' || chr(9)) AS line FROM split JOIN p USING (r)
+        WHERE trim(raw, ' ' || chr(9)) <> ''),
+    totals AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
+    common AS (
+      SELECT host, line FROM (SELECT host, line, count(DISTINCT r) AS holding FROM l GROUP BY ALL)
+      JOIN totals USING (host) WHERE holding >= {lines.LEAST} AND holding > {lines.RATIO} * pages),
+    kept AS (
+      SELECT l.r, count(*) AS n_lines, count(c.line) AS n_dropped,
+        string_agg(l.line, chr(10) ORDER BY i) FILTER (c.line IS NULL) AS text
+      FROM l LEFT JOIN common c ON l.host = c.host AND l.line = c.line GROUP BY l.r)
+    SELECT page_id, host, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+      coalesce(text, '') AS text
+    FROM p LEFT JOIN kept USING (r)
+    """
+)
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = lines.drop_boilerplate(pages, lines.host(F.col("url")), lines.html_text(F.col("html")))
+    return found.select("page_id", "host", "n_lines", "n_dropped", F.col("kept_text").alias("text"))
