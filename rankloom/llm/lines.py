@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from rankloom.llm.tables import unused
 
-RATIO = 0.3
-LEAST = 3
+RATIO = 0.1
+LEAST = 5
 
 #: Patterns that mean the same to Spark and to DuckDB.
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"

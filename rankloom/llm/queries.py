@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, licenses, lines, neighbours, simhash, transducer, warc
+from rankloom.llm import decontaminate, licenses, lines, mixing, neighbours, simhash, transducer, warc
 from rankloom.llm.registry import query, table
 from rankloom.session import scratch_path
 
@@ -155,3 +155,21 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     found = lines.drop_boilerplate(pages, lines.host(F.col("url")), lines.html_text(F.col("html")))
     return found.select("page_id", "host", "n_lines", "n_dropped", F.col("kept_text").alias("text"))
+
+
+#: Token weights of the language domains; documents in ``labels`` lend their language tags.
+LANGUAGES = {"en": 0.55, "de": 0.17, "fr": 0.17, "es": 0.11}
+
+
+def language_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain) of the labelled documents."""
+    named = labels.select("doc_id").where("doc_id IS NOT NULL").distinct()
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(named, "doc_id", "left_semi")
+
+
+@query()
+def op2_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = mixing.rates(docs, language_labels(docs, table(spark, sf_dir, "labels")), LANGUAGES)
+    shares = [F.round(F.col("p")[i], 9).alias(f"p_{d}") for i, d in enumerate(LANGUAGES)]
+    return found.select("doc_id", "n_tokens", "copies", *shares, F.round("rate", 9).alias("rate"))
