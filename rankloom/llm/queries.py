@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, licenses, lines, mixing, neighbours, simhash, transducer, warc
+from rankloom.llm import decontaminate, licenses, lines, mixing, neighbours, quality, shards, simhash, transducer, warc
 from rankloom.llm.registry import query, table
 from rankloom.session import scratch_path
 
@@ -173,3 +173,25 @@ def op2_mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = mixing.rates(docs, language_labels(docs, table(spark, sf_dir, "labels")), LANGUAGES)
     shares = [F.round(F.col("p")[i], 9).alias(f"p_{d}") for i, d in enumerate(LANGUAGES)]
     return found.select("doc_id", "n_tokens", "copies", *shares, F.round("rate", 9).alias("rate"))
+
+
+@query()
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score_documents(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.round("weak", 6).alias("weak"), F.round("score", 6).alias("score"), "keep")
+
+
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def training_shards(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Write the shards of ``docs`` to the shared folder and return their index."""
+    import public_tokenizers
+
+    index, _ = shards.write_shards(docs, scratch_path(spark, "training"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    return index
+
+
+@query()
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_shards(spark, table(spark, sf_dir, "documents"))
