@@ -126,7 +126,12 @@ def _shares(t: Tokens, docs: int) -> dict[str, np.ndarray]:
     starts = t.first[:-1][count > 0]
     same[starts] = False
     owner = np.repeat(np.arange(docs), count)
-    _, one = np.unique(mix(t.word + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)
+    keyed = mix(t.word + owner.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    _, one, times = np.unique(keyed, return_index=True, return_counts=True)
+    top, run = np.zeros(docs), np.zeros(docs)
+    np.maximum.at(top, owner[one], times)
+    heads = np.flatnonzero(~same)
+    np.maximum.at(run, owner[heads], np.diff(np.append(heads, len(same))))
     at = np.minimum(np.searchsorted(COMMON_HASHES, t.word), len(COMMON_HASHES) - 1)
     return {
         "count": count,
@@ -137,6 +142,8 @@ def _shares(t: Tokens, docs: int) -> dict[str, np.ndarray]:
         "digits": total(t.sums[_DIGIT]) / size,
         "letters": letters / size,
         "same": total(same) / some,
+        "top": top / some,
+        "run": run,
         "distinct": np.bincount(owner[one], minlength=docs) / some,
         "stops": total(t.ends_stop) / some,
         "length": total(t.length) / some,
@@ -161,6 +168,8 @@ def votes(t: Tokens, docs: int) -> np.ndarray:
             vote(((s["digits"] > 0.3) | (s["letters"] < 0.6)) & long, s["letters"] > 0.9),
             vote((s["same"] > 0.2) & long, (s["same"] < 0.05) & long),
             vote((s["distinct"] < 0.15) & long, (s["distinct"] > 0.25) & long),
+            vote((s["top"] > 0.25) & long, (s["top"] < 0.15) & long),
+            vote((s["run"] > 5) & long, (s["run"] < 3) & long),
             vote((s["stops"] < 0.01) & long, (s["stops"] > 0.03) & (s["stops"] < 0.4)),
             vote((s["length"] > 14) | (s["length"] < 2), (s["length"] > 3) & (s["length"] < 10)),
             vote((s["common"] < 0.02) & long, (s["common"] > 0.1) & long),
@@ -169,7 +178,7 @@ def votes(t: Tokens, docs: int) -> np.ndarray:
     ).astype(np.int64)
 
 
-LABELLERS = ("symbols", "bars", "capitals", "marred words", "letters", "repeats", "variety", "sentences", "lengths", "common words")
+LABELLERS = ("symbols", "bars", "capitals", "marred words", "letters", "repeats", "variety", "top word", "runs", "sentences", "lengths", "common words")
 
 
 def pattern(v: np.ndarray) -> np.ndarray:
@@ -179,12 +188,19 @@ def pattern(v: np.ndarray) -> np.ndarray:
 
 @dataclass
 class LabelModel:
-    """``rates[class, labeller, vote]`` of the votes cast, the share of good documents, and the
-    posterior of each vote pattern. To abstain says nothing either way."""
+    """``rates[class, labeller, vote]`` of the votes cast and the share of good documents. To
+    abstain says nothing either way."""
 
     rates: np.ndarray
     good: float
-    posterior: np.ndarray
+
+    def posterior(self, cast: np.ndarray) -> np.ndarray:
+        """Chance that documents with these votes, (documents, labellers), are good."""
+        weights = np.zeros(self.rates.shape[1:])
+        for v in (BAD, GOOD):
+            weights[:, v] = np.log(self.rates[1, :, v] / self.rates[0, :, v])
+        odds = np.log(self.good / (1 - self.good)) + weights[np.arange(cast.shape[1]), cast].sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, labellers: int = len(LABELLERS), rounds: int = ROUNDS) -> LabelModel:
@@ -194,25 +210,16 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, labellers: int = l
     # A bad vote is rare and deliberate, so it weighs more in the first guess.
     lean = 0.25 * (cast == GOOD).sum(axis=1) - 3.0 * (cast == BAD).sum(axis=1) + 0.5
     good = 1 / (1 + np.exp(-lean))
-    rates, share = np.full((2, labellers, 3), 0.5), 0.5
-    every = np.arange(3**labellers)[:, None] // 3 ** np.arange(labellers) % 3
-
-    def posterior(c: np.ndarray) -> np.ndarray:
-        logs = np.log(rates)
-        logs[:, :, ABSTAIN] = 0.0
-        chosen = [sum(logs[k, j, c[:, j]] for j in range(labellers)) for k in (0, 1)]
-        odds = np.log(share / (1 - share)) + chosen[1] - chosen[0]
-        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
-
+    model = LabelModel(np.full((2, labellers, 3), 0.5), 0.5)
     for _ in range(rounds if len(patterns) else 0):
         for k, belief in ((0, 1 - good), (1, good)):
             held = weight * belief
             for v in (BAD, GOOD):
-                rates[k, :, v] = (held[:, None] * (cast == v)).sum(axis=0) + 1
-            rates[k] /= (rates[k, :, BAD] + rates[k, :, GOOD])[:, None]
-        share = float(np.clip((weight * good).sum() / weight.sum(), 1e-3, 1 - 1e-3))
-        good = posterior(cast)
-    return LabelModel(rates, share, posterior(every))
+                model.rates[k, :, v] = (held[:, None] * (cast == v)).sum(axis=0) + 1
+            model.rates[k] /= (model.rates[k, :, BAD] + model.rates[k, :, GOOD])[:, None]
+        model.good = float(np.clip((weight * good).sum() / weight.sum(), 1e-3, 1 - 1e-3))
+        good = model.posterior(cast)
+    return model
 
 
 def features(t: Tokens, docs: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -269,7 +276,7 @@ class Scorer:
         for rows, data, offsets in _parts(column):
             t = tokens(data, offsets)
             docs = len(offsets) - 1
-            weak[rows] = self.labels.posterior[pattern(votes(t, docs))]
+            weak[rows] = self.labels.posterior(votes(t, docs))
             score[rows] = _score(*features(t, docs), self.weights, self.bias, docs)
             has_words[rows] = np.diff(t.first) > 0
         return weak * has_words, score * has_words
@@ -314,7 +321,7 @@ def fit_scorer(docs: DataFrame, text: str = "text", sample: int = SAMPLE, steps:
                 at = np.searchsorted(doc, np.arange(docs_here + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(known.value.posterior[pattern(votes(t, docs_here))]),
+                        pa.array(known.value.posterior(votes(t, docs_here))),
                         pa.ListArray.from_arrays(at, pa.array(bucket.astype(np.int32))),
                         pa.ListArray.from_arrays(at, pa.array(value.astype(np.float32))),
                     ],
