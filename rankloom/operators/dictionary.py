@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.functions.dictionary import phrases, runs
 from rankloom.functions.text import bind
-from rankloom.operators.joins import is_small
+from rankloom.vocabulary import TERM_CHARS
 
-SALTS = 16
+_PLAIN = rf"^[{TERM_CHARS}]+(?: [{TERM_CHARS}]+)*\z"
 
 
 def text_phrases(documents: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
@@ -21,26 +21,54 @@ def text_phrases(documents: DataFrame, words: int, id_column: str, text_column:
     return documents.select(id_column, F.explode(found).alias("phrase"))
 
 
+def longest_run(term: Column) -> Column:
+    """The longest run of term characters of a term, the first of equals; empty without any."""
+    cut = F.split(F.lower(term), "[^a-z0-9+#.-]+")
+    return F.aggregate(cut, F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
+
+
+def term_pattern(term: Column) -> Column:
+    """Regular expression for a whole term; every character but letters and digits is escaped."""
+    escaped = F.regexp_replace(F.lower(term), r"([^\p{L}\p{N}])", r"\\$1")
+    return F.concat(F.lit(f"(?<![{TERM_CHARS}])"), escaped, F.lit(f"(?![{TERM_CHARS}])"))
+
+
 def match_dictionary(
     documents: DataFrame,
     lexicon: DataFrame,
-    words: int,
+    words: int | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """(id, term + the lexicon's other columns) for each lexicon term in a text.
 
-    ``lexicon.term`` holds term characters and single spaces, at most ``words``
-    words. A lexicon measured small is broadcast; a larger one is joined by
-    shuffle with every term repeated over ``SALTS`` tasks, so that a term found in
-    a large share of the documents does not end up in one task.
+    Terms of term characters and single spaces equal a phrase of the text and are joined on it;
+    ``words`` is their greatest number of words and is measured if not given. Any other term meets
+    the texts that hold its longest run, and a pattern decides. Both are plain equi-joins:
+    adaptive execution broadcasts a small lexicon and splits a term that many documents hold.
     """
-    keyed = lexicon.withColumn("phrase", F.lower("term"))
-    found = text_phrases(documents, words, id_column, text_column)
-    if is_small(lexicon):
-        return found.join(F.broadcast(keyed), "phrase").drop("phrase")
-    salted = keyed.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(id_column), F.lit(SALTS)).cast("int")
-    return (
-        found.withColumn("salt", salt).join(salted, ["phrase", "salt"]).drop("phrase", "salt")
-    )
+    keyed = lexicon.where(F.col("term").isNotNull()).withColumn("phrase", F.lower("term"))
+    plain = keyed.where(F.col("phrase").rlike(_PLAIN))
+    odd = keyed.where(~F.col("phrase").rlike(_PLAIN) & (F.col("phrase") != ""))
+    facts = keyed.agg(
+        F.max(F.when(F.col("phrase").rlike(_PLAIN), F.size(F.split("phrase", " ")))).alias("words"),
+        F.coalesce(F.bool_or(~F.col("phrase").rlike(_PLAIN) & (F.col("phrase") != "")), F.lit(False)).alias("odd"),
+    ).first()
+    longest = facts["words"] or 1
+    if words is not None and words < longest:
+        raise ValueError(f"the lexicon has terms of {longest} words, more than {words}")
+    found = text_phrases(documents, longest, id_column, text_column).join(plain, "phrase").drop("phrase")
+    if not facts["odd"]:
+        return found
+    return found.unionByName(_odd_matches(documents, odd, id_column, text_column))
+
+
+def _odd_matches(documents: DataFrame, odd: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    # A run inside a term is a whole run of the text, since what surrounds it is no term character.
+    # Terms without any run meet every text.
+    held = F.array_distinct(F.concat(runs(F.col(text_column)), F.array(F.lit(""))))
+    texts = documents.select(id_column, F.explode(held).alias("run"))
+    near = texts.join(odd.withColumn("run", longest_run(F.col("term"))), "run").drop("run", "phrase")
+    lowered = documents.select(id_column, F.lower(text_column).alias("_lowered"))
+    checked = near.join(lowered, id_column).where(F.regexp_like("_lowered", term_pattern(F.col("term"))))
+    return checked.drop("_lowered").distinct()

@@ -21,8 +21,10 @@ from rankloom.functions.vectors import (
     sparse_dot,
     term_map,
 )
-from rankloom.operators.joins import SMALL_BYTES, is_small, lookup_join, skew_join
+from rankloom.operators.dictionary import term_pattern
+from rankloom.operators.joins import is_small, lookup_join
 from rankloom.schemas import FEATURE_COLUMNS
+from rankloom.session import scratch_path
 from rankloom.vocabulary import DEGREE_EQUIVALENTS, TERM_CHARS
 
 _PHRASE_WORDS = 3
@@ -62,13 +64,8 @@ def coverage(text: Column, found: Column, plain: Column, odd: Column) -> Column:
 
     ``odd`` terms, which phrases cannot express, are tested by pattern on the text.
     """
-    edge = f"[{TERM_CHARS}]"
-
-    def occurs(t: Column) -> Column:
-        pattern = F.concat(F.lit(rf"(?<!{edge})\Q"), t, F.lit(rf"\E(?!{edge})"))
-        return F.regexp_like(text, pattern)
-
-    in_text = F.when(F.size(odd) > 0, F.size(F.filter(odd, occurs))).otherwise(F.lit(0))
+    occurring = F.filter(odd, lambda t: F.regexp_like(text, term_pattern(t)))
+    in_text = F.when(F.size(odd) > 0, F.size(occurring)).otherwise(F.lit(0))
     hits = F.size(F.array_intersect(plain, found)) + in_text
     terms = F.size(plain) + F.size(odd)
     return F.when(terms > 0, hits.cast("double") / terms).otherwise(F.lit(0.0))
@@ -151,13 +148,17 @@ def job_profile(
 def join_pairs(
     pairs: DataFrame, candidates: DataFrame, jobs: DataFrame, small_jobs: bool | None = None
 ) -> DataFrame:
-    """Pair rows with both prepared sides.
+    """Pair rows with both prepared sides; pairs of unknown ids have none (``unknown_pairs``).
 
-    Jobs are broadcast when measured small. Candidates meet their pairs in one
-    exchange on candidate_id, in which hot candidates are split.
+    ``jobs`` is written once, so that what is measured is what is broadcast. Candidates meet their
+    pairs in one exchange on candidate_id, in which adaptive execution splits hot candidates.
     """
-    met = skew_join(pairs, candidates, "candidate_id")
-    return lookup_join(met, jobs, "job_id", small_jobs)
+    spark = jobs.sparkSession
+    path = scratch_path(spark, "jobs")
+    jobs.write.parquet(path)
+    jobs = spark.read.schema(jobs.schema).parquet(path)
+    small = is_small(jobs) if small_jobs is None else small_jobs
+    return lookup_join(pairs.join(candidates, "candidate_id"), jobs, "job_id", small)
 
 
 def pair_features(
@@ -176,14 +177,10 @@ def pair_features(
     row to pass on, such as ``candidate_name``.
     """
     own_vectors = similarity is None
-    # A job's profile holds a few copies of terms of its text, so the text is measured:
-    # that needs none of the parsed columns.
-    small_jobs = is_small(jobs.select("job_id", "raw_text"), max_bytes=SMALL_BYTES // 4)
     rows = join_pairs(
         pairs.select("candidate_id", "job_id"),
         candidate_profile(candidates, candidate_text, own_vectors),
         job_profile(jobs, job_text, own_vectors),
-        small_jobs,
     )
     if own_vectors:
         cosine = clipped_cosine(

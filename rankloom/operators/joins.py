@@ -1,73 +1,38 @@
-"""Joins that stay safe on hot keys and on a second side of unknown size."""
+"""Joins whose second side may be of any size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 SMALL_ROWS = 20_000
 SMALL_BYTES = 64 * 1024 * 1024
-HOT_ROWS = 1_000_000
-SALTS = 32
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
-    """Measure rows and bytes of ``df``; looks at no more than ``max_rows + 1`` rows."""
+    """Measure rows and bytes of ``df``; only the sizes of ``max_rows + 1`` rows are gathered."""
     size = F.octet_length(F.to_json(F.struct(*df.columns))).cast("long")
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(size).alias("b")).first()
+    sizes = df.select(size.alias("b")).limit(max_rows + 1)
+    seen = sizes.agg(F.count("*").alias("n"), F.sum("b").alias("b")).first()
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 
-def skew_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    hot_rows: int | None = None,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Inner equi-join where a few keys may hold most rows of ``left``.
+def lookup_join(left: DataFrame, right: DataFrame, key, small: bool | None = None) -> DataFrame:
+    """Broadcast ``right`` when it is small, otherwise a plain equi-join by shuffle.
 
-    Keys with more than ``hot_rows`` left rows are spread over ``salts`` tasks;
-    only their right rows are repeated. At most rows / hot_rows keys can be hot,
-    which bounds the broadcast list of them.
-    """
-    limit = HOT_ROWS if hot_rows is None else hot_rows
-    counts = left.groupBy(key).count().where(F.col("count") > limit)
-    hot = F.broadcast(counts.select(key, F.lit(True).alias("_hot")))
-    nested = (T.MapType, T.ArrayType, T.StructType)
-    plain = [f.name for f in left.schema.fields if not isinstance(f.dataType, nested)]
-    spread = F.when(
-        F.col("_hot"), F.pmod(F.xxhash64(*plain), F.lit(salts)).cast("int")
-    ).otherwise(F.lit(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    # A stated partition count keeps adaptive execution from merging the small but
-    # costly partitions of this one exchange into too few tasks.
-    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    salted_left = left.join(hot, key, "left").withColumn("_salt", spread).drop("_hot")
-    salted_left = salted_left.repartition(tasks, key, "_salt")
-    salted_right = right.join(hot, key, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [key, "_salt"]).drop("_salt")
-
-
-def lookup_join(
-    left: DataFrame, right: DataFrame, key: str, small: bool | None = None, **skew
-) -> DataFrame:
-    """Broadcast ``right`` when it is small, otherwise a skew-safe shuffle join.
-
-    ``small`` passes on a measurement already made; by default ``right`` is measured.
+    In the latter adaptive execution splits hot keys of ``left`` by their measured bytes, however
+    many rows that are and whatever their columns. ``small`` passes on a measurement already made;
+    by default ``right`` is measured, so it should be a written table.
     """
     if is_small(right) if small is None else small:
         return left.join(F.broadcast(right), key)
-    return skew_join(left, right, key, **skew)
+    return left.join(right, key)
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an input with fewer splits than cores one split per core.
+    """Give a scan with fewer splits than cores one split per core.
 
-    Only small or unsplittable inputs are affected; large ones pass through.
+    For scans and checkpoints, whose partitions are known without running anything.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -66,32 +66,27 @@ def exact_holdout(
 ) -> DataFrame:
     """Flag exactly ceil(share * n) rows as ``is_test``: those of smallest key hash.
 
-    The hash range is cut into cells; only the cell the boundary falls in is
-    sorted, so no task sees more than about n / cells rows.
+    The greatest hash that is still flagged is found from the keys alone: the hash range is cut
+    into cells, and only the cell with the boundary is sorted, about n / cells rows. The rows then
+    compare with that one value in a single narrow pass. Keys tell rows apart.
     """
-    order = F.md5(_keyed(keys, seed, "split"))
-    cell = F.floor(F.conv(F.substring("_order", 1, 8), 16, 10).cast("double") / (2**32 / cells))
-    keyed = df.withColumn("_order", order).withColumn("_cell", cell.cast("int"))
-    counts = keyed.groupBy("_cell").count()
-    below = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
+    order = F.struct(F.md5(_keyed(keys, seed, "split")).alias("hash"), *[F.col(k) for k in keys])
+    cell = F.floor(F.conv(F.substring("order.hash", 1, 8), 16, 10).cast("double") / (2**32 / cells))
+    keyed = df.select(order.alias("order")).withColumn("cell", cell.cast("int"))
+    upto = Window.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # At most ``cells`` rows reach these two single-partition windows.
-    limits = counts.select(
-        "_cell",
-        F.coalesce(F.sum("count").over(below), F.lit(0)).alias("_below"),
-        (F.col("count") + F.coalesce(F.sum("count").over(below), F.lit(0))).alias("_upto"),
-        F.ceil(F.sum("count").over(everything) * F.lit(share)).alias("_wanted"),
+    limits = keyed.groupBy("cell").count().select(
+        "cell",
+        (F.sum("count").over(upto) - F.col("count")).alias("below"),
+        F.sum("count").over(upto).alias("upto"),
+        F.ceil(F.sum("count").over(everything) * F.lit(share)).alias("wanted"),
     )
-    placed = keyed.join(F.broadcast(limits), "_cell")
-    boundary = (F.col("_below") < F.col("_wanted")) & (F.col("_upto") > F.col("_wanted"))
-    inside = placed.where(boundary)
-    within = F.row_number().over(Window.partitionBy("_cell").orderBy("_order", *keys))
-    helper = ["_order", "_cell", "_below", "_upto", "_wanted"]
-    split_cell = inside.withColumn("is_test", F.col("_below") + within <= F.col("_wanted"))
-    whole_cells = placed.where(~boundary).withColumn(
-        "is_test", F.col("_upto") <= F.col("_wanted")
-    )
-    return whole_cells.unionByName(split_cell).drop(*helper)
+    boundary = limits.where((F.col("below") < F.col("wanted")) & (F.col("upto") >= F.col("wanted")))
+    within = F.row_number().over(Window.partitionBy("cell").orderBy("order"))
+    placed = keyed.join(F.broadcast(boundary), "cell").withColumn("at", F.col("below") + within)
+    last = placed.where(F.col("at") == F.col("wanted")).select("order")
+    return df.withColumn("is_test", F.coalesce(order <= last.scalar(), F.lit(False)))
 
 
 def hash_holdout(df: DataFrame, keys, share: float = 0.20, seed: int = SEED) -> DataFrame:

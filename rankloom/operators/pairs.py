@@ -12,6 +12,18 @@ def assign(candidates: DataFrame, job_ids) -> DataFrame:
     return candidates.select("candidate_id", F.explode(listed).alias("job_id"))
 
 
+def unknown_pairs(pairs: DataFrame, candidates: DataFrame, jobs: DataFrame) -> DataFrame:
+    """Pairs that cannot be scored, with the reason: no such candidate, or no such job."""
+    candidate = candidates.select("candidate_id").distinct().withColumn("_candidate", F.lit(True))
+    job = jobs.select("job_id").distinct().withColumn("_job", F.lit(True))
+    met = pairs.join(candidate, "candidate_id", "left").join(job, "job_id", "left")
+    reason = F.when(F.col("_candidate").isNull(), F.lit("unknown candidate")).when(
+        F.col("_job").isNull(), F.lit("unknown job")
+    )
+    rejects = met.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+    return rejects.select("candidate_id", "job_id", "reject_reason")
+
+
 def applications(events: DataFrame, candidate: str, job: str) -> DataFrame:
     """Distinct (candidate, job) pairs of an application or contact log.
 

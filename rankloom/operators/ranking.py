@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.text import bind
+from rankloom.operators.joins import lookup_join
 from rankloom.operators.labels import target_score
 from rankloom.session import materialize
 from rankloom.vocabulary import CONFIDENCE_SPREAD_FACTOR, CONFIDENCE_WITHOUT_TREES
@@ -55,6 +56,8 @@ def rank_top(scored: DataFrame, k: int) -> DataFrame:
 def rank_all(scored: DataFrame, partitions: int | None = None) -> DataFrame:
     """Full ranking 1..n per job that never puts one job into one task.
 
+    Give it only the columns that the ranking needs: its rows are written and sorted.
+
     Rows are range-partitioned on (job, order); a hot job is split among tasks
     since the candidate id is part of the range key. The rank is the position in
     the partition plus the sizes of the partitions before it. The sorted rows are
@@ -63,8 +66,9 @@ def rank_all(scored: DataFrame, partitions: int | None = None) -> DataFrame:
     spark = scored.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col("job_id").asc(), *_order()]
+    # Written first: choosing the ranges samples the rows, which would compute them twice.
     placed = (
-        scored.repartitionByRange(partitions, *keys)
+        materialize(scored).repartitionByRange(partitions, *keys)
         .sortWithinPartitions(*keys)
         .withColumn("_at", F.monotonically_increasing_id())
     )
@@ -84,8 +88,8 @@ def rank_all(scored: DataFrame, partitions: int | None = None) -> DataFrame:
         "_part",
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
-    ranked = placed.join(offsets, ["job_id", "_part"])
-    return ranked.withColumn("rank", (F.col("_row") + F.col("_shift")).cast("int")).drop(
+    ranked = lookup_join(placed, offsets, ["job_id", "_part"])
+    return ranked.withColumn("rank", F.col("_row") + F.col("_shift")).drop(
         "_at", "_part", "_row", "_shift"
     )
 
@@ -102,11 +106,15 @@ def round_half_even(value: Column, digits: int) -> Column:
 
 
 def rankings(ranked: DataFrame, name: Column | None = None) -> DataFrame:
-    """Output columns, similarity to 4 and score to 2 decimals, half-even."""
+    """Output columns, similarity to 4 and score to 2 decimals, half-even.
+
+    A candidate without a name is shown by the stem of its id, the file it came from.
+    """
+    shown = name_or_stem(F.col("candidate_name"), F.col("candidate_id")) if name is None else name
     return ranked.select(
         "job_id",
         "rank",
-        (F.col("candidate_name") if name is None else name).alias("candidate_name"),
+        shown.alias("candidate_name"),
         round_half_even(F.col("semantic_similarity"), 4).alias("similarity_score"),
         round_half_even(F.col(SCORE), 2).alias("predicted_score"),
     )

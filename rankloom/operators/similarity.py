@@ -1,10 +1,8 @@
-"""Scoring many documents against many requirement profiles by shared terms.
+"""Scoring many documents against many requirement profiles.
 
-Profiles are few and documents are many, so the profile side is measured and
-sent to the tasks; each task multiplies its Arrow batches with the profile
-matrix and keeps its best ``k`` per profile before anything is shuffled. Profile
-sets over the bound are scored by a salted join on the term instead; the results
-are the same.
+Profiles are cut into blocks whose matrix stays below a bound. Each block is sent to the tasks,
+which multiply their Arrow batches with it and keep their best ``k`` per profile before anything
+is shuffled; so the documents are read once for each block and pairs never leave a task.
 """
 
 from __future__ import annotations
@@ -13,13 +11,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankloom.functions.vectors import clipped_cosine, squared_norm, term_vector
-from rankloom.operators.joins import is_small
+from rankloom.functions.vectors import dense_cosine, squared_norm, term_vector
 from rankloom.vocabulary import TARGET_WEIGHTS
 
+#: Encoders by name, kept by a Python worker from task to task.
+_ENCODERS: dict = {}
+
 _COSINE_WEIGHT = TARGET_WEIGHTS["semantic_similarity"]
 _COVERAGE_WEIGHT = TARGET_WEIGHTS["skill_match_percentage"]
 MATRIX_CELLS = 8_000_000
@@ -37,8 +37,9 @@ def encode(
     text_column: str,
     load_encoder: Callable[[], Callable[[list[str]], np.ndarray]],
     output_column: str = "embedding",
+    name: str = "encoder",
 ) -> DataFrame:
-    """Add dense vectors from a user's encoder, loaded once per Python worker task.
+    """Add dense vectors from a user's encoder, loaded once per Python worker and ``name``.
 
     The encoder gets whole whitespace-collapsed texts; rows are L2-normalised.
     """
@@ -46,7 +47,9 @@ def encode(
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = load_encoder()
+        if name not in _ENCODERS:
+            _ENCODERS[name] = load_encoder()
+        encoder = _ENCODERS[name]
         for texts in batches:
             raw = np.asarray(encoder(texts.tolist()), dtype=np.float32)
             norms = np.linalg.norm(raw, axis=1, keepdims=True)
@@ -56,45 +59,18 @@ def encode(
     return df.withColumn(output_column, run(collapse_whitespace(F.col(text_column))))
 
 
-def _weak_score(cosine: Column, coverage: Column) -> Column:
-    total = F.lit(_COSINE_WEIGHT) * cosine + F.lit(_COVERAGE_WEIGHT) * coverage
-    return F.greatest(F.least(total, F.lit(1.0)), F.lit(0.0)) * 100.0
-
-
-def _entries(vectors: DataFrame, *columns: str) -> DataFrame:
-    """One row per term of a vector, next to the named columns."""
-    return vectors.select(*columns, F.explode("vector").alias("e")).select(
-        *columns, F.col("e.term").alias("term"), F.col("e.tf").cast("long").alias("tf")
-    )
-
-
-def shared_term_scores(
-    candidates: DataFrame, profiles: DataFrame, salts: int = 16
+def pair_similarity(
+    pairs: DataFrame, candidates: DataFrame, jobs: DataFrame, vector: str = "embedding"
 ) -> DataFrame:
-    """Scores of all pairs that share a term, through a join on the term.
+    """(candidate_id, job_id, semantic_similarity) from tables of dense vectors.
 
-    Common terms are spread over ``salts`` tasks by candidate; sums are combined
-    on the map side before the exchange on the pair.
+    The table that ``features.pair_features`` takes as ``similarity``.
     """
-    salt = F.pmod(F.xxhash64("candidate_id"), F.lit(salts)).cast("int")
-    left = _entries(candidates, "candidate_id", "norm2").withColumn("salt", salt)
-    right = (
-        _entries(profiles.withColumn("terms", F.size("vector")), "job_id", "norm2", "terms")
-        .withColumnsRenamed({"norm2": "job_norm2", "tf": "job_tf"})
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    )
-    sums = (
-        left.join(right, ["term", "salt"])
-        .groupBy("candidate_id", "job_id", "norm2", "job_norm2", "terms")
-        .agg(F.sum(F.col("tf") * F.col("job_tf")).alias("dot"), F.count("*").alias("shared"))
-    )
-    cosine = clipped_cosine(F.col("dot"), F.col("norm2"), F.col("job_norm2"))
-    return (
-        sums.withColumn("cosine", cosine)
-        .withColumn("coverage", F.col("shared").cast("double") / F.col("terms"))
-        .withColumn("score", _weak_score(F.col("cosine"), F.col("coverage")))
-        .select("job_id", "candidate_id", "shared", "cosine", "coverage", "score")
-    )
+    mine = candidates.select("candidate_id", F.col(vector).alias("_mine"))
+    theirs = jobs.select("job_id", F.col(vector).alias("_theirs"))
+    met = pairs.select("candidate_id", "job_id").join(mine, "candidate_id").join(theirs, "job_id")
+    cosine = dense_cosine(F.col("_mine"), F.col("_theirs"))
+    return met.select("candidate_id", "job_id", cosine.alias("semantic_similarity"))
 
 
 class _ProfileBlock:
@@ -114,7 +90,7 @@ class _ProfileBlock:
 
     def pieces(self, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         """The batch in pieces whose gathered weights fit in a bounded buffer."""
-        if len(batch):
+        if len(batch) and self.jobs:
             longest = max(1, min(int(batch["terms"].map(len).max()), len(self.index)))
             rows = max(1, _GATHERED_CELLS // (longest * len(self.jobs)))
             for start in range(0, len(batch), rows):
@@ -138,17 +114,21 @@ class _ProfileBlock:
         scale = np.sqrt(norm2)[:, None] * np.sqrt(self.norm2)[None, :]
         cosine = np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0)
         cosine = np.clip(cosine, 0.0, 1.0)
-        coverage = shared / self.terms
+        coverage = shared / np.maximum(self.terms, 1.0)
         total = _COSINE_WEIGHT * cosine + _COVERAGE_WEIGHT * coverage
         return shared, cosine, coverage, np.clip(total, 0.0, 1.0) * 100.0
 
 
 def _best_of_batch(block: _ProfileBlock, pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     shared, cosine, coverage, score = block.score(pdf)
-    wanted = shared > 0
+    wanted = np.ones(score.shape, bool)
     if len(pdf) > k:
-        floor = np.partition(np.where(wanted, score, -1.0), len(pdf) - k, axis=0)[len(pdf) - k]
-        wanted &= score >= floor
+        wanted = score >= np.partition(score, len(pdf) - k, axis=0)[len(pdf) - k]
+        # Many candidates share nothing with a profile; of these ties only the least ids can stay.
+        first = np.argsort(pdf["candidate_id"].to_numpy(), kind="stable")[:k]
+        among_first = np.zeros(len(pdf), bool)
+        among_first[first] = True
+        wanted &= (score > 0) | among_first[:, None]
     row, column = np.nonzero(wanted)
     return pd.DataFrame(
         {
@@ -167,7 +147,7 @@ def _keep_best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby("job", sort=False).head(k)
 
 
-def _block_scores(candidates: DataFrame, profile_rows: list, k: int) -> DataFrame:
+def _block_scores(candidates: DataFrame, profile_rows: list, k: int, job_type: str) -> DataFrame:
     spark = candidates.sparkSession
     shipped = spark.sparkContext.broadcast(_ProfileBlock(profile_rows))
     id_type = candidates.schema["candidate_id"].dataType.simpleString()
@@ -189,7 +169,6 @@ def _block_scores(candidates: DataFrame, profile_rows: list, k: int) -> DataFram
         F.transform("vector", lambda e: e["term"]).alias("terms"),
         F.transform("vector", lambda e: e["tf"].cast("int")).alias("tfs"),
     )
-    job_type = "string" if isinstance(profile_rows[0]["job_id"], str) else "long"
     return flat.mapInPandas(
         best,
         f"job_id {job_type}, candidate_id {id_type}, shared long, cosine double, "
@@ -197,19 +176,28 @@ def _block_scores(candidates: DataFrame, profile_rows: list, k: int) -> DataFram
     )
 
 
-def top_matches(candidates: DataFrame, profiles: DataFrame, k: int) -> DataFrame:
+def profile_blocks(profiles: DataFrame, cells: int = MATRIX_CELLS) -> list[DataFrame]:
+    """The profiles in parts whose matrices have about ``cells`` cells at most."""
+    entries = profiles.select("job_id", F.explode("vector").alias("e"))
+    facts = entries.agg(F.count("*").alias("entries"), F.count_distinct("e.term").alias("terms")).first()
+    count, parts = profiles.count(), 1
+    while min(facts["terms"], facts["entries"] / parts) * (count / parts) > cells and parts < count:
+        parts *= 2
+    part = F.pmod(F.xxhash64("job_id"), F.lit(parts))
+    return [profiles.where(part == i) for i in range(parts)]
+
+
+def top_matches(candidates: DataFrame, profiles: DataFrame, k: int, cells: int = MATRIX_CELLS) -> DataFrame:
     """The ``k`` best candidates per profile by weak score, ties by candidate id.
 
-    ``candidates`` (candidate_id, vector, norm2), ``profiles`` (job_id, vector,
-    norm2). Only pairs that share a term are ranked.
+    ``candidates`` (candidate_id, vector, norm2), ``profiles`` (job_id, vector, norm2). Candidates
+    that share no term with a profile score 0 and fill its list if others are fewer than ``k``.
     """
-    scored = None
-    if is_small(profiles):
-        rows = profiles.where(F.size("vector") > 0).collect()
-        distinct = len({e["term"] for r in rows for e in r["vector"]})
-        if rows and distinct * len(rows) <= MATRIX_CELLS:
-            scored = _block_scores(candidates, rows, k)
-    if scored is None:
-        scored = shared_term_scores(candidates, profiles)
+    named = profiles.where(F.col("job_id").isNotNull())
+    job_type = profiles.schema["job_id"].dataType.simpleString()
+    parts = [_block_scores(candidates, block.collect(), k, job_type) for block in profile_blocks(named, cells)]
+    scored = parts[0]
+    for part in parts[1:]:
+        scored = scored.unionByName(part)
     order = Window.partitionBy("job_id").orderBy(F.col("score").desc(), F.col("candidate_id"))
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -5,6 +5,11 @@ These jobs write one candidate text per customer and one requirement text per
 supplier, so that parsing, pairing and scoring run over whole tables and grow
 with them. A skill is a product line: part type and brand. Customers apply to
 the suppliers that shipped to them.
+
+Quantities stand for how well a skill is known or how much it is wanted: a line
+of an order makes a skill from 25 pieces, a project from 45; a supplier prefers
+what it ships by 48 and requires what it ships by 49 or more. All rows are read;
+the levels only decide what a text says.
 """
 
 from __future__ import annotations
@@ -15,11 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.operators.pairs import applications
-from rankloom.vocabulary import DEFAULT
+from rankloom.vocabulary import DEFAULT, Vocabulary
 
-# Values of the generated tables, in dictionary order.
-PART_TYPES = ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
-BRANDS = 25
+#: Product lines that a lexicon may have at most; they are part of every parsing plan.
+MOST_LINES = 5000
 DEGREE_BY_SEGMENT = {
     "AUTOMOBILE": "Ph.D",
     "BUILDING": "Master's",
@@ -37,18 +41,28 @@ LAST_YEAR = 2001
 AS_OF_YEAR = 2003
 
 
-def _lines(*types: str) -> tuple[str, ...]:
-    return tuple(f"{t} Brand#{b}" for t in types for b in range(1, BRANDS + 1))
-
-
-VOCABULARY = replace(
-    DEFAULT,
-    candidate_skills=_lines(*PART_TYPES),
-    job_skills=_lines(*PART_TYPES),
-    programming_languages=_lines("ECONOMY", "LARGE"),
-    frameworks=_lines("MEDIUM", "PROMO"),
-    tools=_lines("SMALL", "STANDARD"),
-)
+def vocabulary(spark: SparkSession, sf_dir: str) -> Vocabulary:
+    """The product lines of ``part`` as skills, in the order type, brand number.
+
+    The types in dictionary order are dealt to languages, frameworks and tools by thirds.
+    """
+    rows = table(spark, sf_dir, "part").select(_skill_order().alias("s")).distinct()
+    lines = [r["s"] for r in rows.where(F.col("s.skill").isNotNull()).limit(MOST_LINES + 1).collect()]
+    if len(lines) > MOST_LINES:
+        raise ValueError(f"more than {MOST_LINES} product lines")
+    lines.sort(key=lambda s: (s["t"], s["b"]))
+    types = sorted({s["t"] for s in lines})
+    third = {t: 3 * i // len(types) for i, t in enumerate(types)}
+    kinds = [tuple(s["skill"] for s in lines if third[s["t"]] == k) for k in range(3)]
+    every = tuple(s["skill"] for s in lines)
+    return replace(
+        DEFAULT,
+        candidate_skills=every,
+        job_skills=every,
+        programming_languages=kinds[0],
+        frameworks=kinds[1],
+        tools=kinds[2],
+    )
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -220,7 +234,7 @@ def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey", "l_partkey", "l_quantity", "l_returnflag"
     )
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
-    rows = lineitem.where("l_quantity >= 48").join(part, "l_partkey")
+    rows = lineitem.join(part, "l_partkey")
     rows = rows.withColumn("skill", _skill_order())
     brand = F.struct(F.col("skill.b").alias("b"), F.col("p_brand").alias("brand"))
     returned = (F.col("l_returnflag") == "R") & (F.col("l_quantity") == 50)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions import text as X
@@ -10,7 +10,7 @@ from rankloom.functions.vectors import candidate_text, job_text
 from rankloom.operators import forest
 from rankloom.operators.features import join_pairs, pair_features
 from rankloom.operators.labels import exact_holdout, fold, hash_holdout, target_score, with_target
-from rankloom.operators.pairs import assign
+from rankloom.operators.pairs import unknown_pairs
 from rankloom.operators.ranking import (
     CONFIDENCE,
     SCORE,
@@ -34,11 +34,11 @@ from rankloom.operators.review import (
 from rankloom.plans.catalog import query
 from rankloom.plans.market import (
     AS_OF_YEAR,
-    VOCABULARY,
     candidate_documents,
     job_documents,
     market_applications,
     table,
+    vocabulary,
 )
 from rankloom.plans.market_truth import (
     DEGREE,
@@ -46,6 +46,7 @@ from rankloom.plans.market_truth import (
     NAME,
     PROJECTS,
     REGION_DEGREE,
+    SHOWN,
     features as truth,
 )
 from rankloom.schemas import CANDIDATE_FIELDS, FEATURE_COLUMNS, TARGET_COLUMN
@@ -58,17 +59,18 @@ from rankloom.sources.files import (
     reuse_or_create,
     to_record,
     write_csv,
+    write_reports,
 )
 
 _PAIR = ("candidate_id", "job_id")
 
 
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_candidates(candidate_documents(spark, sf_dir), VOCABULARY, AS_OF_YEAR)
+    return parse_candidates(candidate_documents(spark, sf_dir), vocabulary(spark, sf_dir), AS_OF_YEAR)
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return parse_jobs(job_documents(spark, sf_dir), VOCABULARY)
+    return parse_jobs(job_documents(spark, sf_dir), vocabulary(spark, sf_dir))
 
 
 def skill_texts() -> tuple[Column, Column]:
@@ -306,26 +308,30 @@ _TOP_JOB = "(SELECT s_suppkey FROM supplier ORDER BY s_acctbal DESC, s_suppkey L
 _ONE_JOB = f"(SELECT c_custkey AS c, {_TOP_JOB} AS s FROM customer)"
 
 
-def _best_paid_job(spark: SparkSession, sf_dir: str) -> str:
+def _best_paid_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
-    top = supplier.orderBy(F.col("s_acctbal").desc(), "s_suppkey").select("s_suppkey").first()
-    return str(top["s_suppkey"])
+    top = supplier.orderBy(F.col("s_acctbal").desc(), "s_suppkey").limit(1)
+    return top.select(F.col("s_suppkey").cast("string").alias("job_id"))
 
 
 @query(
-    "E2 I4 I5 I6 I7 I9",
+    "A7 E2 I4 I5 I6 I7 I8 I9",
     truth(_ONE_JOB)
     + f"""
-SELECT s::VARCHAR AS job_id, rank, CASE WHEN seg = 'HOUSEHOLD' THEN '' ELSE seg || ' NATION' END AS candidate_name,
+SELECT s::VARCHAR AS job_id, rank, {SHOWN} AS candidate_name,
   round_even(semantic_similarity * 10000, 0) / 10000 AS similarity_score, round_even(round(score, 6) * 100, 0) / 100 AS predicted_score
 FROM ranked JOIN cust USING (c)""",
 )
 def single_job_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All customers for one job, fully ranked."""
-    everyone = candidate_documents(spark, sf_dir).select(F.col("doc_id").alias("candidate_id"))
-    pairs = assign(everyone, [_best_paid_job(spark, sf_dir)])
-    rows = features(spark, sf_dir, pairs, keep=("candidate_name",))
-    return rankings(rank_all(_rounded_score(score_by_formula(rows))))
+    """All customers for one job, fully ranked, written as CSV and read back."""
+    everyone = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("candidate_id"))
+    job = _best_paid_job(spark, sf_dir).scalar()
+    rows = features(spark, sf_dir, everyone.withColumn("job_id", job), keep=("candidate_name",))
+    scored = _rounded_score(score_by_formula(rows))
+    needed = scored.select(*_PAIR, "candidate_name", "semantic_similarity", SCORE, CONFIDENCE)
+    path = write_csv(rankings(rank_all(needed)), scratch_path(spark, "rankings"))
+    schema = "job_id string, rank long, candidate_name string, similarity_score double, predicted_score double"
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 # --- features, labels, evaluation -----------------------------------------------
@@ -411,7 +417,7 @@ def formula_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "A5 A6 H8",
+    "A5 A6",
     truth()
     + f" SELECT {_sql_rounded(FEATURE_COLUMNS)}, round(score, 6) AS target_candidate_score FROM scored",
 )
@@ -435,43 +441,85 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reuse_or_create(spark, path, lambda: with_target(features(spark, sf_dir)))
 
 
-def _model(spark: SparkSession, sf_dir: str):
-    """The default forest, trained and saved by the first query that needs it."""
+def _trained(spark: SparkSession, sf_dir: str):
+    """(model, metrics) of the default forest with five folds, by the first query that needs it.
+
+    It is fitted on about ``forest.FIT_ROWS`` labelled rows. The metrics are written last, so their
+    marker stands for a whole model.
+    """
     path = _run_path(spark, sf_dir, "model")
-    if not exists(spark, f"{path}/metadata/_SUCCESS"):
-        train_model(_training(spark, sf_dir), path, labelled=True, folds=0)
-    return forest.load_model(path)
+    if not exists(spark, f"{path}-metrics/_SUCCESS"):
+        rows = forest.bounded(_training(spark, sf_dir), _PAIR)
+        _, metrics = train_model(rows, path, labelled=True)
+        metrics.write.mode("overwrite").parquet(f"{path}-metrics")
+    return forest.load_model(path), spark.read.parquet(f"{path}-metrics")
 
 
-@query("A11 A12 H3 H4 H5 H10")
+@query("A11 A12 H3 H4 H5 H6 H10")
 def forest_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hold-out errors of the default forest trained on the noisy labels."""
-    rows = exact_holdout(_training(spark, sf_dir), _PAIR).where("is_test")
-    scored = _model(spark, sf_dir).transform(forest.assemble(rows))
-    return forest.error_metrics(scored)
-
-
-@query("H6")
-def forest_cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Five-fold RMSE, mean and population deviation, of a smaller forest."""
-    mean, deviation = forest.cross_validate(_training(spark, sf_dir), _PAIR, trees=20, depth=6)
-    columns = "cross_validation_rmse_mean double, cross_validation_rmse_std double"
-    return spark.createDataFrame([(mean, deviation)], columns)
+    """Hold-out errors and five-fold RMSE of the default forest on the noisy labels."""
+    return _trained(spark, sf_dir)[1]
+
+
+@query("H6", "SELECT 5::BIGINT AS n_fields, true AS errors_in_order, true AS beats_the_mean")
+def forest_metrics_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must be true of the five training metrics."""
+    metrics = _trained(spark, sf_dir)[1]
+    return metrics.select(
+        F.lit(len(metrics.columns)).cast("long").alias("n_fields"),
+        ((F.col("mae") > 0) & (F.col("mae") <= F.col("rmse")) & (F.col("cross_validation_rmse_std") >= 0)).alias("errors_in_order"),
+        ((F.col("r2_score") > 0) & (F.col("cross_validation_rmse_mean") > 0)).alias("beats_the_mean"),
+    )
 
 
 @query("H7")
 def forest_importances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest.importances(spark, _model(spark, sf_dir))
+    return forest.importances(spark, _trained(spark, sf_dir)[0])
+
+
+@query("H7", "SELECT 12::BIGINT AS n, 1.0::DOUBLE AS total, 1.0::DOUBLE AS most")
+def forest_importances_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances sum to one and are scaled to the greatest."""
+    found = forest.importances(spark, _trained(spark, sf_dir)[0])
+    return found.agg(
+        F.count("*").alias("n"), F.round(F.sum("importance"), 9).alias("total"), F.max("relative").alias("most")
+    )
 
 
 @query("A11 E8 I1 I2 I4 I5 I9 K2")
 def forest_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score every application with the saved forest and keep ten per job."""
-    scored = forest.predict(_model(spark, sf_dir), _training(spark, sf_dir))
-    best = rank_top(scored, 10)
+    best = rank_top(_forest_scores(spark, sf_dir), 10)
     return best.select("job_id", "rank", "candidate_id", SCORE, CONFIDENCE)
 
 
+def _forest_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = forest.predict(_trained(spark, sf_dir)[0], _training(spark, sf_dir))
+    return scored.select(*_PAIR, SCORE, CONFIDENCE)
+
+
+@query(
+    "E8 I1 I2 I4 I5",
+    f"""WITH {FACTS}
+SELECT s::VARCHAR AS job_id, count(*) AS n, count(*) AS last_rank, true AS dense, true AS in_bounds,
+  true AS in_order
+FROM pairs GROUP BY s""",
+)
+def forest_ranking_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every application is ranked once by the forest, without gaps, in order of its score."""
+    ranked = rank_all(_forest_scores(spark, sf_dir))
+    within = F.col(SCORE).between(0, 100) & F.col(CONFIDENCE).between(0, 100)
+    before = F.lag(SCORE).over(Window.partitionBy("job_id").orderBy("rank"))
+    marked = ranked.withColumn("in_order", F.coalesce(before >= F.col(SCORE), F.lit(True)))
+    return marked.groupBy("job_id").agg(
+        F.count("*").alias("n"),
+        F.max("rank").cast("long").alias("last_rank"),
+        (F.count_distinct("rank") == F.count("*")).alias("dense"),
+        F.bool_and(within).alias("in_bounds"),
+        F.bool_and("in_order").alias("in_order"),
+    )
+
+
 # --- ranking --------------------------------------------------------------------
 
 
@@ -662,7 +710,7 @@ _BULLETS = (
 )
 _REPORT_PARTS = [
     "'Resume Review Report' || chr(10) || repeat('=', 57)",
-    "'Candidate Name' || chr(10) || " + NAME,
+    "'Candidate Name' || chr(10) || " + SHOWN,
     "'Job Title' || chr(10) || s_name",
     "'Overall Candidate Score' || chr(10) || printf('%.2f', sc)",
     "'Overall Assessment' || chr(10) || assessment",
@@ -693,7 +741,7 @@ _REPORT_PARTS = [
 
 
 @query(
-    "A10 J7 J9 J10 J11 J13",
+    "A10 I8 J7 J9 J10 J11 J13",
     truth()
     + _REVIEW_SQL.replace("{rows}", "(SELECT * FROM ranked WHERE rank <= 3)")
     + "\nSELECT c::VARCHAR AS candidate_id, s::VARCHAR AS job_id, "
@@ -703,11 +751,43 @@ _REPORT_PARTS = [
     "JOIN (SELECT s, s_name FROM supp) USING (s)",
 )
 def top_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Full review reports of the three best applicants per job."""
-    return reports(rank_top(_reviewable(spark, sf_dir), 3))
+    """Full review reports of the three best applicants per job, written and read back."""
+    path = write_reports(reports(rank_top(_reviewable(spark, sf_dir), 3)), scratch_path(spark, "reports"))
+    return spark.read.parquet(path)
+
+
+@query(
+    "A10 I8 J7 J9 J10 J11 J13",
+    truth()
+    + _REVIEW_SQL.replace("{rows}", "scored")
+    + "\nSELECT c::VARCHAR AS candidate_id, s::VARCHAR AS job_id, md5("
+    + "concat_ws(chr(10) || chr(10), "
+    + ", ".join(_REPORT_PARTS)
+    + ") || chr(10)) AS report_md5 FROM told JOIN (SELECT c, seg FROM cust) USING (c) "
+    "JOIN (SELECT s, s_name FROM supp) USING (s)",
+)
+def all_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of every application, by its digest."""
+    return reports(_reviewable(spark, sf_dir)).select(*_PAIR, F.md5("report").alias("report_md5"))
+
+
+@query(
+    "E2",
+    f"""WITH {FACTS}
+SELECT CASE WHEN c % 3 = 0 THEN 'x' ELSE '' END || c AS candidate_id, CASE WHEN s % 5 = 0 THEN 'x' ELSE '' END || s AS job_id,
+  CASE WHEN c % 3 = 0 THEN 'unknown candidate' ELSE 'unknown job' END AS reject_reason
+FROM pairs WHERE c % 3 = 0 OR s % 5 = 0""",
+)
+def rejected_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Applications whose ids were spoilt on the way are listed with the reason."""
+    spoilt = lambda c, n: F.when(F.col(c).cast("long") % n == 0, F.concat(F.lit("x"), c)).otherwise(F.col(c))
+    pairs = market_applications(spark, sf_dir).select(spoilt("candidate_id", 3).alias("candidate_id"), spoilt("job_id", 5).alias("job_id"))
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("candidate_id"))
+    suppliers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("job_id"))
+    return unknown_pairs(pairs, customers, suppliers)
 
 
-@query("F1 F2 K1")
+@query("F1 F2")
 def market_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that stand for candidates and jobs when they are compared."""
     mine = candidates(spark, sf_dir).select(

@@ -123,6 +123,8 @@ def features(pairs: str = "pairs") -> str:
     return "WITH " + FACTS + "," + _FEATURES.replace("{pairs}", pairs)
 
 
+#: What rankings and reports show; a candidate without a name is shown by its id.
+SHOWN = "CASE WHEN seg = 'HOUSEHOLD' THEN c::VARCHAR ELSE seg || ' NATION' END"
 NAME = "CASE WHEN seg = 'HOUSEHOLD' THEN '' ELSE seg || ' NATION' END"
 DEGREE = (
     "CASE seg WHEN 'AUTOMOBILE' THEN 'Ph.D' WHEN 'BUILDING' THEN 'Master''s' "

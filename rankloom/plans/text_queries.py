@@ -348,7 +348,7 @@ def benchmark_term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat_ws(" ", "a", "b").alias("term")
     )
     lexicon = long_words.unionByName(long_pairs).distinct()
-    return match_dictionary(documents(spark, sf_dir), lexicon, words=2)
+    return match_dictionary(documents(spark, sf_dir), lexicon)
 
 
 @query(

@@ -1,6 +1,7 @@
 """Files, quarantine, training and the end-to-end jobs."""
 
 import pytest
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from rankloom.operators import forest
@@ -36,10 +37,20 @@ def test_quarantine_splits_and_names_the_reason(spark, texts):
 
 def test_predict_ranks_readable_resumes(spark, texts):
     rows = predict_candidates(*texts, "j1", as_of_year=2026).orderBy("rank").collect()
-    assert [(r["rank"], r.candidate_name) for r in rows] == [(1, "Aisha Khan"), (2, "Bob Smith")]
+    assert [(r["rank"], r.candidate_name) for r in rows] == [(1, "Lena Van Brandt"), (2, "Bob Smith")]
     assert rows[0].predicted_score > rows[1].predicted_score
     with pytest.raises(FileNotFoundError, match="Job description not found"):
         predict_candidates(*texts, "nope")
+    empty = texts[1].unionByName(spark.createDataFrame([("j3", " \n")], "doc_id string, text string"))
+    with pytest.raises(ValueError, match="empty: j3"):
+        predict_candidates(texts[0], empty, "j3")
+    with pytest.raises(ValueError, match="empty: j3"):
+        verify_features(texts[0], empty, ["j1", "j3"])
+
+
+def test_nameless_resumes_are_shown_by_their_file(spark, texts):
+    nameless = spark.createDataFrame([("file:/x/cv_17.txt", "x@y.org\nSkills\nJava")], "doc_id string, text string")
+    assert predict_candidates(nameless, texts[1], "j2").first().candidate_name == "cv_17"
 
 
 def test_verify_scores_every_resume_for_listed_jobs(spark, texts):
@@ -54,7 +65,7 @@ def test_review_has_one_report_per_pair(spark, texts):
     got = {r.candidate_id: r.report for r in review_pairs(assign(candidates, ["j2"]), candidates, jobs).collect()}
     assert "Job Title\nJava Developer" in got["r2"]
     assert "Section 5\nMissing Skills\nNone" in got["r2"]
-    assert "Section 5\nMissing Skills\n- Java" in got["r1"]
+    assert "Section 5\nMissing Skills\nNone" in got["r1"]
 
 
 def test_whole_files_and_manifest(spark, tmp_path):
@@ -153,6 +164,22 @@ def test_model_scores_and_reloads(spark, trained):
         forest.load_model(scratch_path(spark, "missing"))
 
 
+def test_model_without_trees_has_the_fixed_confidence(spark, trained):
+    training, _, _ = trained
+    model = LinearRegression(featuresCol="features", labelCol=TARGET_COLUMN).fit(forest.assemble(training))
+    got = {r.candidate_id: r for r in forest.predict(model, training).collect()}
+    direct = {r.candidate_id: r.prediction for r in model.transform(forest.assemble(training)).collect()}
+    assert all(r[CONFIDENCE] == 75.0 and r[SCORE] == pytest.approx(min(100, max(0, direct[i]))) for i, r in got.items())
+
+
+def test_fit_rows_are_bounded_and_stable(trained):
+    training, _, _ = trained
+    keys = ("candidate_id", "job_id")
+    assert forest.bounded(training, keys, 1000).count() == 400
+    some = forest.bounded(training, keys, 100)
+    assert 60 < some.count() < 140 and sorted(some.collect()) == sorted(forest.bounded(training.repartition(7), keys, 100).collect())
+
+
 def test_confidence_uses_single_trees(spark, trained):
     training, model, _ = trained
     rows = forest.assemble(training).limit(20)
