@@ -787,6 +787,54 @@ def rejected_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unknown_pairs(pairs, customers, suppliers)
 
 
+_JOINED_SQL = f"""WITH {FACTS},
+both_lists AS (SELECT DISTINCT s, t, b, skill FROM (FROM jr UNION ALL FROM jp)),
+worked AS (
+  SELECT c, status, string_agg(skill, ', ' ORDER BY t, b) AS names, string_agg(skill, ' ' ORDER BY t, b) AS tech
+  FROM cp GROUP BY c, status),
+told AS (
+  SELECT st.c, string_agg(CASE WHEN seg = 'FURNITURE'
+      THEN 'Ran the ' || st.status || ' pipeline with ' || coalesce(names, '') || ' for us. '
+      ELSE 'Pipeline ' || st.status || ' ' || coalesce('worked on ' || names, '') END
+    || ' ' || coalesce(tech, ''), ' ' ORDER BY st.status) AS text
+  FROM (SELECT DISTINCT o_custkey AS c, o_orderstatus AS status FROM orders) st
+  JOIN cust USING (c) LEFT JOIN worked w ON w.c = st.c AND w.status = st.status GROUP BY st.c)
+SELECT 'candidate' AS kind, cust.c::VARCHAR AS id, concat_ws(' ', {NAME},
+    coalesce((SELECT string_agg(skill, ' ' ORDER BY t, b) FROM cs WHERE cs.c = cust.c), ''),
+    {DEGREE} || ' ' || n_name || ' College',
+    coalesce((SELECT string_agg('Engineer on ' || priority || ' orders ' || a || ' - ' ||
+      CASE WHEN z = 2001 THEN 'Present' ELSE z::VARCHAR END, ' ' ORDER BY priority)
+      FROM periods WHERE periods.c = cust.c), ''),
+    coalesce((SELECT string_agg('Certified ' || brand || ' handler Board ' || region, ' ' ORDER BY b)
+      FROM cb WHERE cb.c = cust.c), ''),
+    coalesce(told.text, ''), cy.years::VARCHAR) AS text
+FROM cust JOIN cy USING (c) LEFT JOIN told USING (c)
+UNION ALL
+SELECT 'job', supp.s::VARCHAR, concat_ws(' ', s_name,
+    coalesce((SELECT string_agg(skill, ' ' ORDER BY t, b) FROM jr WHERE jr.s = supp.s), ''),
+    coalesce((SELECT string_agg(skill, ' ' ORDER BY t, b) FROM jp WHERE jp.s = supp.s), ''),
+    {REGION_DEGREE}, jy.years::VARCHAR,
+    coalesce((SELECT string_agg('Certified ' || brand || ' handler', ' ' ORDER BY b) FROM jb WHERE jb.s = supp.s), ''),
+    coalesce((SELECT string_agg(skill, ' ' ORDER BY t, b) FROM both_lists x WHERE x.s = supp.s AND t IN ('ECONOMY', 'LARGE')), ''),
+    coalesce((SELECT string_agg(skill, ' ' ORDER BY t, b) FROM both_lists x WHERE x.s = supp.s AND t IN ('MEDIUM', 'PROMO')), ''),
+    coalesce((SELECT string_agg(skill, ' ' ORDER BY t, b) FROM both_lists x WHERE x.s = supp.s AND t IN ('SMALL', 'STANDARD')), ''),
+    'Serve the ' || n_name || ' market Ship on time', jy.years::INT || '+ years of supply work', '')
+FROM supp JOIN jy USING (s)"""
+
+
+@query("F1 F2", _JOINED_SQL)
+def joined_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compared texts of records that have lost their raw text: all fields joined."""
+    blank = F.lit("")
+    mine = candidates(spark, sf_dir).withColumn("raw_text", blank).select(
+        F.lit("candidate").alias("kind"), F.col("candidate_id").alias("id"), candidate_text().alias("text")
+    )
+    theirs = jobs(spark, sf_dir).withColumn("raw_text", blank).select(
+        F.lit("job").alias("kind"), F.col("job_id").alias("id"), job_text().alias("text")
+    )
+    return mine.unionByName(theirs)
+
+
 @query("F1 F2")
 def market_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts that stand for candidates and jobs when they are compared."""

@@ -324,9 +324,9 @@ item_pairs AS (
   SELECT unnest(list_transform(range(1, len(ws)), lambda i: [ws[i], ws[i + 1]])) AS p
   FROM (SELECT {_RUNS.format('text')} AS ws FROM benchmark)),
 lexicon AS (
-  SELECT DISTINCT w AS term FROM item_words WHERE length(w) >= 9
+  SELECT DISTINCT w AS term FROM item_words WHERE w <> ''
   UNION
-  SELECT DISTINCT p[1] || ' ' || p[2] FROM item_pairs WHERE length(p[1]) >= 5 AND length(p[2]) >= 5),
+  SELECT DISTINCT p[1] || ' ' || p[2] FROM item_pairs WHERE p[1] <> '' AND p[2] <> ''),
 found AS (
   SELECT doc_id, unnest(ws) AS phrase FROM (SELECT doc_id, {_RUNS.format('text')} AS ws FROM documents)
   UNION ALL
@@ -335,19 +335,17 @@ found AS (
 SELECT DISTINCT doc_id, term FROM found JOIN lexicon ON phrase = term""",
 )
 def benchmark_term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Matches of a table-sized lexicon: long words and word pairs of the profiles."""
+    """Matches of a table-sized lexicon: all words and word pairs of the profiles."""
     words = table(spark, sf_dir, "benchmark").select(runs(F.col("text")).alias("ws"))
-    long_words = words.select(F.explode("ws").alias("term")).where(F.length("term") >= 9)
+    single = words.select(F.explode("ws").alias("term")).where("term <> ''")
     pairs = words.select(
         F.explode(
             F.transform("ws", lambda w, i: F.struct(w.alias("a"), i.alias("i")))
         ).alias("first"),
         "ws",
     ).select(F.col("first.a").alias("a"), F.get("ws", F.col("first.i") + 1).alias("b"))
-    long_pairs = pairs.where((F.length("a") >= 5) & (F.length("b") >= 5)).select(
-        F.concat_ws(" ", "a", "b").alias("term")
-    )
-    lexicon = long_words.unionByName(long_pairs).distinct()
+    double = pairs.where("a <> '' AND b <> ''").select(F.concat_ws(" ", "a", "b").alias("term"))
+    lexicon = single.unionByName(double).distinct()
     return match_dictionary(documents(spark, sf_dir), lexicon)
 
 
