@@ -25,15 +25,19 @@ from rankloom.vocabulary import (
     CANDIDATE_YEARS,
     DEFAULT,
     EMAIL,
+    FIELD_EDGES,
+    INSTITUTION_BREAK,
+    ISSUER_BREAK,
     JOB_DEGREE,
     JOB_YEARS,
+    NAME_WORD,
     PHONE,
+    PHONE_EDGES,
     YEAR,
     YEAR_RANGE,
     Vocabulary,
 )
 
-_EDGES = " -,:;"
 _YEAR = regex(YEAR)
 
 
@@ -63,7 +67,7 @@ def phone(text: Column) -> Column:
     """First phone-like run with 10 to 15 digits, else the empty string."""
     tidy = F.transform(
         _all(text, regex(PHONE)),
-        lambda p: strip(F.regexp_replace(p, regex(r"\s+"), " "), " |,;"),
+        lambda p: strip(F.regexp_replace(p, regex(r"\s+"), " "), PHONE_EDGES),
     )
 
     def digits(p: Column) -> Column:
@@ -74,7 +78,7 @@ def phone(text: Column) -> Column:
 
 def looks_like_name(value: Column, blocked=DEFAULT.not_a_name) -> Column:
     """Two to four words of letters, none of them blocked."""
-    word = "[A-Za-z][A-Za-z'.-]*"
+    word = NAME_WORD
     shape = f"^{word}(?: +{word}){{1,3}}\\z"
     return value.rlike(shape) & ~value.rlike(f"(?i)(?:^| )(?:{'|'.join(blocked)})(?: |\\z)")
 
@@ -98,7 +102,7 @@ def person_name(text: Column, vocabulary: Vocabulary = DEFAULT) -> Column:
 def institution(line: Column, degree: Column) -> Column:
     """What remains of an education line once degree and years are removed."""
     rest = F.regexp_replace(F.replace(line, degree, F.lit("")), _YEAR, "")
-    parts = F.transform(F.split(rest, regex(r"\s{2,}|\||,")), lambda p: strip(p, _EDGES))
+    parts = F.transform(F.split(rest, regex(INSTITUTION_BREAK)), lambda p: strip(p, FIELD_EDGES))
     return _first(F.filter(parts, lambda p: p != ""))
 
 
@@ -108,7 +112,7 @@ def education(text: Column) -> Column:
 
     def record(line: Column) -> Column:
         return bind(
-            strip(F.regexp_extract(line, pattern, 0), _EDGES),
+            strip(F.regexp_extract(line, pattern, 0), FIELD_EDGES),
             lambda degree: F.struct(
                 degree.alias("degree"),
                 institution(line, degree).alias("institution"),
@@ -137,9 +141,9 @@ def certifications(text: Column, vocabulary: Vocabulary = DEFAULT) -> Column:
     cue = any_word(vocabulary.candidate_certification_cues)
 
     def record(line: Column) -> Column:
-        bare = strip(F.regexp_replace(line, _YEAR, ""), _EDGES)
+        bare = strip(F.regexp_replace(line, _YEAR, ""), FIELD_EDGES)
         parts = F.transform(
-            F.split(bare, regex(r"\s+-\s+|\s+\|\s+|,"), 2), lambda p: strip(p, _EDGES)
+            F.split(bare, regex(ISSUER_BREAK), 2), lambda p: strip(p, FIELD_EDGES)
         )
         return bind(
             parts,
@@ -167,7 +171,7 @@ def is_project_heading(line: Column, vocabulary: Vocabulary = DEFAULT) -> Column
         F.when(F.length(line) > 90, False)
         .when(F.endswith(line, F.lit(".")), False)
         .when(line.rlike(any_word(vocabulary.project_heading_cues)), True)
-        .otherwise(bind(_all(line, "[A-Za-z][A-Za-z'.-]*"), by_words))
+        .otherwise(bind(_all(line, NAME_WORD), by_words))
     )
 
 

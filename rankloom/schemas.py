@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Column names and their order must stay as they are for results to match.
 FEATURE_COLUMNS = [
     "semantic_similarity",
     "skill_match_percentage",

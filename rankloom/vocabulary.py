@@ -100,6 +100,13 @@ JOB_DEGREE = (
     r"Master(?:'s)?|MBA|Ph\.?D\.?|Doctorate|degree)\b[^.\n]*"
 )
 
+# What field values are stripped of, a word of a name, and what separates the parts of a line.
+FIELD_EDGES = " -,:;"
+PHONE_EDGES = " |,;"
+NAME_WORD = "[A-Za-z][A-Za-z'.-]*"
+INSTITUTION_BREAK = r"\s{2,}|\||,"
+ISSUER_BREAK = r"\s+-\s+|\s+\|\s+|,"
+
 # A dictionary term must not touch one of these characters on either side.
 TERM_CHARS = "A-Za-z0-9+#.-"
 
@@ -161,39 +168,49 @@ STRENGTHS = (
     ("tools_match", 0.70, None, "Good tools and platform match"),
 )
 MISSING_SKILLS = "Missing required skills: "
-# (required flag or None, feature, stays below or "zero", text)
+# (required flag or None, feature, comparison, bound, text)
 WEAKNESSES = (
-    (None, "skill_match_percentage", 0.50, "Overall skill match is low"),
-    (None, "experience_match_score", 0.70, "Experience match is below the role requirement"),
-    ("has_education", "education_match_score", 0.50,
+    (None, "skill_match_percentage", "<", 0.50, "Overall skill match is low"),
+    (None, "experience_match_score", "<", 0.70, "Experience match is below the role requirement"),
+    ("has_education", "education_match_score", "<", 0.50,
      "Education alignment is limited or not clearly stated"),
-    ("has_certification", "certification_match_score", "zero",
+    ("has_certification", "certification_match_score", "<=", 0.0,
      "Relevant certification match was not identified"),
-    ("has_language", "programming_language_match", 0.50, "Programming language match is limited"),
-    ("has_framework", "framework_match", "zero",
+    ("has_language", "programming_language_match", "<", 0.50, "Programming language match is limited"),
+    ("has_framework", "framework_match", "<=", 0.0,
      "Framework experience is missing or not clearly stated"),
-    ("has_tool", "tools_match", "zero", "Tools or cloud technology match is missing"),
-    (None, "project_relevance_score", 0.40, "Project relevance to the role is limited"),
+    ("has_tool", "tools_match", "<=", 0.0, "Tools or cloud technology match is missing"),
+    (None, "project_relevance_score", "<", 0.40, "Project relevance to the role is limited"),
 )
 ADD_SKILL = ("Add ", " if you have hands-on experience.")
 RECOMMENDATIONS = (
-    (None, "project_relevance_score", 0.60,
+    (None, "project_relevance_score", "<", 0.60,
      "Highlight projects that directly use the role's key skills."),
-    ("has_tool", "tools_match", 0.50,
+    ("has_tool", "tools_match", "<", 0.50,
      "Mention relevant tools, cloud platforms, and deployment work."),
-    ("has_framework", "framework_match", 0.50,
+    ("has_framework", "framework_match", "<", 0.50,
      "Add framework experience that matches the job description."),
-    ("has_language", "programming_language_match", 0.50,
+    ("has_language", "programming_language_match", "<", 0.50,
      "Emphasize programming languages requested by the role."),
-    (None, "experience_match_score", 0.80, "Clarify total years of relevant experience."),
-    (None, "semantic_similarity", 0.65,
+    (None, "experience_match_score", "<", 0.80, "Clarify total years of relevant experience."),
+    (None, "semantic_similarity", "<", 0.65,
      "Align resume wording more closely with the job requirements."),
-    (None, "skill_match_percentage", 0.70,
+    (None, "skill_match_percentage", "<", 0.70,
      "Move the most relevant skills into a clear skills section."),
 )
+SUMMARY_SCORE = ("The candidate is a ", " with an overall score of ", ".")
+SUMMARY_SIMILARITY = ("Semantic similarity is ", " at ", ", and skill match is ", ".")
+SUMMARY_MATCHED = ("Matched skills include ", ".")
+SUMMARY_GAPS = ("The main gaps are ", ".")
 NO_GAPS = "No required skill gaps were identified from the parsed data."
 REPORT_TITLE = "Resume Review Report"
 REPORT_RULE = "========================================================="
+REPORT_HEADINGS = (
+    "Candidate Name", "Job Title", "Overall Candidate Score", "Overall Assessment",
+    "Section 1\nSummary", "Section 2\nStrengths", "Section 3\nWeaknesses",
+    "Section 4\nMatched Skills", "Section 5\nMissing Skills", "Section 6\nDetailed Scores",
+    "Section 7\nRecommendations", "Section 8\nInterview Recommendation",
+)
 REPORT_DETAILS = (
     ("Semantic Similarity", "semantic_similarity"),
     ("Skill Match", "skill_match_percentage"),
