@@ -15,7 +15,7 @@ from rankloom.operators.similarity import top_matches, vectorize
 from rankloom.plans.catalog import query
 from rankloom.plans.market import table
 from rankloom.sources.files import assemble_pages, clean_documents
-from rankloom.sources.quarantine import with_reject_reason
+from rankloom.sources.quarantine import quarantine
 
 # Recurring lines of the documents, used as section headers.
 LICENSE_SECTIONS = {
@@ -498,7 +498,7 @@ SELECT doc_id, reason, n FROM (
   FROM documents d LEFT JOIN labels l USING (doc_id))""",
 )
 def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Unlabelled texts are withheld (null), low-quality ones blanked, then judged."""
+    """Unlabelled texts are withheld (null), low-quality ones blanked; both sides of the split."""
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     rows = documents(spark, sf_dir).join(labels, "doc_id", "left").select(
         "doc_id",
@@ -507,10 +507,9 @@ def quarantined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("quality") == 0, F.lit(" \n\t\0"))
         .alias("text"),
     )
-    judged = with_reject_reason(rows)
-    return judged.select(
-        "doc_id", F.coalesce("reject_reason", F.lit("accepted")).alias("reason"), "n"
-    )
+    accepted, rejects = quarantine(rows)
+    sides = accepted.withColumn("reject_reason", F.lit("accepted")).unionByName(rejects)
+    return sides.select("doc_id", F.col("reject_reason").alias("reason"), "n")
 
 
 @query(
