@@ -17,7 +17,9 @@ def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_B
     return seen["n"] <= max_rows and (seen["b"] or 0) <= max_bytes
 
 
-def lookup_join(left: DataFrame, right: DataFrame, key, small: bool | None = None) -> DataFrame:
+def lookup_join(
+    left: DataFrame, right: DataFrame, key, small: bool | None = None, how: str = "inner"
+) -> DataFrame:
     """Broadcast ``right`` when it is small, otherwise a plain equi-join by shuffle.
 
     In the latter adaptive execution splits hot keys of ``left`` by their measured bytes, however
@@ -25,8 +27,8 @@ def lookup_join(left: DataFrame, right: DataFrame, key, small: bool | None = Non
     by default ``right`` is measured, so it should be a written table.
     """
     if is_small(right) if small is None else small:
-        return left.join(F.broadcast(right), key)
-    return left.join(right, key)
+        return left.join(F.broadcast(right), key, how)
+    return left.join(right, key, how)
 
 
 def spread(df: DataFrame) -> DataFrame:
