@@ -23,10 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankloom.llm.words import HashSet, find_words, text_bytes, window_hashes, words_in
+from rankloom.llm.tables import short_batches
 from rankloom.session import scratch_path
 
 WINDOW = 10
 INDEX_BYTES = 48 * 1024 * 1024
+OMITTED = "\n\u2026\n".encode()
 
 
 @dataclass
@@ -198,27 +200,36 @@ def remove_documents(docs: DataFrame, items: DataFrame, share: float = 0.0, n: i
 
 def remove_spans(docs: DataFrame, items: DataFrame, share: float = 1.0, n: int = WINDOW, **names) -> DataFrame:
     """``docs``, all columns, with the hit spans cut out of the texts; documents whose share of
-    hit words is over ``share`` go. A line break takes the place of a cut span."""
+    hit words is over ``share`` go. ``OMITTED`` takes the place of a cut span; its ellipsis is a
+    word, so no window forms across the cut."""
     return _apply(docs, items, n, share, True, **names)
 
 
 def _apply(docs, items, n, share, cut, text="text", item_id="item_id", item_text="text", limit=INDEX_BYTES) -> DataFrame:
     place, schema, spark = docs.columns.index(text), docs.schema, docs.sparkSession
+    short_batches(spark)
 
-    def remover(shared):
+    def cutter(shared):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 hits = scan_texts(batch.column(place), shared.value)
-                batch = _cut_out(batch, place, hits.spans) if cut else batch
-                yield batch.filter(pa.array(hits.n_hit <= share * hits.n_words))
+                yield _cut_out(batch, place, hits.spans).filter(pa.array(hits.n_hit <= share * hits.n_words))
 
         return run
 
+    def clean(shared):
+        @F.arrow_udf("boolean")
+        def stays(texts: pa.Array) -> pa.Array:
+            hits = scan_texts(texts, shared.value)
+            return pa.array(hits.n_hit <= share * hits.n_words)
+
+        return stays(F.col(text).cast("string"))
+
     # A removed span only shortens a text, so one pass after another suffices for several slices;
     # shares then refer to the text that is left.
     for part in slices(benchmark_windows(items, n, item_id, item_text), limit):
         index = spark.sparkContext.broadcast(build_index(part.collect()))
-        docs = docs.mapInArrow(remover(index), schema)
+        docs = docs.mapInArrow(cutter(index), schema) if cut else docs.where(clean(index))
     return docs
 
 
@@ -232,6 +243,6 @@ def _cut_out(batch: pa.RecordBatch, place: int, spans: list[list[tuple[int, int]
             for begin, end in cuts:
                 kept.append(raw[at:begin])
                 at = end
-            values[i] = b"\n".join([*kept, raw[at:]]).decode()
+            values[i] = OMITTED.join([*kept, raw[at:]]).decode()
     columns = [pa.array(values, batch.schema.field(j).type) if j == place else batch.column(j) for j in range(batch.num_columns)]
     return pa.RecordBatch.from_arrays(columns, schema=batch.schema)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.tables import written
+from rankloom.llm.tables import short_batches, written
 from rankloom.llm.words import WORD_BYTES, mix, text_bytes
 
 #: Documents the scorer is fitted on, about; all documents count for the labellers and are scored.
@@ -247,13 +247,14 @@ def _score(doc, bucket, value, weights: np.ndarray, bias: float, docs: int) -> n
     return 1 / (1 + np.exp(-np.clip(total, -50, 50)))
 
 
-def _parts(column: pa.Array, size: int = 4 << 20) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """Some megabytes of texts at a time."""
-    data, offsets = text_bytes(column)
-    count = len(offsets) - 1
-    starts = np.flatnonzero(np.diff(offsets[:-1] // size, prepend=-1)) if count else []
-    for a, b in zip(starts, [*starts[1:], count], strict=True):
-        yield slice(a, b), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+def _parts(column: pa.Array, size: int = 1 << 20, rows: int = 512) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """About a megabyte of texts at a time, which bounds the arrays over their bytes."""
+    for begin in range(0, len(column), rows):
+        data, offsets = text_bytes(column.slice(begin, rows))
+        count = len(offsets) - 1
+        starts = np.flatnonzero(np.diff(offsets[:-1] // size, prepend=-1))
+        for a, b in zip(starts, [*starts[1:], count], strict=True):
+            yield slice(begin + a, begin + b), data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
 
 
 def _patterns(column: pa.Array) -> np.ndarray:
@@ -306,6 +307,7 @@ def fit_scorer(docs: DataFrame, text: str = "text", sample: int = SAMPLE, steps:
     accelerated gradient descent is one job that returns a gradient for each of a few partitions.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     body = docs.select(F.col(text).cast("string").alias("text")).where(F.col("text").isNotNull())
     labels = fit_labels(docs, text)
     total = docs.count()
@@ -379,10 +381,9 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 def keep_good(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> DataFrame:
     """``docs``, all columns, without the documents that the scorer rejects."""
     scorer = docs.sparkSession.sparkContext.broadcast(fit_scorer(docs, text, sample))
-    place = docs.columns.index(text)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(kept(*scorer.value.judge(batch.column(place)))))
+    @F.arrow_udf("boolean")
+    def stays(texts: pa.Array) -> pa.Array:
+        return pa.array(kept(*scorer.value.judge(texts)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.where(stays(F.col(text).cast("string")))

@@ -27,6 +27,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.llm.tables import short_batches
 from rankloom.session import scratch_path
 
 LENGTH = 1024
@@ -124,6 +125,7 @@ def sequences(
     ``starts`` has the place in the sequence at which the part of each of ``doc_ids`` begins.
     ``ranks`` is the path of a rank file, read on the driver.
     """
+    short_batches(docs.sparkSession)
     with open(ranks, "rb") as file:
         shared = docs.sparkSession.sparkContext.broadcast(file.read())
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.llm.components import components
-from rankloom.llm.tables import unused, written
+from rankloom.llm.tables import short_batches, unused, written
 from rankloom.llm.words import mix
 
 SEED = 42
@@ -117,11 +117,14 @@ def fingerprints(docs: DataFrame, features=CONTRACT, doc_id: str = "doc_id", tex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint((t or "").encode(), features) for t in batch.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(made, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "fp"]
-            )
+            # Some rows at a time: their texts are Python objects meanwhile.
+            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
+                made = [fingerprint((t or "").encode(), features) for t in part.column(2).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), pa.array(made, pa.list_(pa.int64()))], names=["doc_id", "text_hash", "fp"]
+                )
 
+    short_batches(docs.sparkSession)
     body = F.col(text).cast("string")
     narrow = docs.select(F.col(doc_id).alias("doc_id"), _text_hash(body).alias("text_hash"), body.alias("text"))
     return narrow.mapInArrow(run, f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_hash bigint, fp array<bigint>")

@@ -81,7 +81,7 @@ def test_removal(tables, limit):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [2, 4, 5, 6, 7]
     cut = {r.doc_id: r.text for r in d.remove_spans(docs, items, limit=limit).collect()}
-    assert cut[1] == "xx \n yy" and cut[4] is None and cut[2] == TEXTS[1][1]
+    assert cut[1] == "xx \n\u2026\n yy" and cut[4] is None and cut[2] == TEXTS[1][1]
     assert all(plain(t, [i for i in ITEMS if i[0] is not None])[1] == 0 for t in cut.values())
 
 
