@@ -3,8 +3,9 @@
 A line is boilerplate of a host if it stands on more than ``ratio`` of the host's pages, and on at
 least ``least`` pages. Lines are counted once for each page by two 64-bit hashes and summed before
 the exchange, so a line on a third of all pages is a counter, not a group. A host has at most
-1 / ratio times its lines a page as boilerplate; that short list meets the pages of the host in an
-equi-join, which adaptive execution broadcasts or splits.
+1 / ratio times its lines a page as boilerplate. These short lists are written and measured: small
+ones are broadcast, so that the pages of a large host stay where they were read; beyond the bound
+they meet the pages in an equi-join in which adaptive execution splits the large host.
 
 Defined results: a null or empty text has no lines; a page without host keeps all its lines and
 counts for none; repeated pages each count; blank lines are not lines.
@@ -15,7 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rankloom.llm.tables import unused
+from rankloom.llm.tables import unused, written
+from rankloom.operators.joins import lookup_join
 
 RATIO = 0.1
 LEAST = 5
@@ -57,7 +59,8 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, least: int = LEAST) -> D
     totals = sited.groupBy("host").agg(F.count("*").alias("pages"))
     single = sited.select("host", F.explode(F.transform(F.array_distinct("lines"), _key)).alias("key"))
     counts = single.groupBy("host", "key").agg(F.count("*").alias("holding")).where(F.col("holding") >= least)
-    common = counts.join(totals, "host").where(F.col("holding") > ratio * F.col("pages"))
+    held = lookup_join(counts, written(totals, "hosts"), "host")
+    common = held.where(F.col("holding") > ratio * F.col("pages"))
     return common.groupBy("host").agg(F.collect_list("key").alias("keys"))
 
 
@@ -70,7 +73,8 @@ def drop_boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float
     for name in ("host", "n_lines", "n_dropped", "kept_text"):
         names[name] = unused(pages, name)
     lines = pages.select(F.struct("*").alias("row"), host.alias("host"), text_lines(text).alias("lines"))
-    marked = lines.join(boilerplate(lines.select("host", "lines"), ratio, least), "host", "left")
+    common = written(boilerplate(lines.select("host", "lines"), ratio, least), "boilerplate")
+    marked = lookup_join(lines, common, "host", how="left")
     keys = F.coalesce("keys", F.array().cast("array<struct<h1:bigint,h2:bigint>>"))
     kept = F.filter("lines", lambda x: ~F.array_contains(F.col("common"), _key(x)))
     found = marked.withColumn("common", keys).withColumn("kept", kept)
