@@ -25,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankloom.llm.tables import written
+from rankloom.operators.joins import lookup_join
+
 END = b"\r\n\r\n"
 SEGMENT = 1 << 20
 LEAST_SHARED = 1000
@@ -39,8 +42,9 @@ RECORDS = "page_id bigint, url string, record_type string, refers_to bigint, seg
 def with_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url", payload: str = "html", least: int = LEAST_SHARED) -> DataFrame:
     """(page_id, url, payload, size, digest, refers_to): the rows to write.
 
-    Only the keys and digests are grouped; a payload is shuffled at most once, and a digest that
-    many pages share is split by adaptive execution.
+    Only keys and digests are grouped. The table of shared digests is written and measured: a small
+    one is broadcast, so that payloads are not shuffled; beyond the bound it meets them in an
+    equi-join in which adaptive execution splits a digest that many pages share.
     """
     body = F.coalesce(F.col(payload).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).cast("string").alias("url"), body.alias("payload"))
@@ -48,7 +52,7 @@ def with_revisits(pages: DataFrame, page_id: str = "page_id", url: str = "url",
     same = ["digest", "check", "size"]
     groups = rows.where(F.col("size") >= least).groupBy(*same)
     shared = groups.agg(F.max("page_id").alias("kept"), F.count("*").alias("n")).where("n > 1 AND kept IS NOT NULL")
-    found = rows.join(shared.drop("n"), same, "left")
+    found = lookup_join(rows, written(shared.drop("n"), "shared"), same, how="left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("kept")), F.col("kept"))
     return found.select("page_id", "url", "payload", "size", "digest", refers.alias("refers_to"))
 
