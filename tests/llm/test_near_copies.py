@@ -1,0 +1,96 @@
+"""The near-copy stage against the Jaccard similarity of all pairs, for block and word edits."""
+
+import itertools
+import random
+
+import numpy as np
+import pytest
+
+from rankloom.llm import simhash
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def plain_kept(rows):
+    """Least id of each group that pairs with a similarity of 0.8 connect, by comparing all pairs."""
+    parent = {d: d for d, _ in rows}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    sets = {d: shingles(t) for d, t in rows}
+    for a, b in itertools.combinations(sets, 2):
+        if jaccard(sets[a], sets[b]) >= 0.8:
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    return sorted({root(d) for d in parent})
+
+
+def edited(words, block, lost):
+    """The words with about ``lost`` shingles changed, by one replaced block or by single words."""
+    words = list(words)
+    if block:
+        at = random.randrange(5, len(words) - lost - 5)
+        places = range(at, at + lost - 4)
+    else:
+        places = random.sample(range(4, len(words) - 4, 5), lost // 5)
+    for at in places:
+        words[at] = f"new{random.random()}"
+    return words
+
+
+@pytest.mark.parametrize("block", [True, False])
+def test_pairs_from_the_threshold_on_are_found_and_others_stay(spark, block):
+    random.seed(7)
+    rows = []
+    for i in range(0, 600, 2):
+        words = [f"w{random.randrange(5000)}" for _ in range(300)]
+        rows += [(i, " ".join(words)), (i + 1, " ".join(edited(words, block, random.choice([15, 30, 32, 35, 45, 60]))))]
+    found = [jaccard(shingles(a), shingles(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2], strict=True)]
+    assert sum(j >= 0.8 for j in found) > 50 and sum(0.65 < j < 0.8 for j in found) > 50
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == plain_kept(rows)
+
+
+@pytest.mark.parametrize("tile", [1 << 20, 2000])
+def test_large_groups_equal_all_pairs_in_tiles(spark, monkeypatch, tile):
+    """A chain of edits and copies of one template, in one tile or many."""
+    monkeypatch.setattr(simhash, "TILE", tile)
+    random.seed(9)
+    words, rows = [f"w{i}" for i in range(200)], []
+    for i in range(60):
+        rows.append((i, " ".join(words)))
+        words[(i * 7) % 200] = f"step{i}"
+        rows.append((100 + i, " ".join(edited([f"w{j}" for j in range(200)], True, random.choice([30, 60, 90])))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == plain_kept(rows)
+
+
+def test_stage_equals_all_pairs_of_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").where("doc_id IS NOT NULL")
+    rows = [(r.doc_id, r.text) for r in docs.collect() if r.text and r.text.split()]
+    kept = simhash.keep_one(docs.where("text RLIKE '[^ \\\\s]'"))
+    assert sorted(r.doc_id for r in kept.collect()) == plain_kept(rows)
+
+
+def test_links_connect_what_all_pairs_connect():
+    random.seed(2)
+    sets = [np.unique(np.array([random.randrange(40) for _ in range(random.choice([3, 20, 60]))], np.uint64)) for _ in range(80)]
+
+    def classes(links):
+        part = list(range(len(sets)))
+        for a, b in links:
+            part = [part[b] if p == part[a] else p for p in part]
+        return [part.index(p) for p in part]
+
+    near = [(a, b) for a, b in itertools.combinations(range(80), 2) if len(np.intersect1d(sets[a], sets[b])) / len(np.union1d(sets[a], sets[b])) >= 0.5]
+    assert classes(simhash.similar_links(sets, 0.5)) == classes(near)
