@@ -61,6 +61,18 @@ def test_pairs_from_the_threshold_on_are_found_and_others_stay(spark, block):
     assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == plain_kept(rows)
 
 
+def test_short_texts_that_differ_in_a_word_stay(spark):
+    random.seed(8)
+    rows = []
+    for i in range(0, 300, 2):
+        words = [f"w{random.randrange(5000)}" for _ in range(random.choice([3, 8, 9, 10, 13, 14]))]
+        rows += [(i, " ".join(words)), (i + 1, " ".join([*words[:-1], "other"]))]
+    assert 0.8 > jaccard(*map(shingles, ["a b c d e f g h i j", "a b c d e f g h i k"])) > 0.7
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = sorted(r.doc_id for r in simhash.keep_one(docs).collect())
+    assert kept == plain_kept(rows) and 150 < len(kept) < 300
+
+
 @pytest.mark.parametrize("tile", [1 << 20, 2000])
 def test_large_groups_equal_all_pairs_in_tiles(spark, monkeypatch, tile):
     """A chain of edits and copies of one template, in one tile or many."""
