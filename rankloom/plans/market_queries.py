@@ -444,13 +444,12 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _trained(spark: SparkSession, sf_dir: str):
     """(model, metrics) of the default forest with five folds, by the first query that needs it.
 
-    It is fitted on about ``forest.FIT_ROWS`` labelled rows. The metrics are written last, so their
-    marker stands for a whole model.
+    Each fit sees about ``forest.FIT_ROWS`` labelled rows; hold-out and folds are over all pairs, and
+    all of them are scored. The metrics are written last, so their marker stands for a whole model.
     """
     path = _run_path(spark, sf_dir, "model")
     if not exists(spark, f"{path}-metrics/_SUCCESS"):
-        rows = forest.bounded(_training(spark, sf_dir), _PAIR)
-        _, metrics = train_model(rows, path, labelled=True)
+        _, metrics = train_model(_training(spark, sf_dir), path, labelled=True, most=forest.FIT_ROWS)
         metrics.write.mode("overwrite").parquet(f"{path}-metrics")
     return forest.load_model(path), spark.read.parquet(f"{path}-metrics")
 

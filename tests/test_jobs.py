@@ -5,10 +5,11 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from rankloom.operators import forest
-from rankloom.operators.labels import with_target
+from rankloom.operators.labels import exact_holdout, with_target
 from rankloom.operators.pairs import assign
 from rankloom.operators.ranking import CONFIDENCE, SCORE, confidence, rank_all
 from rankloom.operators.records import parse_candidates, parse_jobs
+from rankloom.plans import market_queries
 from rankloom.plans.jobs import predict_candidates, review_pairs, verify_features
 from rankloom.schemas import FEATURE_COLUMNS, TARGET_COLUMN, require_columns
 from rankloom.session import scratch_path
@@ -180,6 +181,35 @@ def test_fit_rows_are_bounded_and_stable(trained):
     assert 60 < some.count() < 140 and sorted(some.collect()) == sorted(forest.bounded(training.repartition(7), keys, 100).collect())
 
 
+def test_bounded_fits_are_measured_on_all_rows(trained, monkeypatch):
+    training, keys = trained[0], ("candidate_id", "job_id")
+    measured, drawn = [], []
+    errors, bounded = forest.error_metrics, forest.bounded
+    monkeypatch.setattr(forest, "error_metrics", lambda df, *a, **b: measured.append(df.count()) or errors(df, *a, **b))
+    monkeypatch.setattr(forest, "bounded", lambda *a: drawn.append(bounded(*a)) or drawn[-1])
+    model, metrics = forest.train(training, trees=5, depth=4, folds=2, most=100)
+    assert measured[0] == 80 and len(measured) == 3 and sum(measured[1:]) == 400
+    assert len(drawn) == 3 and all(60 < df.count() < 140 for df in drawn)
+    held_out = exact_holdout(training, keys).where("is_test")
+    expected = errors(model.transform(forest.assemble(held_out))).first()
+    assert all(metrics.first()[k] == pytest.approx(expected[k]) for k in ("mae", "rmse", "r2_score"))
+
+
+def test_query_trains_on_all_pairs(spark, monkeypatch):
+    given = []
+    monkeypatch.setattr(market_queries, "_run_path", lambda spark, sf_dir, name: scratch_path(spark, name))
+    monkeypatch.setattr(market_queries, "_training", lambda spark, sf_dir: spark.range(20_000).selectExpr("id AS candidate_id", "id AS job_id"))
+
+    def train(rows, path, **settings):
+        given.append((rows.count(), settings["most"]))
+        raise InterruptedError
+
+    monkeypatch.setattr(market_queries, "train_model", train)
+    with pytest.raises(InterruptedError):
+        market_queries._trained(spark, "none")
+    assert given == [(20_000, forest.FIT_ROWS)]
+
+
 def test_confidence_uses_single_trees(spark, trained):
     training, model, _ = trained
     rows = forest.assemble(training).limit(20)
