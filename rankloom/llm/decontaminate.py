@@ -5,8 +5,9 @@ each task scans the word windows of its texts, verifies every hash hit on the wo
 and reports or removes the hit spans. Documents are never shuffled. A test set beyond
 ``INDEX_BYTES`` is cut into slices by window hash; each slice is one pass over the texts.
 
-Defined results: a null or empty text has no words and no hits; an item without id or words takes
-no part; an item of fewer than ``n`` words is one window; repeated items and documents count each
+Defined results: a null or empty text has no words and no hits; an item without words takes no part;
+an item without id takes none either unless ``unnamed`` is set: it is then hit as any other, and one
+null among the items of a document stands for all items without id; an item of fewer than ``n`` words is one window; repeated items and documents count each
 for itself; with an empty benchmark nothing is hit.
 """
 
@@ -40,7 +41,9 @@ class WindowIndex:
     entries: list[dict[bytes, list]]
 
 
-def benchmark_windows(items: DataFrame, n: int = WINDOW, item_id: str = "item_id", text: str = "text") -> DataFrame:
+def benchmark_windows(
+    items: DataFrame, n: int = WINDOW, item_id: str = "item_id", text: str = "text", unnamed: bool = False
+) -> DataFrame:
     """Distinct (item_id, n, window) rows; ``window`` holds lower-cased words one space apart."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -61,10 +64,14 @@ def benchmark_windows(items: DataFrame, n: int = WINDOW, item_id: str = "item_id
             )
 
     kind = items.schema[item_id].dataType.simpleString()
-    chosen = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
+    chosen = items.where(F.col(item_id).isNotNull() | F.lit(unnamed)).select(F.col(item_id).alias("item_id"), F.col(text).alias("text"))
     return chosen.mapInArrow(cut, f"item_id {kind}, n int, window binary").distinct()
 
 
+def _in_order(ids) -> list:
+    return sorted(ids, key=lambda i: (i is None, i if i is not None else 0))
+
+
 def build_index(rows) -> list[WindowIndex]:
     """One index for each window length among collected (item_id, n, window) rows."""
     by_length: dict[int, dict[bytes, list]] = {}
@@ -79,7 +86,7 @@ def build_index(rows) -> list[WindowIndex]:
         members = HashSet(hashes)
         entries: list[dict[bytes, list]] = [{} for _ in members.values]
         for place, window in zip(np.searchsorted(members.values, hashes), texts, strict=True):
-            entries[place][window] = sorted(windows[window])
+            entries[place][window] = _in_order(windows[window])
         made.append(WindowIndex(n, members, entries))
     return made
 
@@ -124,7 +131,7 @@ def scan_texts(column: pa.Array, index: list[WindowIndex], before: Hits | None =
         for run in np.split(at, breaks):
             doc = owner[run[0]]
             spans[doc].append((int(begins[run[0]] - offsets[doc]), int(ends[run[-1]] - offsets[doc])))
-    return Hits(np.diff(first), sums[first[1:]] - sums[first[:-1]], spans, [sorted(x) for x in items])
+    return Hits(np.diff(first), sums[first[1:]] - sums[first[:-1]], spans, [_in_order(x) for x in items])
 
 
 def slices(windows: DataFrame, limit: int = INDEX_BYTES) -> list[DataFrame]:
@@ -144,6 +151,7 @@ def contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     limit: int = INDEX_BYTES,
+    unnamed: bool = False,
 ) -> DataFrame:
     """(doc_id, n_words, n_hit, spans, items) for every document.
 
@@ -175,7 +183,7 @@ def contamination(
 
         return scan
 
-    parts = slices(benchmark_windows(items, n, item_id, item_text), limit)
+    parts = slices(benchmark_windows(items, n, item_id, item_text, unnamed), limit)
     found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
     for i, part in enumerate(parts):
         last = i == len(parts) - 1
@@ -205,7 +213,9 @@ def remove_spans(docs: DataFrame, items: DataFrame, share: float = 1.0, n: int =
     return _apply(docs, items, n, share, True, **names)
 
 
-def _apply(docs, items, n, share, cut, text="text", item_id="item_id", item_text="text", limit=INDEX_BYTES) -> DataFrame:
+def _apply(
+    docs, items, n, share, cut, text="text", item_id="item_id", item_text="text", limit=INDEX_BYTES, unnamed=False
+) -> DataFrame:
     place, schema, spark = docs.columns.index(text), docs.schema, docs.sparkSession
     short_batches(spark)
 
@@ -227,7 +237,7 @@ def _apply(docs, items, n, share, cut, text="text", item_id="item_id", item_text
 
     # A removed span only shortens a text, so one pass after another suffices for several slices;
     # shares then refer to the text that is left.
-    for part in slices(benchmark_windows(items, n, item_id, item_text), limit):
+    for part in slices(benchmark_windows(items, n, item_id, item_text, unnamed), limit):
         index = spark.sparkContext.broadcast(build_index(part.collect()))
         docs = docs.mapInArrow(cutter(index), schema) if cut else docs.where(clean(index))
     return docs

@@ -1,12 +1,16 @@
 """Decontamination against a plain window search."""
 
+import os
 import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from check_queries import compare
 from rankloom.llm import decontaminate as d
+from rankloom.llm.queries import op4_decontamination
 
 
 def words_of(text):
@@ -90,3 +94,20 @@ def test_empty_tables(tables):
     assert d.contamination(docs.limit(0), items).count() == 0
     clean = d.contamination(docs, items.limit(0)).collect()
     assert len(clean) == len(TEXTS) and all(r.n_hit == 0 and r["items"] == [] for r in clean)
+
+
+def test_items_without_id_count_in_the_query_and_the_pipeline(spark, sf_dir, tables, tmp_path):
+    docs, items = tables
+    docs = docs.drop("n_hit").where("doc_id IS NOT NULL AND doc_id <> 8")
+    for name in os.listdir(sf_dir):
+        if name not in ("documents.parquet", "benchmark.parquet"):
+            os.symlink(f"{sf_dir}/{name}", tmp_path / name)
+    for name, rows in (("documents", docs), ("benchmark", items)):
+        pq.write_table(rows.toArrow(), tmp_path / f"{name}.parquet")
+    got = {r.doc_id: r for r in op4_decontamination(spark, str(tmp_path)).collect()}
+    assert got[7].contaminated and got[7].n_hit == 3 and got[7].n_items == 1
+    assert not got[2].contaminated and got[1].n_items == 1
+    assert compare(spark, "op4_decontamination", str(tmp_path)).startswith("ok")
+    assert 7 not in {r.doc_id for r in corpus_pipeline.drop_leaks(spark, docs, str(tmp_path)).collect()}
+    found = d.contamination(docs, items, limit=300, unnamed=True).where("doc_id = 7").first()
+    assert found.n_hit == 3 and found["items"] == [None]
