@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankloom.llm import decontaminate, licenses, lines, mixing, neighbours, quality, shards, simhash, transducer, warc
+from rankloom.llm import (
+    decontaminate,
+    hard_negatives,
+    licenses,
+    lines,
+    mixing,
+    neighbours,
+    quality,
+    ranked,
+    shards,
+    simhash,
+    toxicity,
+    transducer,
+    warc,
+)
 from rankloom.llm.registry import query, table
 from rankloom.session import scratch_path
 
@@ -196,3 +210,69 @@ def training_shards(spark: SparkSession, docs: DataFrame) -> DataFrame:
 @query()
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return training_shards(spark, table(spark, sf_dir, "documents"))
+
+
+@query(
+    f"""
+    WITH t AS (SELECT row_number() OVER () AS r, doc_id, {WORDS.format("coalesce(text, '')")} AS w FROM documents),
+    d AS (SELECT r, doc_id, w, len(w) AS n FROM t WHERE len(w) > 0),
+    c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_words FROM d),
+    q AS (SELECT DISTINCT item_id, unnest({WORDS.format("coalesce(text, '')")}) AS term FROM benchmark),
+    tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, c GROUP BY term),
+    impact AS (
+      SELECT r, doc_id, term, w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_words))) AS s
+      FROM tf JOIN w USING (term) JOIN d USING (r), c),
+    scored AS (SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(s) AS BIGINT) AS score
+      FROM impact JOIN q USING (term) GROUP BY item_id, r),
+    ranked AS (SELECT item_id, doc_id, score,
+        CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM scored WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """
+)
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
+@query()
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = toxicity.score_toxicity(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
+@query(
+    """
+    WITH n AS (
+      SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        CAST(embedding AS DOUBLE[]) AS e
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL),
+    bad AS (SELECT DISTINCT r FROM (SELECT r, unnest(e) AS x FROM n) WHERE NOT coalesce(isfinite(x), false)),
+    v AS (SELECT r, vec_id, label, list_transform(e, lambda x: floor(256 * x)) AS e FROM n WHERE r NOT IN (SELECT r FROM bad)),
+    s AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same,
+        CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id AND len(a.e) = len(c.e)),
+    p AS (
+      SELECT anchor_id, id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS place
+      FROM s WHERE same QUALIFY place <= 5),
+    ranked AS (
+      SELECT anchor_id, positive_id, positive_score, id AS negative_id, score AS negative_score,
+        CAST(row_number() OVER (PARTITION BY anchor_id, place ORDER BY score DESC, id) AS INTEGER) AS rank
+      FROM p JOIN s USING (anchor_id)
+      WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 5
+    """
+)
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, shifted)
