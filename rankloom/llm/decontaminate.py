@@ -3,7 +3,8 @@
 The items' windows are collected behind a check of their bytes and broadcast as sorted hashes;
 each task scans the word windows of its texts, verifies every hash hit on the words themselves,
 and reports or removes the hit spans. Documents are never shuffled. A test set beyond
-``INDEX_BYTES`` is cut into slices by window hash; each slice is one pass over the texts.
+``INDEX_BYTES`` is cut into slices by window hash; each slice is one pass over the texts, and only
+when all hits of a text are known is it judged or cut, so the results do not depend on the slices.
 
 Defined results: a null or empty text has no words and no hits; an item without words takes no part;
 an item without id takes none either unless ``unnamed`` is set: it is then hit as any other, and one
@@ -19,13 +20,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from rankloom.llm.words import HashSet, find_words, text_bytes, window_hashes, words_in
-from rankloom.llm.tables import short_batches
-from rankloom.session import scratch_path
+from rankloom.llm.tables import BATCH_ROWS, unused, written
 
 WINDOW = 10
 INDEX_BYTES = 48 * 1024 * 1024
@@ -142,6 +143,73 @@ def slices(windows: DataFrame, limit: int = INDEX_BYTES) -> list[DataFrame]:
     return [windows.where(part == i) for i in range(parts)]
 
 
+#: Keys of hit texts that are broadcast, at most; more are joined by a shuffle.
+FEW_TEXTS = 200_000
+_SPANS = "array<struct<begin:bigint,end:bigint>>"
+_SPANS_ARROW = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
+
+
+def _text_key(text: Column) -> list[Column]:
+    """128 bits that name a text; equal texts have equal hits."""
+    return [F.xxhash64(text), F.xxhash64(F.lit("text"), text)]
+
+
+def _span_array(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"begin": b, "end": e} for b, e in x] for x in spans], _SPANS_ARROW)
+
+
+def _known(spans: pa.Array, items: pa.Array) -> Hits:
+    pairs = [[(s["begin"], s["end"]) for s in x or ()] for x in spans.to_pylist()]
+    return Hits(np.zeros(0), np.zeros(0), pairs, [x or [] for x in items.to_pylist()])
+
+
+@dataclass
+class Search:
+    """How a scan gets its hits: from an index, or, beyond one slice, from columns of the rows."""
+
+    docs: DataFrame
+    columns: list[str]
+    index: Broadcast | None
+
+    def hits(self, texts: pa.Array, spans: pa.Array | None = None, items: pa.Array | None = None) -> Hits:
+        return scan_texts(texts, self.index.value if self.index else [], None if spans is None else _known(spans, items))
+
+
+def _search(docs: DataFrame, text: str, windows: DataFrame, items_sql: str, limit: int) -> Search:
+    """One slice of windows is an index for the scan that decides. Several are searched one after
+    another, each index released before the next; hit texts go to a table by key, and all their
+    hits are joined to the documents, so that whatever is decided is decided once."""
+    spark, body = docs.sparkSession, F.col(f"`{text}`").cast("string")
+    parts = slices(windows, limit)
+    if len(parts) == 1:
+        return Search(docs, [], spark.sparkContext.broadcast(build_index(parts[0].collect())))
+    items_type = to_arrow_type(windows.schema["item_id"].dataType)
+    texts = docs.select(*[k.alias(f"key{i}") for i, k in enumerate(_text_key(body))], body.alias("text")).where("text IS NOT NULL")
+    found = None
+    for part in parts:
+        index = spark.sparkContext.broadcast(build_index(part.collect()))
+
+        def scan(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                hits = scan_texts(batch.column(2), index.value)
+                columns = [batch.column(0), batch.column(1), _span_array(hits.spans), pa.array(hits.items, pa.list_(items_type))]
+                yield pa.RecordBatch.from_arrays(columns, names=["key0", "key1", "spans", "items"]).filter(pa.array(hits.n_hit > 0))
+
+        hit = texts.mapInArrow(scan, f"key0 bigint, key1 bigint, spans {_SPANS}, items {items_sql}")
+        one = written(hit.groupBy("key0", "key1").agg(F.first("spans").alias("spans"), F.first("items").alias("items")), "hits")
+        found = one if found is None else found.unionByName(one)
+        index.destroy()
+    # At most one row a text and slice.
+    every = lambda c: F.flatten(F.collect_list(c)).alias(c)
+    merged = written(found.groupBy("key0", "key1").agg(every("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")), "hits")
+    names = [unused(docs, n) for n in ("hit_key0", "hit_key1", "hit_spans", "hit_items")]
+    merged = merged.toDF(*names)
+    if merged.limit(FEW_TEXTS + 1).count() <= FEW_TEXTS:
+        merged = F.broadcast(merged)
+    same = [k == F.col(n) for k, n in zip(_text_key(body), names[:2], strict=True)]
+    return Search(docs.join(merged, same[0] & same[1], "left").drop(*names[:2]), names[2:], None)
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -158,47 +226,29 @@ def contamination(
     ``spans`` are (begin, end) byte ranges of the text that item windows cover; ``n_hit`` counts
     the words in them; ``items`` are the sorted ids of the items with windows in the text.
     """
-    spark = docs.sparkSession
-    spans_type = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
     items_type = pa.list_(to_arrow_type(items.schema[item_id].dataType))
-    spans_sql = "array<struct<begin:bigint,end:bigint>>"
     items_sql = f"array<{items.schema[item_id].dataType.simpleString()}>"
     key_sql = docs.schema[doc_id].dataType.simpleString()
-
-    def scanner(index: list[WindowIndex], first: bool, last: bool):
-        shared = spark.sparkContext.broadcast(index)
-
-        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                before = None
-                if not first:
-                    spans = [[(s["begin"], s["end"]) for s in x] for x in batch.column(2).to_pylist()]
-                    before = Hits(np.zeros(0), np.zeros(0), spans, batch.column(3).to_pylist())
-                hits = scan_texts(batch.column(1), shared.value, before)
-                spans = pa.array([[{"begin": b, "end": e} for b, e in x] for x in hits.spans], spans_type)
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    search = _search(narrow, "text", benchmark_windows(items, n, item_id, item_text, unnamed), items_sql, limit)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                hits = search_hits(*batch.columns[1:])
                 counts = [pa.array(hits.n_words, pa.int64()), pa.array(hits.n_hit, pa.int64())]
-                found = [spans, pa.array(hits.items, items_type)]
-                columns = [batch.column(0), *counts, *found] if last else [batch.column(0), batch.column(1), *found]
-                yield pa.RecordBatch.from_arrays(columns, names=COUNTED if last else CARRIED)
-
-        return scan
+                columns = [batch.column(0), *counts, _span_array(hits.spans), pa.array(hits.items, items_type)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "spans", "items"])
 
-    parts = slices(benchmark_windows(items, n, item_id, item_text, unnamed), limit)
-    found = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    for i, part in enumerate(parts):
-        last = i == len(parts) - 1
-        head = f"doc_id {key_sql}, " + ("n_words bigint, n_hit bigint" if last else "text string")
-        schema = f"{head}, spans {spans_sql}, items {items_sql}"
-        found = found.mapInArrow(scanner(build_index(part.collect()), i == 0, last), schema)
-        if not last:
-            path = scratch_path(spark, "decontaminate")
-            found.write.parquet(path)
-            found = spark.read.parquet(path)
-    return found
+    search_hits = _scanner(search)
+    schema = f"doc_id {key_sql}, n_words bigint, n_hit bigint, spans {_SPANS}, items {items_sql}"
+    return search.docs.mapInArrow(scan, schema)
 
 
-COUNTED = ["doc_id", "n_words", "n_hit", "spans", "items"]
-CARRIED = ["doc_id", "text", "spans", "items"]
+def _scanner(search: Search):
+    """The search without its DataFrame, which cannot go to tasks."""
+    return Search(None, search.columns, search.index).hits
 
 
 def remove_documents(docs: DataFrame, items: DataFrame, share: float = 0.0, n: int = WINDOW, **names) -> DataFrame:
@@ -216,31 +266,32 @@ def remove_spans(docs: DataFrame, items: DataFrame, share: float = 1.0, n: int =
 def _apply(
     docs, items, n, share, cut, text="text", item_id="item_id", item_text="text", limit=INDEX_BYTES, unnamed=False
 ) -> DataFrame:
-    place, schema, spark = docs.columns.index(text), docs.schema, docs.sparkSession
-    short_batches(spark)
-
-    def cutter(shared):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                hits = scan_texts(batch.column(place), shared.value)
-                yield _cut_out(batch, place, hits.spans).filter(pa.array(hits.n_hit <= share * hits.n_words))
+    items_sql = f"array<{items.schema[item_id].dataType.simpleString()}>"
+    search = _search(docs, text, benchmark_windows(items, n, item_id, item_text, unnamed), items_sql, limit)
+    scan, found = _scanner(search), search.docs
+    body = F.col(f"`{text}`").cast("string")
+    hit = [F.col(f"`{c}`") for c in search.columns]
+    columns = [F.col(f"`{c}`") for c in docs.columns]
 
-        return run
+    if not cut:
 
-    def clean(shared):
         @F.arrow_udf("boolean")
-        def stays(texts: pa.Array) -> pa.Array:
-            hits = scan_texts(texts, shared.value)
+        def stays(*given: pa.Array) -> pa.Array:
+            hits = scan(*given)
             return pa.array(hits.n_hit <= share * hits.n_words)
 
-        return stays(F.col(text).cast("string"))
+        return found.where(stays(body, *hit)).select(*columns)
+    place, schema, width = docs.columns.index(text), docs.schema, len(docs.columns)
 
-    # A removed span only shortens a text, so one pass after another suffices for several slices;
-    # shares then refer to the text that is left.
-    for part in slices(benchmark_windows(items, n, item_id, item_text, unnamed), limit):
-        index = spark.sparkContext.broadcast(build_index(part.collect()))
-        docs = docs.mapInArrow(cutter(index), schema) if cut else docs.where(clean(index))
-    return docs
+    def cutter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(at, BATCH_ROWS)
+                hits = scan(batch.column(place), *batch.columns[width:])
+                own = pa.RecordBatch.from_arrays(batch.columns[:width], schema=pa.schema(list(batch.schema)[:width]))
+                yield _cut_out(own, place, hits.spans).filter(pa.array(hits.n_hit <= share * hits.n_words))
+
+    return found.mapInArrow(cutter, schema)
 
 
 def _cut_out(batch: pa.RecordBatch, place: int, spans: list[list[tuple[int, int]]]) -> pa.RecordBatch:

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rankloom.llm.components import components
@@ -66,11 +66,6 @@ def exact_bands(radius: int, word: int = 0) -> list[Band]:
     return bands
 
 
-def even_bands(words: range, width: int) -> list[Band]:
-    """Bands of ``width`` bits side by side on each of the words."""
-    return [Band(w, m) for w in words for m in _masks(list(range(64)), 64 // width)]
-
-
 def shingle_hashes(text: bytes, size: int) -> np.ndarray:
     """XXH64 (seed 42) of the lower-cased ``size``-word shingles, repeats included."""
     words = text.lower().split()
@@ -296,136 +291,27 @@ def near_duplicates(docs: DataFrame, radius: int = 2, features=CONTRACT, doc_id:
     return prints.join(classes, "fp").select("doc_id", "fp", F.col("first")["doc_id"].alias("component_id"))
 
 
-#: The gate of the former near-copy stage: 16 shared bits of a two-word-shingle fingerprint word and
-#: ``NEAR_RADIUS`` bits on it. It lost block edits; tests still hold the stage against it.
-NEAR_FEATURES = (Feature(2, 4, True), Feature(5, 4, True))
-NEAR_RADIUS = 16
-#: Near copies: the least Jaccard similarity of their distinct five-word shingles.
-NEAR_SIMILARITY = 0.8
-NEAR_SHINGLE = 5
-#: Candidates share one of ``BANDS`` keys of ``ROWS`` minimal hashes each. A pair at 0.8 shares none
-#: with a probability of (1 - 0.8 ** 6) ** 40 = 5e-6, wherever its texts differ.
-BANDS, ROWS = 40, 6
-#: Shingles of a group of candidates that a task compares at once.
-TILE = 1 << 20
-_FACTORS = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64) * np.uint64(_STEP)) | np.uint64(1)
-
-
-def shingle_set(text: bytes) -> np.ndarray:
-    """Distinct hashes of the five-word shingles, in order."""
-    return np.unique(shingle_hashes(text, NEAR_SHINGLE))
-
-
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """One signed 64-bit key a band; a text without words has none."""
-    if not len(hashes):
-        return []
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1 << 10):
-        np.minimum(least, (hashes[at : at + (1 << 10), None] * _FACTORS).min(axis=0), out=least)
-    rows = least.reshape(BANDS, ROWS)
-    keys = np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], np.uint64)
-    return keys.view(np.int64).tolist()
-
-
-def shingle_bands(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, text_hash, node, size, keys): ``node`` names the set of shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(at, 256) for at in range(0, batch.num_rows, 256)):
-                sets = [shingle_set((t or "").encode()) for t in part.column(2).to_pylist()]
-                node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], np.uint64).view(np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(node), pa.array([len(s) for s in sets], pa.int64()), pa.array(map(band_keys, sets), pa.list_(pa.int64()))],
-                    names=["doc_id", "text_hash", "node", "size", "keys"],
-                )
-
-    short_batches(docs.sparkSession)
-    body = F.col(text).cast("string")
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), _text_hash(body).alias("text_hash"), body.alias("text"))
-    kind = docs.schema[doc_id].dataType.simpleString()
-    return narrow.mapInArrow(run, f"doc_id {kind}, text_hash bigint, node bigint, size bigint, keys array<bigint>")
-
-
-def similar_links(sets: list[np.ndarray], least: float = NEAR_SIMILARITY) -> list[tuple[int, int]]:
-    """Links (index, index) that connect what pairs with a Jaccard similarity of ``least`` connect.
-
-    A set meets all that no link has reached yet at once, through the postings of its shingles.
-    """
-    sizes = np.array([len(s) for s in sets])
-    shingles, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(shingles, kind="stable")
-    shingles, owner = shingles[order], owner[order]
-    waiting, posted, links = np.ones(len(sets), bool), len(sets), []
-    for start in range(len(sets)):
-        reached = [start] if waiting[start] else []
-        waiting[start] = False
-        while reached and (left := int(waiting.sum())):
-            if 2 * left < posted:
-                shingles, owner, posted = shingles[waiting[owner]], owner[waiting[owner]], left
-            i = reached.pop()
-            begin = np.searchsorted(shingles, sets[i], "left")
-            count = np.searchsorted(shingles, sets[i], "right") - begin
-            at = np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
-            common = np.bincount(owner[at], minlength=len(sets))
-            near = np.flatnonzero(waiting & (common / np.maximum(sizes + sizes[i] - common, 1) >= least))
-            waiting[near] = False
-            reached += near.tolist()
-            links += [(i, int(j)) for j in near]
-    return links
+#: Keys of rows that go which are broadcast, at most; more are joined by a shuffle.
+FEW_KEYS = 1_000_000
 
 
-def copy_links(docs: DataFrame, bands: DataFrame, nodes: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(a, b) links of nodes that connect all candidates with a similarity of ``NEAR_SIMILARITY``.
+def keep_one(docs: DataFrame, radius: int = 2, features=CONTRACT, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs``, all columns, with one row of each class of ``near_duplicates``: that of the least
+    doc_id, and of rows with equal id and text one.
 
-    Candidates are closed to groups, so that a text meets all of its candidates in one place;
-    a group of more than ``TILE`` shingles is cut into tiles, each pair of which is a task's.
-    """
-    rows = bands.select("node", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.min("node").alias("a"), F.max("node").alias("most")).where(F.col("a") != F.col("most"))
-    groups = written(components(rows.join(shared.select("key", "a"), "key").select("a", F.col("node").alias("b"))), "groups")
-    members = groups.join(nodes, "node")
-    tiles = members.groupBy("root").agg(F.ceil(F.sum("size") / TILE).cast("int").alias("tiles"))
-    placed = members.join(tiles, "root").select(
-        "root", "node", "tiles", F.col("first")["doc_id"].alias("first_id"), F.col("first")["text_hash"].alias("first_hash")
-    )
-    body = F.col(text).cast("string")
-    texts = docs.select(F.col(doc_id).alias("doc_id"), _text_hash(body).alias("text_hash"), body.alias("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("text_hash") == F.col("first_hash"))
-    mine = F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int")
-    dealt = texts.join(placed, same).withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiled = dealt.select("root", F.least("mine", "other").alias("tile"), F.greatest("mine", "other").alias("tile2"), "node", "text")
-
-    def link(group: pa.Table) -> pa.Table:
-        found: dict[int, np.ndarray] = {}
-        for node, value in zip(group.column("node").to_pylist(), group.column("text"), strict=True):
-            if node not in found:
-                found[node] = shingle_set(value.as_py().encode())
-        names = list(found)
-        links = similar_links(list(found.values()))
-        return pa.table({"a": pa.array([names[i] for i, _ in links], pa.int64()), "b": pa.array([names[j] for _, j in links], pa.int64())})
-
-    return tiled.groupBy("root", "tile", "tile2").applyInArrow(link, "a bigint, b bigint")
-
-
-def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all columns, with one row of each group of near copies: the least doc_id's.
-
-    The last of equal rows go too. Near copies have a Jaccard similarity of ``NEAR_SIMILARITY`` on
-    their distinct five-word shingles, counted on the shingles; a shorter text is one shingle. A
-    group is what such pairs connect.
+    The classes come from fingerprints alone. Only keys of rows that go or are repeated, (id, hash
+    of the text), meet the documents; texts are shuffled only if these are more than ``FEW_KEYS``.
     """
-    bands = written(shingle_bands(docs, doc_id, text), "bands")
-    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    nodes = written(bands.groupBy("node").agg(F.min(row).alias("first"), F.first("size").alias("size")), "nodes")
-    linked = components(copy_links(docs, bands, nodes, doc_id, text))
-    rooted = nodes.join(linked, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
-    classes = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    kept_id, kept_hash, rank = (unused(docs, n) for n in ("kept_id", "kept_hash", "copy_rank"))
+    prints = written(fingerprints(docs, features, doc_id, text), "fingerprints")
     first = F.col("first")
-    kept = classes.select(first["doc_id"].alias(kept_id), first["text_hash"].alias(kept_hash)).distinct()
-    same = F.col(doc_id).eqNullSafe(F.col(kept_id)) & (_text_hash(F.col(text)) == F.col(kept_hash))
-    order = Window.partitionBy(kept_id, kept_hash).orderBy(F.lit(0))
-    found = docs.join(kept, same).withColumn(rank, F.row_number().over(order))
-    return found.where(F.col(rank) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stays = F.col("doc_id").eqNullSafe(first["doc_id"]) & (F.col("text_hash") == first["text_hash"])
+    classes = near_classes(prints, exact_bands(radius), radius)
+    rows = prints.join(classes, "fp").groupBy("doc_id", "text_hash").agg(F.count("*").alias("n"), F.bool_or(stays).alias("stays"))
+    odd = written(rows.where("NOT stays OR n > 1"), "odd-keys")
+    key, digest = unused(docs, "key_id"), unused(docs, "key_hash")
+    odd = odd.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest), F.col("stays").alias("stays"))
+    if odd.limit(FEW_KEYS + 1).count() <= FEW_KEYS:
+        odd = F.broadcast(odd)
+    same = F.col(f"`{doc_id}`").eqNullSafe(F.col(key)) & (_text_hash(F.col(f"`{text}`").cast("string")) == F.col(digest))
+    repeated = docs.join(odd.where("stays"), same, "left_semi").withColumn(digest, _text_hash(F.col(f"`{text}`").cast("string")))
+    return docs.join(odd, same, "left_anti").unionByName(repeated.dropDuplicates([doc_id, digest]).drop(digest))

@@ -89,6 +89,27 @@ def test_removal(tables, limit):
     assert all(plain(t, [i for i in ITEMS if i[0] is not None])[1] == 0 for t in cut.values())
 
 
+LONG = [f"w{i}" for i in range(160)]
+OVERLAPPING = [(i, " ".join(LONG[12 * i : 12 * i + 20])) for i in range(8)]
+
+
+@pytest.mark.parametrize("few", [d.FEW_TEXTS, 0])
+def test_slices_change_nothing(spark, monkeypatch, few):
+    """Overlapping items over one and many slices: the same documents stay, the same text is left."""
+    monkeypatch.setattr(d, "FEW_TEXTS", few)
+    rows = [(1, " ".join(LONG)), (1, " ".join(LONG)), (2, " ".join(LONG[90:])), (3, "clean"), (None, None), (4, " ".join(LONG[:40]))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("hit_spans", F.lit("clash"))
+    items = spark.createDataFrame(OVERLAPPING, "item_id int, text string")
+    results = []
+    for limit in (1 << 20, 2000, 500):
+        rows = [sorted(map(repr, f(docs, items, share=s, limit=limit).collect())) for f in (d.remove_documents, d.remove_spans) for s in (0.0, 0.5, 1.0)]
+        results.append([*rows, sorted(map(repr, d.contamination(docs, items, limit=limit).collect()))])
+    assert len(d.slices(d.benchmark_windows(items), 500)) > 10
+    assert results[0] == results[1] == results[2]
+    hit = plain(" ".join(LONG), OVERLAPPING)[1]
+    assert 0.5 < hit / 160 < 1 and not any("doc_id=1" in r for r in results[0][1]) and len(results[0][1]) == 3
+
+
 def test_empty_tables(tables):
     docs, items = tables
     assert d.contamination(docs.limit(0), items).count() == 0

@@ -1,15 +1,15 @@
 """Every pipeline stage against a plain version on its own input."""
 
-import itertools
 from collections import Counter
 
 import pytest
 
 import corpus_pipeline
-from rankloom.llm import mixing, simhash
+from rankloom.llm import mixing
 from rankloom.llm.queries import LANGUAGES, language_labels
 from rankloom.llm.tables import written
 from tests.llm.test_decontaminate import plain
+from tests.llm.test_simhash import plain_classes, plain_fingerprint
 
 
 @pytest.fixture(scope="module")
@@ -41,26 +41,10 @@ def test_quality_rejects_junk_only(spark, sf_dir, stages):
     assert junk and not any(quality.get(d) == 1 for d in gone) and len(junk - gone) <= 0.2 * len(junk)
 
 
-def test_near_copies_equal_all_pairs(stages):
+def test_near_copies_equal_all_pairs_of_fingerprints(stages):
     _, before, after = stages[1]
-    rows = [(r.doc_id, simhash.fingerprint(r.text.encode(), simhash.NEAR_FEATURES)) for r in before.collect()]
-    words, mask = simhash.NEAR_FEATURES[0].words, (1 << 64) - 1
-    bits = lambda a, b: ((a ^ b) & mask).bit_count()
-    parent = {d: d for d, _ in rows}
-
-    def root(d):
-        while parent[d] != d:
-            d = parent[d]
-        return d
-
-    for (a, x), (b, y) in itertools.combinations(rows, 2):
-        shared = any(
-            bits(x[w], y[w]) <= simhash.NEAR_RADIUS and any(not (x[w] ^ y[w]) >> s & 0xFFFF for s in (0, 16, 32, 48))
-            for w in range(words)
-        )
-        if shared and sum(bits(p, q) for p, q in zip(x[words:], y[words:], strict=True)) <= int(0.2 * 256):
-            parent[max(root(a), root(b))] = min(root(a), root(b))
-    assert sorted(r.doc_id for r in after.collect()) == sorted({root(d) for d, _ in rows})
+    classes = plain_classes([(r.doc_id, plain_fingerprint(r.text)) for r in before.collect()])
+    assert sorted(r.doc_id for r in after.collect()) == sorted({least for _, _, least in classes})
     assert after.count() < before.count()
 
 

@@ -98,23 +98,27 @@ def test_odd_rows_have_defined_results(spark):
     assert empty.count() == 0 and empty.columns == ["doc_id", "fp", "component_id"]
 
 
-def test_keep_one_of_each_group(spark):
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_keep_one_of_each_class(spark, monkeypatch, few):
+    """Copies, small edits and repeated rows, with keys broadcast or shuffled."""
+    monkeypatch.setattr(simhash, "FEW_KEYS", few)
     random.seed(3)
     vocabulary = [f"w{i}" for i in range(3000)]
-    base = [random.choice(vocabulary) for _ in range(300)]
+    base = [random.choice(vocabulary) for _ in range(600)]
     rows = [(0, " ".join(base)), (1, " ".join(base))]
-    for i in range(2, 12):
+    for i in range(2, 30):
         copy = list(base)
-        for at in random.sample(range(300), 2):
-            copy[at] = f"new{i}"
+        copy[random.randrange(600)] = f"new{i}"
         rows.append((i, " ".join(copy)))
     rows += [(i, " ".join(random.choice(vocabulary) for _ in range(200))) for i in range(100, 140)]
-    rows += [(100, rows[12][1]), (None, "a text of its own"), (None, None)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kept_id", F.lit(1))
+    rows += [(100, rows[30][1])] * 3 + [(None, "a text of its own"), (None, "a text of its own"), (None, None), (150, ""), (160, "  "), (160, "  ")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("kept_id", F.lit(1)).withColumn("stays", F.lit(False)).withColumn("key_id", F.lit("x"))
     got = keep_one(docs)
     assert got.columns == docs.columns
+    want = {c for _, _, c in plain_classes([(d, plain_fingerprint(t)) for d, t in rows])}
     ids = sorted((r.doc_id for r in got.collect()), key=repr)
-    assert ids == sorted([0, *range(100, 140), None, None], key=repr)
+    assert ids == sorted(want, key=repr) and 41 < len(ids) < 70
+    assert keep_one(docs.limit(0)).count() == 0
 
 
 def test_features_make_words_of_their_own():
