@@ -40,7 +40,7 @@ from rankloom.llm.words import HashSet, find_words, text_bytes, words_in
 
 #: Bytes of query terms that are broadcast at once.
 QUERY_BYTES = 32 * 1024 * 1024
-#: Documents of a block, about, and blocks of a posting list, at most.
+#: Documents of a block, about, and pivots of a shard, the most blocks of a posting list.
 BLOCK, BLOCKS = 32, 64
 #: Documents and postings of a shard, at most; a document is never cut.
 SHARD_DOCS, SHARD_POSTINGS = 8192, 1 << 20
@@ -181,12 +181,34 @@ class Blocks:
         return sums(self.most * asked[self.terms], self.starts)
 
 
+class Together:
+    """For each term, the terms that queries with it ask for: the coordinates its summaries need."""
+
+    def __init__(self, queries: list[np.ndarray], width: int):
+        self.queries, self.width = queries, width
+        asked = np.concatenate([*queries, np.zeros(0, np.int64)])
+        number = np.repeat(np.arange(len(queries)), [len(q) for q in queries])
+        order = np.argsort(asked, kind="stable")
+        self.number, self.edges = number[order], np.searchsorted(asked[order], np.arange(width + 1))
+
+    def of(self, term: int) -> np.ndarray:
+        mark = np.zeros(self.width, bool)
+        for q in self.number[self.edges[term] : self.edges[term + 1]].tolist():
+            mark[self.queries[q]] = True
+        return mark
+
+
 class Shard:
     """The index of some documents: vectors by document and posting lists by term, whose blocks are
-    made when a query first visits the list."""
+    made when a query first visits the list.
+
+    A list is clustered by the similarity of its documents to those pivots, evenly chosen documents
+    of the shard, that hold the term as well.
+    """
 
-    def __init__(self, edges: np.ndarray, terms: np.ndarray, impacts: np.ndarray, width: int):
-        self.edges, self.terms, self.impacts = edges, terms, impacts
+    def __init__(self, edges: np.ndarray, terms: np.ndarray, impacts: np.ndarray, together: Together):
+        width = together.width
+        self.edges, self.terms, self.impacts, self.together = edges, terms, impacts, together
         owner = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
         order = np.argsort(terms, kind="stable")
         self.posted = owner[order]
@@ -196,47 +218,57 @@ class Shard:
         if held.size:
             self.most[held] = np.maximum.reduceat(impacts[order], self.lists[held])
         self.made: dict[int, Blocks] = {}
-
-    def _clusters(self, docs: np.ndarray) -> np.ndarray:
-        """Block of each document: that of the most similar of evenly chosen ones."""
-        count = min(BLOCKS, -(-len(docs) // BLOCK))
-        if count == 1:
-            return np.zeros(len(docs), np.int64)
-        chosen = docs[np.arange(count) * len(docs) // count]
-        at, starts = spans(self.edges[chosen], self.edges[chosen + 1])
-        used = np.unique(self.terms[at])
-        centre = np.zeros((len(used), count))
-        column = np.repeat(np.arange(count), np.diff(np.append(starts, len(at))))
-        centre[np.searchsorted(used, self.terms[at]), column] = self.impacts[at]
-        centre /= np.maximum(np.sqrt((centre**2).sum(axis=0)), 1e-300)
-        block = np.zeros(len(docs), np.int64)
-        # As many documents at once as have about 65,536 postings.
-        step = max(1, (1 << 16) // int((self.edges[docs + 1] - self.edges[docs]).max()))
-        for begin in range(0, len(docs), step):
-            some = docs[begin : begin + step]
-            at, starts = spans(self.edges[some], self.edges[some + 1])
-            row = np.searchsorted(used, self.terms[at])
-            row[row == len(used)] = 0
-            near = centre[row] * (self.impacts[at] * (used[row] == self.terms[at]))[:, None]
-            block[begin : begin + step] = np.add.reduceat(near, starts, axis=0).argmax(axis=1)
-        return block
+        self._similarities()
+
+    def _similarities(self) -> None:
+        """Inner products of all documents with the pivots, of length one, in parts of postings."""
+        docs = len(self.edges) - 1
+        pivots = np.unique(np.arange(BLOCKS) * docs // BLOCKS) if docs else np.zeros(0, np.int64)
+        self.held = np.zeros((len(self.most), len(pivots)), bool)
+        centre = np.zeros(self.held.shape, np.float32)
+        at, starts = spans(self.edges[pivots], self.edges[pivots + 1])
+        column = np.repeat(np.arange(len(pivots)), np.diff(np.append(starts, len(at))))
+        centre[self.terms[at], column] = self.impacts[at]
+        self.held[self.terms[at], column] = True
+        centre /= np.maximum(np.sqrt((centre**2).sum(axis=0)), 1e-30)
+        self.near = np.zeros((docs, len(pivots)), np.float32)
+        begin = 0
+        while begin < docs:
+            end = max(begin + 1, int(np.searchsorted(self.edges, self.edges[begin] + (1 << 16), "right")) - 1)
+            part = slice(self.edges[begin], self.edges[end])
+            some = begin + np.flatnonzero(np.diff(self.edges[begin : end + 1]))
+            if some.size:
+                near = centre[self.terms[part]] * self.impacts[part].astype(np.float32)[:, None]
+                self.near[some] = np.add.reduceat(near, self.edges[some] - self.edges[begin], axis=0)
+            begin = end
+
+    def _clusters(self, term: int, docs: np.ndarray) -> np.ndarray:
+        count = -(-len(docs) // BLOCK)
+        pivots = np.flatnonzero(self.held[term])[:count]
+        if count == 1 or len(pivots) < 2:
+            pivots = np.arange(min(count, self.near.shape[1]))
+        return self.near[docs][:, pivots].argmax(axis=1)
 
     def blocks(self, term: int) -> Blocks:
         if term not in self.made:
+            width = len(self.most)
             docs = self.posted[self.lists[term] : self.lists[term + 1]]
-            block = self._clusters(docs)
+            block = self._clusters(term, docs)
             order = np.argsort(block, kind="stable")
             docs, block = docs[order], block[order]
-            _, edges = np.unique(block, return_index=True)
+            edges = np.flatnonzero(np.diff(block, prepend=-1))
             number = np.repeat(np.arange(len(edges)), np.diff(np.append(edges, len(docs))))
             at, _ = spans(self.edges[docs], self.edges[docs + 1])
-            key = np.repeat(number, self.edges[docs + 1] - self.edges[docs]) * len(self.most) + self.terms[at]
+            needed = self.together.of(term)[self.terms[at]]
+            key = (np.repeat(number, self.edges[docs + 1] - self.edges[docs]) * width)[needed]
+            at = at[needed]
+            key += self.terms[at]
             order = np.argsort(key, kind="stable")
             key = key[order]
             first = np.flatnonzero(np.diff(key, prepend=-1))
-            key, most = key[first], np.maximum.reduceat(self.impacts[at][order], first)
-            starts = np.searchsorted(key, np.arange(len(edges)) * len(self.most))
-            self.made[term] = Blocks(docs, np.append(edges, len(docs)), key % len(self.most), most, starts)
+            key, most = key[first], np.maximum.reduceat(self.impacts[at[order]], first)
+            starts = np.searchsorted(key, np.arange(len(edges)) * width)
+            self.made[term] = Blocks(docs, np.append(edges, len(docs)), key % width, most, starts)
         return self.made[term]
 
     def score(self, docs: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -282,7 +314,7 @@ class Shard:
         return docs, scores
 
 
-def _shards(batches: Iterator[pa.RecordBatch], weights: Weights) -> Iterator[tuple[pa.Array, Shard]]:
+def _shards(batches: Iterator[pa.RecordBatch], weights: Weights, together: Together) -> Iterator[tuple[pa.Array, Shard]]:
     """Documents with query terms, in shards of a bounded size."""
 
     def made(parts):
@@ -292,7 +324,7 @@ def _shards(batches: Iterator[pa.RecordBatch], weights: Weights) -> Iterator[tup
         terms = np.concatenate([p.column(2).flatten().to_numpy() for p in parts]).astype(np.int64)
         tfs = np.concatenate([p.column(3).flatten().to_numpy() for p in parts])
         owner = np.repeat(np.arange(len(n)), sizes)
-        return ids, Shard(np.append(0, np.cumsum(sizes)), terms, weights.impacts(n, owner, terms, tfs), len(weights.weight))
+        return ids, Shard(np.append(0, np.cumsum(sizes)), terms, weights.impacts(n, owner, terms, tfs), together)
 
     parts, docs, postings = [], 0, 0
     for batch in batches:
@@ -321,7 +353,7 @@ def search_counts(counts: DataFrame, queries: Queries, weights: Weights, k: int,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         asked, known, least = shared.value
         least, best, blocks, kind = list(least), [[] for _ in asked], [0, 0], None
-        for ids, shard in _shards(batches, known):
+        for ids, shard in _shards(batches, known, Together(asked, len(known.weight))):
             kind = ids.type
             place = np.empty(len(ids), np.int64)
             place[pc.sort_indices(ids, null_placement="at_end").to_numpy()] = np.arange(len(ids))

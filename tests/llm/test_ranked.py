@@ -79,9 +79,9 @@ def test_blocks_are_skipped_and_nothing_is_lost():
         edges.append(edges[-1] + 15)
     terms = np.concatenate(terms)
     impacts = rng.integers(900, 1100, len(terms))
-    shard, counts = ranked.Shard(np.array(edges), terms, impacts, 610), [0, 0]
-    for topic in range(20):
-        query = np.append(np.arange(10), 10 + topic * 30 + np.arange(20))
+    queries = [np.append(np.arange(10), 10 + topic * 30 + np.arange(20)) for topic in range(20)]
+    shard, counts = ranked.Shard(np.array(edges), terms, impacts, ranked.Together(queries, 610)), [0, 0]
+    for query in queries:
         asked = np.isin(np.arange(610), query).astype(np.int64)
         exact = shard.score(np.arange(4000), asked)
         docs, scores = shard.search(query, 10, 1, counts)
@@ -94,7 +94,7 @@ def test_bounds_hold_for_every_document_of_a_block():
     rng = np.random.default_rng(1)
     sizes = rng.integers(1, 12, 300)
     terms = np.concatenate([np.sort(rng.choice(40, n, replace=False)) for n in sizes])
-    shard = ranked.Shard(np.append(0, np.cumsum(sizes)), terms, rng.integers(1, 1000, len(terms)), 40)
+    shard = ranked.Shard(np.append(0, np.cumsum(sizes)), terms, rng.integers(1, 1000, len(terms)), ranked.Together([np.arange(40)], 40))
     for term in range(40):
         blocks = shard.blocks(term)
         assert sorted(blocks.docs) == sorted(shard.posted[shard.lists[term] : shard.lists[term + 1]])
