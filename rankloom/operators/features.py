@@ -1,39 +1,34 @@
-"""The twelve pair features, computed in the joined row from small key arrays."""
+"""The twelve pair features, computed in the joined row from words of bits."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.functions.bitsets import bit_dot, listed_dot, shared_bits, shared_numbers, trimmed
 from rankloom.functions.dictionary import phrases, runs
-from rankloom.functions.text import (
-    bind,
-    distinct_terms,
-    keyed_terms,
-    match_ratio,
-    term_keys,
-)
-from rankloom.functions.vectors import (
-    candidate_text,
-    clipped_cosine,
-    job_text,
-    map_squared_norm,
-    sparse_dot,
-    term_map,
-)
-from rankloom.operators.dictionary import term_pattern
+from rankloom.functions.text import bind, distinct_terms, keyed_terms, term_keys
+from rankloom.functions.vectors import candidate_text, clipped_cosine, job_text, squared_norm, term_vector
+from rankloom.operators.dictionary import match_dictionary
+from rankloom.operators.encoding import HEAD, TermCodes, counted, encode, term_codes, terms, written
 from rankloom.operators.joins import is_small, lookup_join
 from rankloom.schemas import FEATURE_COLUMNS
 from rankloom.session import scratch_path
 from rankloom.vocabulary import DEGREE_EQUIVALENTS, TERM_CHARS
 
-_PHRASE_WORDS = 3
-_PLAIN = f"^[{TERM_CHARS}]+(?: [{TERM_CHARS}]+){{0,{_PHRASE_WORDS - 1}}}\\z"
+_PLAIN = f"^[{TERM_CHARS}]+(?: [{TERM_CHARS}]+)*\\z"
+
+
+def _mask(tests) -> Column:
+    """Bits of the tests that hold."""
+    total = F.lit(0)
+    for i, test in enumerate(tests):
+        total = total + F.when(test, F.lit(1 << i)).otherwise(F.lit(0))
+    return total
 
 
 def _degrees_named(text: Column) -> Column:
-    tests = [F.when(F.contains(text, F.lit(t)), F.lit(t)) for t in DEGREE_EQUIVALENTS]
-    return F.array_compact(F.array(*tests))
+    return _mask(F.contains(text, F.lit(t)) for t in DEGREE_EQUIVALENTS)
 
 
 def _degrees_accepted(text: Column) -> Column:
@@ -43,13 +38,11 @@ def _degrees_accepted(text: Column) -> Column:
             test = test | F.contains(text, F.lit(needle))
         return test
 
-    return F.array_compact(
-        F.array(*[F.when(accepted(n), F.lit(t)) for t, n in DEGREE_EQUIVALENTS.items()])
-    )
+    return _mask(accepted(n) for n in DEGREE_EQUIVALENTS.values())
 
 
-def education_match(candidate_degrees: Column, accepted: Column, required: Column) -> Column:
-    matched = F.arrays_overlap(candidate_degrees, accepted)
+def education_match(named: Column, accepted: Column, required: Column) -> Column:
+    matched = named.bitwiseAND(accepted) != 0
     return F.when((F.size(required) > 0) & matched, F.lit(1.0)).otherwise(F.lit(0.0))
 
 
@@ -59,27 +52,17 @@ def experience_match(candidate_years: Column, required_years: Column) -> Column:
     )
 
 
-def coverage(text: Column, found: Column, plain: Column, odd: Column) -> Column:
-    """Share of the job's terms in a text whose phrases are ``found``; all lower-cased.
-
-    ``odd`` terms, which phrases cannot express, are tested by pattern on the text.
-    """
-    occurring = F.filter(odd, lambda t: F.regexp_like(text, term_pattern(t)))
-    in_text = F.when(F.size(odd) > 0, F.size(occurring)).otherwise(F.lit(0))
-    hits = F.size(F.array_intersect(plain, found)) + in_text
-    terms = F.size(plain) + F.size(odd)
-    return F.when(terms > 0, hits.cast("double") / terms).otherwise(F.lit(0.0))
+def share(hits: Column, total: Column) -> Column:
+    """Share of the required; 0.0 when nothing is required."""
+    return F.when(total > 0, hits.cast("double") / total).otherwise(F.lit(0.0))
 
 
-def candidate_profile(
-    candidates: DataFrame, text: Column | None = None, vectors: bool = True
-) -> DataFrame:
-    """What scoring needs of a candidate: key arrays and one vector, no raw text."""
+def candidate_profile(candidates: DataFrame, text: Column | None = None, vectors: bool = True, words: int = 1) -> DataFrame:
+    """What scoring needs of a candidate: a few values and the ``terms`` of its lists, of the phrases
+    of up to ``words`` words in its projects, and of its compared text."""
     project_words = F.transform(
         "projects",
-        lambda p: F.concat_ws(
-            " ", p["name"], p["description"], F.array_join(p["technologies"], " ")
-        ),
+        lambda p: F.concat_ws(" ", p["name"], p["description"], F.array_join(p["technologies"], " ")),
     )
     degrees = F.transform("education", lambda e: F.concat_ws(" ", e["degree"], e["institution"]))
     text = candidate_text() if text is None else text
@@ -92,57 +75,123 @@ def candidate_profile(
         _degrees_named(F.lower(F.array_join(degrees, " "))).alias("degrees"),
         F.lower(F.array_join(project_words, " ")).alias("project_text"),
         F.col("years_of_experience").alias("candidate_years"),
-        *([term_map(text).alias("candidate_vector")] if vectors else []),
+        *([term_vector(text).alias("candidate_vector")] if vectors else []),
     )
     found = bind(
         runs(F.col("project_text")),
-        lambda ws: F.array_distinct(
-            F.concat(*[phrases(ws, n) for n in range(1, _PHRASE_WORDS + 1)])
-        ),
+        lambda ws: F.array_distinct(F.concat(*[phrases(ws, n) for n in range(1, words + 1)])),
+    )
+    lists = [
+        terms("skills", "skill", F.col("skill_keys")),
+        terms("held", "certificate", F.col("held_keys")),
+        terms("projects", "project", found),
+        *([counted("text", "text", F.col("candidate_vector"))] if vectors else []),
+    ]
+    norm2 = squared_norm(F.col("candidate_vector")) if vectors else F.lit(0).cast("long")
+    return base.select(
+        F.monotonically_increasing_id().alias("row"),
+        *[c for c in base.columns if c not in ("held_keys", "candidate_vector")],
+        norm2.alias("candidate_norm2"),
+        F.concat(*lists).alias("terms"),
     )
-    full = base.withColumn("project_phrases", found)
-    if vectors:
-        full = full.withColumn("candidate_norm2", map_squared_norm(F.col("candidate_vector")))
-    return full
 
 
-def job_profile(
-    jobs: DataFrame, text: Column | None = None, vectors: bool = True
-) -> DataFrame:
+#: The lists of a job and the kind of terms in each.
+JOB_SLOTS = {
+    "wanted": "skill",
+    "required": "skill",
+    "languages": "skill",
+    "frameworks": "skill",
+    "tools": "skill",
+    "certificates": "certificate",
+    "projects": "project",
+}
+KINDS = ("skill", "certificate", "project", "text")
+
+
+def job_profile(jobs: DataFrame, text: Column | None = None, vectors: bool = True) -> DataFrame:
     every_skill = F.concat("required_skills", "preferred_skills")
     project_terms = distinct_terms(F.concat(every_skill, F.col("frameworks"), F.col("tools")))
     text = job_text() if text is None else text
+    keys = {
+        "wanted": term_keys(every_skill),
+        "required": term_keys(F.col("required_skills")),
+        "languages": term_keys(F.col("programming_languages")),
+        "frameworks": term_keys(F.col("frameworks")),
+        "tools": term_keys(F.col("tools")),
+        "certificates": term_keys(F.col("certifications")),
+        "projects": F.array_distinct(F.transform(project_terms, F.lower)),
+    }
     base = jobs.select(
         "job_id",
         F.col("title").alias("job_title"),
         keyed_terms(every_skill).alias("job_wanted"),
         keyed_terms(F.col("required_skills")).alias("job_required"),
-        term_keys(every_skill).alias("wanted_keys"),
-        term_keys(F.col("required_skills")).alias("required_keys"),
-        term_keys(F.col("programming_languages")).alias("language_keys"),
-        term_keys(F.col("frameworks")).alias("framework_keys"),
-        term_keys(F.col("tools")).alias("tool_keys"),
-        term_keys(F.col("certifications")).alias("certification_keys"),
         F.col("education").alias("job_education"),
         _degrees_accepted(F.lower(F.array_join("education", " "))).alias("degrees_accepted"),
-        F.transform(project_terms, F.lower).alias("project_terms"),
         F.col("years_of_experience").alias("required_years"),
+        F.size(project_terms).alias("n_projects"),
         (F.size("education") > 0).alias("has_education"),
         (F.size("certifications") > 0).alias("has_certification"),
         (F.size("programming_languages") > 0).alias("has_language"),
         (F.size("frameworks") > 0).alias("has_framework"),
         (F.size("tools") > 0).alias("has_tool"),
-        *([term_map(text).alias("job_vector")] if vectors else []),
+        *[k.alias(f"keys_{slot}") for slot, k in keys.items()],
+        *([term_vector(text).alias("job_vector")] if vectors else []),
+    )
+    lists = [terms(slot, kind, F.col(f"keys_{slot}")) for slot, kind in JOB_SLOTS.items()]
+    if vectors:
+        lists.append(counted("text", "text", F.col("job_vector")))
+    norm2 = squared_norm(F.col("job_vector")) if vectors else F.lit(0).cast("long")
+    sizes = [F.size(f"keys_{slot}").alias(f"n_{slot}") for slot in JOB_SLOTS if slot != "projects"]
+    plain = [c for c in base.columns if not c.startswith("keys_") and c != "job_vector"]
+    return base.select(F.monotonically_increasing_id().alias("row"), *plain, *sizes, norm2.alias("job_norm2"), F.concat(*lists).alias("terms"))
+
+
+def _slot(name: str) -> Column:
+    """A list of an encoded row, empty if none of its terms is known."""
+    none = F.lit(None).cast("struct<bits:array<bigint>,numbers:array<bigint>,counts:array<int>>")
+    value = F.coalesce(F.element_at("slots", name), none)
+    long, short = F.array().cast("array<bigint>"), F.array().cast("array<int>")
+    return F.struct(
+        F.coalesce(value["bits"], long).alias("bits"),
+        F.coalesce(value["numbers"], long).alias("numbers"),
+        F.coalesce(value["counts"], short).alias("counts"),
+    )
+
+
+def _encoded_jobs(jobs: DataFrame, codes: TermCodes, keep: list[str]) -> DataFrame:
+    plain = [c for c in jobs.columns if c not in ("row", "terms", "job_wanted", "job_required", "job_title")]
+    slots = [_slot(s).alias(f"job_{s}_set") for s in (*JOB_SLOTS, "text")]
+    rows = jobs.join(encode(jobs.select("row", "terms"), codes), "row", "left")
+    return rows.select(*plain, *[c for c in keep if c in jobs.columns and c not in plain], *slots)
+
+
+def _encoded_candidates(candidates: DataFrame, codes: TermCodes, odd: DataFrame | None, keep: list[str]) -> DataFrame:
+    """Candidates with one array of words, kind after kind, and one list of rare terms."""
+    entries = candidates.select("row", "terms")
+    if odd is not None:
+        found = match_dictionary(candidates, odd, id_column="row", text_column="project_text").groupBy("row").agg(F.collect_set("term").alias("odd"))
+        more = terms("projects", "project", F.coalesce("odd", F.array().cast("array<string>")))
+        entries = written(entries.join(found, "row", "left").select("row", F.concat("terms", more).alias("terms")), "terms")
+    rows = candidates.drop("terms").join(encode(entries, codes), "row", "left")
+    slots = ["skills", "held", "projects", "text"]
+    parts = rows.select("*", *[_slot(s).alias(f"_{s}") for s in slots])
+
+    def words(slot: str, kind: str) -> Column:
+        bits = F.col(f"_{slot}")["bits"]
+        if kind == KINDS[-1] or not codes.words.get(kind):
+            return bits
+        return F.concat(bits, F.array_repeat(F.lit(0).cast("long"), F.lit(codes.words[kind]) - F.size(bits)))
+
+    plain = ["candidate_id", "skill_count", "degrees", "candidate_years", "candidate_norm2"]
+    return parts.select(
+        *plain,
+        *[c for c in keep if c in candidates.columns and c not in plain],
+        trimmed(F.concat(*[words(s, k) for s, k in zip(slots, KINDS, strict=True)])).alias("bits"),
+        F.concat(*[F.col(f"_{s}")["numbers"] for s in slots]).alias("numbers"),
+        F.concat(*[F.col(f"_{s}")["counts"] for s in slots]).alias("counts"),
     )
-    split_terms = base.withColumns(
-        {
-            "plain_terms": F.filter("project_terms", lambda t: t.rlike(_PLAIN)),
-            "odd_terms": F.filter("project_terms", lambda t: ~t.rlike(_PLAIN)),
-        }
-    ).drop("project_terms")
-    if not vectors:
-        return split_terms
-    return split_terms.withColumn("job_norm2", map_squared_norm(F.col("job_vector")))
 
 
 def join_pairs(
@@ -161,6 +210,34 @@ def join_pairs(
     return lookup_join(pairs.join(candidates, "candidate_id"), jobs, "job_id", small)
 
 
+def pair_rows(
+    pairs: DataFrame,
+    candidates: DataFrame,
+    jobs: DataFrame,
+    candidate_text: Column | None = None,
+    job_text: Column | None = None,
+    vectors: bool = True,
+    keep: tuple[str, ...] = (),
+    small_jobs: bool | None = None,
+    head: int = HEAD,
+) -> tuple[DataFrame, TermCodes]:
+    """Pair rows with both sides' digests, and the codes of their terms.
+
+    A candidate's digest is a few numbers, words of bits and the numbers of rare terms: no text,
+    phrase or map goes to the pairs, whichever way the jobs are joined. ``keep`` adds columns.
+    """
+    asked = written(job_profile(jobs, job_text, vectors), "jobs")
+    codes = term_codes(asked, head)
+    is_plain, is_project = F.col("term").rlike(_PLAIN), F.col("kind") == "project"
+    facts = codes.codes.where(is_project).agg(
+        F.max(F.when(is_plain, F.size(F.split("term", " ")))).alias("words"), F.bool_or(~is_plain).alias("odd")
+    ).first()
+    mine = written(candidate_profile(candidates, candidate_text, vectors, facts["words"] or 1), "candidates")
+    odd = codes.codes.where(is_project & ~is_plain).select("term") if facts["odd"] else None
+    digests = _encoded_candidates(mine, codes, odd, list(keep))
+    return join_pairs(pairs.select("candidate_id", "job_id"), digests, _encoded_jobs(asked, codes, list(keep)), small_jobs), codes
+
+
 def pair_features(
     pairs: DataFrame,
     candidates: DataFrame,
@@ -169,61 +246,48 @@ def pair_features(
     job_text: Column | None = None,
     similarity: DataFrame | None = None,
     keep: tuple[str, ...] = (),
+    small_jobs: bool | None = None,
+    head: int = HEAD,
 ) -> DataFrame:
     """(candidate_id, job_id) pairs -> twelve features.
 
     ``similarity`` (candidate_id, job_id, semantic_similarity) replaces the
-    default term-frequency cosine; ``keep`` names further columns of the joined
-    row to pass on, such as ``candidate_name``.
+    default term-frequency cosine of the whole texts; ``keep`` names further columns of the joined
+    row to pass on, such as ``candidate_name``; ``small_jobs`` tells whether jobs are broadcast,
+    which is measured if not given.
     """
     own_vectors = similarity is None
-    rows = join_pairs(
-        pairs.select("candidate_id", "job_id"),
-        candidate_profile(candidates, candidate_text, own_vectors),
-        job_profile(jobs, job_text, own_vectors),
-    )
+    rows, codes = pair_rows(pairs, candidates, jobs, candidate_text, job_text, own_vectors, keep, small_jobs, head)
+    offsets = codes.offsets(KINDS)
+    bits, numbers, counts = F.col("bits"), F.col("numbers"), F.col("counts")
+
+    def hits(slot: str) -> Column:
+        theirs = F.col(f"job_{slot}_set")
+        found = shared_bits(bits, offsets[JOB_SLOTS[slot]], theirs["bits"])
+        return found + shared_numbers(numbers, theirs["numbers"])
+
     if own_vectors:
-        cosine = clipped_cosine(
-            sparse_dot(F.col("candidate_vector"), F.col("job_vector")),
-            F.col("candidate_norm2"),
-            F.col("job_norm2"),
-        )
+        theirs = F.col("job_text_set")
+        dot = bit_dot(bits, offsets["text"], theirs["bits"], codes.words.get("text", 0))
+        dot = dot + listed_dot(numbers, counts, theirs["numbers"], theirs["counts"])
+        cosine = clipped_cosine(dot, F.col("candidate_norm2"), F.col("job_norm2"))
     else:
         rows = rows.join(similarity, ["candidate_id", "job_id"], "left")
         cosine = F.coalesce("semantic_similarity", F.lit(0.0))
-    skills = F.col("skill_keys")
+    ratio = lambda slot: share(hits(slot), F.col(f"n_{slot}"))
+    years, wanted_years = F.col("candidate_years"), F.col("required_years")
     features = {
         "semantic_similarity": cosine,
-        "skill_match_percentage": match_ratio(skills, F.col("wanted_keys")),
-        "experience_match_score": experience_match(
-            F.col("candidate_years"), F.col("required_years")
-        ),
-        "education_match_score": education_match(
-            F.col("degrees"), F.col("degrees_accepted"), F.col("job_education")
-        ),
-        "certification_match_score": match_ratio(
-            F.col("held_keys"), F.col("certification_keys")
-        ),
-        "project_relevance_score": coverage(
-            F.col("project_text"),
-            F.col("project_phrases"),
-            F.col("plain_terms"),
-            F.col("odd_terms"),
-        ),
-        "programming_language_match": match_ratio(skills, F.col("language_keys")),
-        "framework_match": match_ratio(skills, F.col("framework_keys")),
-        "tools_match": match_ratio(skills, F.col("tool_keys")),
-        "years_of_experience_difference": F.abs(
-            F.col("candidate_years") - F.col("required_years")
-        ),
-        "number_of_matching_skills": F.size(
-            F.array_intersect("required_keys", "skill_keys")
-        ).cast("double"),
+        "skill_match_percentage": ratio("wanted"),
+        "experience_match_score": experience_match(years, wanted_years),
+        "education_match_score": education_match(F.col("degrees"), F.col("degrees_accepted"), F.col("job_education")),
+        "certification_match_score": ratio("certificates"),
+        "project_relevance_score": ratio("projects"),
+        "programming_language_match": ratio("languages"),
+        "framework_match": ratio("frameworks"),
+        "tools_match": ratio("tools"),
+        "years_of_experience_difference": F.abs(years - wanted_years),
+        "number_of_matching_skills": hits("required").cast("double"),
         "total_candidate_skills": F.col("skill_count").cast("double"),
     }
-    return rows.select(
-        "candidate_id",
-        "job_id",
-        *[features[c].alias(c) for c in FEATURE_COLUMNS],
-        *keep,
-    )
+    return rows.select("candidate_id", "job_id", *[features[c].alias(c) for c in FEATURE_COLUMNS], *keep)

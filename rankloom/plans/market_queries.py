@@ -73,20 +73,12 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_jobs(job_documents(spark, sf_dir), vocabulary(spark, sf_dir))
 
 
-def skill_texts() -> tuple[Column, Column]:
-    """The texts compared in the market: skill lists of both sides."""
-    wanted = F.concat("required_skills", "preferred_skills")
-    return F.array_join("skills", " "), F.array_join(wanted, " ")
-
-
 def features(
-    spark: SparkSession, sf_dir: str, pairs: DataFrame | None = None, keep: tuple[str, ...] = ()
+    spark: SparkSession, sf_dir: str, pairs: DataFrame | None = None, keep: tuple[str, ...] = (), **settings
 ) -> DataFrame:
+    """Features of the pairs; what is compared are the whole texts of both sides."""
     pairs = market_applications(spark, sf_dir) if pairs is None else pairs
-    mine, theirs = skill_texts()
-    return pair_features(
-        pairs, candidates(spark, sf_dir), jobs(spark, sf_dir), mine, theirs, keep=keep
-    )
+    return pair_features(pairs, candidates(spark, sf_dir), jobs(spark, sf_dir), keep=keep, **settings)
 
 
 def _rounded_score(df: DataFrame) -> DataFrame:
@@ -346,6 +338,16 @@ def application_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features(spark, sf_dir).select(*_PAIR, *_rounded(FEATURE_COLUMNS))
 
 
+@query(
+    "E7 G1 G2 G3 G4 G5 G6 G7 G8 G9 G10 G11 G12",
+    truth()
+    + f" SELECT c::VARCHAR AS candidate_id, s::VARCHAR AS job_id, {_sql_rounded(FEATURE_COLUMNS)} FROM feat",
+)
+def application_features_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with jobs joined by shuffle and all but 64 terms of each kind listed by number."""
+    return features(spark, sf_dir, small_jobs=False, head=64).select(*_PAIR, *_rounded(FEATURE_COLUMNS))
+
+
 @query(
     "H1",
     truth()

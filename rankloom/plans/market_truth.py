@@ -1,7 +1,8 @@
 """Check SQL for the market queries, straight from the order tables.
 
 It never reads the rendered texts: skills, years, degrees and certificates are
-computed relationally, so parsing errors cannot cancel out.
+computed relationally, so parsing errors cannot cancel out; the words of the compared texts are
+put together from the tables anew.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ jy AS (SELECT s, greatest(floor(s_acctbal / 2000), 0)::DOUBLE AS years FROM supp
 pairs AS (SELECT DISTINCT o_custkey AS c, l_suppkey AS s
           FROM orders JOIN lineitem ON o_orderkey = l_orderkey)"""
 
-_FEATURES = """
+_FEATURES = r"""
 wanted AS (
   SELECT s, t, b, skill, bool_or(r) AS required
   FROM (SELECT *, true AS r FROM jr UNION ALL SELECT *, false FROM jp) GROUP BY s, t, b, skill),
@@ -66,11 +67,52 @@ phit AS (
 bhit AS (SELECT c, s, count(*) AS n FROM {pairs} p JOIN jb USING (s) JOIN cb USING (c, b) GROUP BY c, s),
 bn AS (SELECT s, count(*) AS n FROM jb GROUP BY s),
 total AS (SELECT c, count(*) AS n FROM cs GROUP BY c),
+worked AS (
+  SELECT c, status, string_agg(skill, ' ') AS names FROM cp GROUP BY c, status),
+told AS (
+  SELECT st.c, string_agg(CASE WHEN seg = 'FURNITURE'
+      THEN 'Ran the ' || st.status || ' pipeline with ' || coalesce(names, '') || ' for us.'
+      ELSE 'Pipeline ' || st.status || ' ' || coalesce('worked on ' || names, '') END, ' ') AS projects
+  FROM (SELECT DISTINCT o_custkey AS c, o_orderstatus AS status FROM orders) st
+  JOIN cust USING (c) LEFT JOIN worked w ON w.c = st.c AND w.status = st.status GROUP BY st.c),
+known AS (SELECT c, string_agg(skill, ' ') AS skills FROM cs GROUP BY c),
+served AS (
+  SELECT c, string_agg('Engineer on ' || priority || ' orders ' || a || ' - ' ||
+    CASE WHEN z = 2001 THEN 'Present' ELSE z::VARCHAR END, ' ') AS experience FROM periods GROUP BY c),
+proved AS (
+  SELECT cb.c, string_agg('Certified ' || brand || ' handler - Board ' || region || ', ' || year, ' ') AS certificates
+  FROM cb JOIN cust USING (c) GROUP BY cb.c),
+active AS (
+  SELECT o_custkey AS c, count(DISTINCT year(o_orderdate)) AS n, min(year(o_orderdate)) AS first_year
+  FROM orders GROUP BY o_custkey),
+ctext AS (
+  SELECT c, concat_ws(' ', CASE WHEN seg = 'HOUSEHOLD' THEN seg ELSE seg || ' ' || n_name END,
+    'customer' || c || '@example.com', (c_nationkey + 10), '555', lpad(c::VARCHAR, 7, '0'),
+    CASE WHEN cust.c_acctbal >= 0 THEN 'Profile: ' || coalesce(n, 0) || ' years of experience in supply'
+         ELSE 'Profile: open to new work in supply' END,
+    'Open for talks about all kinds of supply work Based in', n_name, 'with the sales desk of the region',
+    'Technical Skills:', skills, 'Work Experience', experience, 'Education', {degree}, n_name, 'College', first_year,
+    'Certifications', certificates, 'Projects', projects) AS text
+  FROM cust JOIN customer ON c_custkey = c LEFT JOIN told USING (c) LEFT JOIN known USING (c)
+  LEFT JOIN served USING (c) LEFT JOIN proved USING (c) LEFT JOIN active USING (c)),
+needs AS (SELECT s, string_agg(skill, ' ') AS required FROM jr GROUP BY s),
+likes AS (SELECT s, string_agg(skill, ' ') AS preferred FROM jp GROUP BY s),
+wants AS (SELECT s, string_agg(skill, ' ') AS listed FROM (SELECT DISTINCT s, skill FROM (FROM jr UNION ALL FROM jp))
+  GROUP BY s),
+asks AS (SELECT s, string_agg('Certified ' || brand || ' handler', ' ') AS brands FROM jb GROUP BY s),
+jtext AS (
+  SELECT s, concat_ws(' ', s_name, required, preferred, {region_degree}, jy.years, brands, listed,
+    'Serve the ' || n_name || ' market Ship on time', jy.years::INT || '+ years of supply work',
+    s_name, 'Required Skills', required, 'Nice to have', preferred,
+    CASE WHEN region < 4 THEN 'Education ' || {region_degree} END, 'Certifications', brands,
+    'Responsibilities Serve the ' || n_name || ' market Ship on time', 'Minimum Qualifications',
+    jy.years::INT || '+ years of supply work') AS text
+  FROM supp JOIN jy USING (s) LEFT JOIN needs USING (s) LEFT JOIN likes USING (s) LEFT JOIN wants USING (s)
+  LEFT JOIN asks USING (s)),
 ct AS (SELECT c, term, count(*) AS tf FROM
-        (SELECT c, unnest([lower(t), 'brand', b::VARCHAR]) AS term FROM cs) GROUP BY c, term),
+        (SELECT c, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM ctext) GROUP BY c, term),
 jt AS (SELECT s, term, count(*) AS tf FROM
-        (SELECT s, unnest([lower(t), 'brand', b::VARCHAR]) AS term
-         FROM (SELECT s, t, b FROM jr UNION ALL SELECT s, t, b FROM jp)) GROUP BY s, term),
+        (SELECT s, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS term FROM jtext) GROUP BY s, term),
 cn AS (SELECT c, sum(tf * tf) AS n FROM ct GROUP BY c),
 jn AS (SELECT s, sum(tf * tf) AS n FROM jt GROUP BY s),
 dots AS (SELECT c, s, sum(ct.tf * jt.tf) AS dot FROM {pairs} p JOIN jt USING (s) JOIN ct USING (c, term)
@@ -120,7 +162,8 @@ ranked AS (
 
 def features(pairs: str = "pairs") -> str:
     """FACTS plus feat, scored and ranked over a pair relation."""
-    return "WITH " + FACTS + "," + _FEATURES.replace("{pairs}", pairs)
+    filled = _FEATURES.replace("{pairs}", pairs).replace("{degree}", DEGREE).replace("{region_degree}", REGION_DEGREE)
+    return "WITH " + FACTS + "," + filled
 
 
 #: What rankings and reports show; a candidate without a name is shown by its id.
