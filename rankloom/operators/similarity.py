@@ -1,18 +1,24 @@
 """Scoring many documents against many requirement profiles.
 
-Profiles are cut into blocks whose matrix stays below a bound. Each block is sent to the tasks,
-which multiply their Arrow batches with it and keep their best ``k`` per profile before anything
-is shuffled; so the documents are read once for each block and pairs never leave a task.
+Profiles and candidates meet block by block in tiles, each the work of a task. A tile indexes its
+candidates by term with the greatest share of each term, visits a profile's terms by falling greatest
+score, and stops when the terms left cannot lift a candidate into the best ``k``; what may still be
+among them is scored in full. So tiles leave out postings, never a match.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from rankloom.functions.vectors import dense_cosine, squared_norm, term_vector
 from rankloom.vocabulary import TARGET_WEIGHTS
@@ -22,8 +28,8 @@ _ENCODERS: dict = {}
 
 _COSINE_WEIGHT = TARGET_WEIGHTS["semantic_similarity"]
 _COVERAGE_WEIGHT = TARGET_WEIGHTS["skill_match_percentage"]
-MATRIX_CELLS = 8_000_000
-_GATHERED_CELLS = 16_000_000
+#: Terms of the profiles and candidates of a tile, about.
+POSTINGS, ROWS = 200_000, 8192
 
 
 def vectorize(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -73,131 +79,159 @@ def pair_similarity(
     return met.select("candidate_id", "job_id", cosine.alias("semantic_similarity"))
 
 
-class _ProfileBlock:
-    """The profile side as arrays: term -> row of a dense weight matrix."""
-
-    def __init__(self, rows):
-        self.jobs = [r["job_id"] for r in rows]
-        terms = sorted({e["term"] for r in rows for e in r["vector"]})
-        self.index = pd.Index(terms)
-        self.weights = np.zeros((len(terms), len(rows)))
-        for column, row in enumerate(rows):
-            at = self.index.get_indexer([e["term"] for e in row["vector"]])
-            self.weights[at, column] = [e["tf"] for e in row["vector"]]
-        self.present = (self.weights > 0).astype(float)
-        self.norm2 = np.array([float(r["norm2"]) for r in rows])
-        self.terms = np.array([float(len(r["vector"])) for r in rows])
-
-    def pieces(self, batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        """The batch in pieces whose gathered weights fit in a bounded buffer."""
-        if len(batch) and self.jobs:
-            longest = max(1, min(int(batch["terms"].map(len).max()), len(self.index)))
-            rows = max(1, _GATHERED_CELLS // (longest * len(self.jobs)))
-            for start in range(0, len(batch), rows):
-                yield batch.iloc[start : start + rows]
-
-    def score(self, pdf: pd.DataFrame):
-        """(shared, cosine, coverage, score) matrices: batch rows by jobs."""
-        lengths = pdf["terms"].map(len).to_numpy()
-        terms = self.index.get_indexer(np.concatenate(pdf["terms"].to_numpy()))
-        tf = np.concatenate(pdf["tfs"].to_numpy()).astype(float)
-        known = terms >= 0
-        row = np.repeat(np.arange(len(pdf)), lengths)[known]
-        terms, tf = terms[known], tf[known]
-        dots = np.zeros((len(pdf), len(self.jobs)))
-        shared = np.zeros((len(pdf), len(self.jobs)))
-        if len(row):
-            starts = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-            dots[row[starts]] = np.add.reduceat(self.weights[terms] * tf[:, None], starts)
-            shared[row[starts]] = np.add.reduceat(self.present[terms], starts)
-        norm2 = pdf["norm2"].to_numpy(dtype=float)
-        scale = np.sqrt(norm2)[:, None] * np.sqrt(self.norm2)[None, :]
-        cosine = np.divide(dots, scale, out=np.zeros_like(dots), where=scale > 0)
-        cosine = np.clip(cosine, 0.0, 1.0)
-        coverage = shared / np.maximum(self.terms, 1.0)
-        total = _COSINE_WEIGHT * cosine + _COVERAGE_WEIGHT * coverage
-        return shared, cosine, coverage, np.clip(total, 0.0, 1.0) * 100.0
-
-
-def _best_of_batch(block: _ProfileBlock, pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    shared, cosine, coverage, score = block.score(pdf)
-    wanted = np.ones(score.shape, bool)
-    if len(pdf) > k:
-        wanted = score >= np.partition(score, len(pdf) - k, axis=0)[len(pdf) - k]
-        # Many candidates share nothing with a profile; of these ties only the least ids can stay.
-        first = np.argsort(pdf["candidate_id"].to_numpy(), kind="stable")[:k]
-        among_first = np.zeros(len(pdf), bool)
-        among_first[first] = True
-        wanted &= (score > 0) | among_first[:, None]
-    row, column = np.nonzero(wanted)
-    return pd.DataFrame(
+def _flat(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
+    """All values of the lists, and the list that each belongs to."""
+    whole = lists.combine_chunks()
+    sizes = pc.list_value_length(whole).to_numpy(zero_copy_only=False).astype(np.int64)
+    return whole.flatten(), np.repeat(np.arange(len(whole)), sizes)
+
+
+class TermIndex:
+    """Postings of some candidates by term, (candidate, tf) in order of candidate, with the greatest
+    share tf / |candidate| of each term. Terms are numbered by their place in ``terms``."""
+
+    def __init__(self, candidates: pa.Table, terms: pa.Array):
+        flat, owner = _flat(candidates.column("terms"))
+        code = pc.fill_null(pc.index_in(flat, value_set=terms), -1).to_numpy().astype(np.int64)
+        tf = _flat(candidates.column("tfs"))[0].to_numpy().astype(np.int64)
+        known = code >= 0
+        code, owner, tf = code[known], owner[known], tf[known]
+        order = np.argsort(code, kind="stable")
+        code, self.owner, self.tf = code[order], owner[order], tf[order]
+        self.edges = np.searchsorted(code, np.arange(len(terms) + 1))
+        self.norm2 = candidates.column("norm2").to_numpy().astype(float)
+        self.share = self.tf / np.sqrt(self.norm2[self.owner])
+        self.most = np.zeros(len(terms))
+        held = np.flatnonzero(np.diff(self.edges))
+        if held.size:
+            self.most[held] = np.maximum.reduceat(self.share, self.edges[held])
+        ids = candidates.column("candidate_id").combine_chunks()
+        self.by_id = pc.sort_indices(ids).to_numpy().astype(np.int64)
+        self.place = np.empty(len(ids), np.int64)
+        self.place[self.by_id] = np.arange(len(ids))
+        self.ids = ids
+        self.seen = self.touched = 0
+
+    def _hopeful(self, terms: np.ndarray, weights: np.ndarray, bonus: float, k: int) -> np.ndarray:
+        """Candidates whose score may be among the ``k`` best, by terms of falling greatest score.
+
+        Once the terms left add less than the k-th sum so far, no candidate without a sum can be
+        among the best, nor one whose sum and what is left stay below it.
+        """
+        greatest = weights * self.most[terms] + bonus * (self.most[terms] > 0)
+        order = np.argsort(-greatest, kind="stable")
+        left = np.append(np.cumsum(greatest[order][::-1])[::-1], 0.0) * (1 + 1e-9) + 1e-12
+        sums, least = np.zeros(len(self.ids)), 0.0
+        for done, i in enumerate(order.tolist()):
+            if left[done] < least:
+                break
+            part = slice(self.edges[terms[i]], self.edges[terms[i] + 1])
+            sums[self.owner[part]] += weights[i] * self.share[part] + bonus
+            self.touched += part.stop - part.start
+            if len(sums) > k:
+                least = float(np.partition(sums, len(sums) - k)[len(sums) - k])
+        else:
+            done = len(order)
+        return np.flatnonzero((sums > 0) & (sums + left[done] >= least))
+
+    def best(self, terms: np.ndarray, tfs: np.ndarray, norm2: float, k: int):
+        """(candidates, shared, cosine, coverage, score) of the ``k`` best, in order."""
+        self.seen += int((self.edges[terms + 1] - self.edges[terms]).sum())
+        size = math.sqrt(norm2) if norm2 > 0 else 1.0
+        hopeful = self._hopeful(terms, _COSINE_WEIGHT * tfs / size, _COVERAGE_WEIGHT / max(1, len(terms)), k)
+        if len(hopeful) < k:
+            # Candidates that share no term fill up the list.
+            rest = self.by_id[~np.isin(self.by_id, hopeful)][: k - len(hopeful)]
+            hopeful = np.sort(np.concatenate([hopeful, rest]))
+        dot, shared = np.zeros(len(hopeful)), np.zeros(len(hopeful), np.int64)
+        for t, tf in zip(terms.tolist(), tfs.tolist(), strict=True):
+            owner = self.owner[self.edges[t] : self.edges[t + 1]]
+            at = np.searchsorted(owner, hopeful)
+            at[at == len(owner)] = 0
+            found = owner[at] == hopeful if len(owner) else np.zeros(len(hopeful), bool)
+            dot += np.where(found, self.tf[self.edges[t] : self.edges[t + 1]][at] * tf, 0) if len(owner) else 0
+            shared += found
+        scale = np.sqrt(self.norm2[hopeful]) * math.sqrt(norm2)
+        cosine = np.clip(np.divide(dot, scale, out=np.zeros_like(dot), where=scale > 0), 0.0, 1.0)
+        coverage = shared / max(len(terms), 1.0)
+        score = np.clip(_COSINE_WEIGHT * cosine + _COVERAGE_WEIGHT * coverage, 0.0, 1.0) * 100.0
+        first = np.lexsort((self.place[hopeful], -score))[:k]
+        return hopeful[first], shared[first], cosine[first], coverage[first], score[first]
+
+
+def search_tile(profiles: pa.Table, candidates: pa.Table, k: int) -> pa.Table:
+    """The ``k`` best candidates of a tile for each of its profiles, and one row without job that has
+    the numbers of postings that the profiles' terms have and that were visited."""
+    flat, owner = _flat(profiles.column("terms"))
+    terms = flat.unique()
+    code = pc.index_in(flat, value_set=terms).to_numpy().astype(np.int64)
+    tfs = _flat(profiles.column("tfs"))[0].to_numpy().astype(np.int64)
+    edges = np.searchsorted(owner, np.arange(profiles.num_rows + 1))
+    norm2 = profiles.column("norm2").to_numpy().astype(float)
+    index, found = TermIndex(candidates, terms), []
+    for job in range(profiles.num_rows):
+        part = slice(edges[job], edges[job + 1])
+        rows, *values = index.best(code[part], tfs[part], norm2[job], k)
+        found.append((np.full(len(rows), job), rows, *values))
+    job, rows, *values = (np.concatenate(x) for x in zip(*found, strict=True))
+    names = ["shared", "cosine", "coverage", "score"]
+    scored = pa.table(
         {
-            "job": column,
-            "candidate_id": pdf["candidate_id"].to_numpy()[row],
-            "shared": shared[row, column].astype("int64"),
-            "cosine": cosine[row, column],
-            "coverage": coverage[row, column],
-            "score": score[row, column],
+            "job_id": profiles.column("job_id").combine_chunks().take(pa.array(job)),
+            "candidate_id": index.ids.take(pa.array(rows)),
+            **dict(zip(names, map(pa.array, values), strict=True)),
+            "seen": pa.nulls(len(rows), pa.int64()),
+            "touched": pa.nulls(len(rows), pa.int64()),
         }
     )
+    visits = [{"seen": index.seen, "touched": index.touched}]
+    return pa.concat_tables([scored, pa.Table.from_pylist(visits, scored.schema)])
 
 
-def _keep_best(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
-    ordered = pdf.sort_values(["job", "score", "candidate_id"], ascending=[True, False, True])
-    return ordered.groupby("job", sort=False).head(k)
-
-
-def _block_scores(candidates: DataFrame, profile_rows: list, k: int, job_type: str) -> DataFrame:
+def match_tiles(candidates: DataFrame, profiles: DataFrame, k: int, postings: int = POSTINGS, rows: int = ROWS) -> DataFrame:
+    """The best candidates of every tile: each block of profiles meets each block of candidates in a
+    task of its own; neither side passes through the driver."""
     spark = candidates.sparkSession
-    shipped = spark.sparkContext.broadcast(_ProfileBlock(profile_rows))
-    id_type = candidates.schema["candidate_id"].dataType.simpleString()
-
-    def best(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        block = shipped.value
-        kept = None
-        for batch in batches:
-            for pdf in block.pieces(batch):
-                found = _best_of_batch(block, pdf, k)
-                kept = _keep_best(found if kept is None else pd.concat([kept, found]), k)
-        if kept is not None and len(kept):
-            kept["job_id"] = np.array(block.jobs, dtype=object)[kept["job"].to_numpy()]
-            yield kept[["job_id", "candidate_id", "shared", "cosine", "coverage", "score"]]
-
-    flat = candidates.select(
-        "candidate_id",
-        "norm2",
-        F.transform("vector", lambda e: e["term"]).alias("terms"),
-        F.transform("vector", lambda e: e["tf"].cast("int")).alias("tfs"),
-    )
-    return flat.mapInPandas(
-        best,
-        f"job_id {job_type}, candidate_id {id_type}, shared long, cosine double, "
-        "coverage double, score double",
+    flat = lambda df, key: df.select(
+        key, "norm2", F.transform("vector", lambda e: e["term"]).alias("terms"), F.transform("vector", lambda e: e["tf"].cast("int")).alias("tfs"),
+        F.xxhash64(F.monotonically_increasing_id()).alias("number"),
+    )
+    named = profiles.where(F.col("job_id").isNotNull())
+    size = named.agg(F.coalesce(F.sum(F.size("vector") + 1), F.lit(0))).first()[0]
+    jobs = max(1, math.ceil(size / postings))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks = max(math.ceil(candidates.count() / rows), math.ceil(tasks / jobs))
+    block = lambda n: F.pmod("number", F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    mine = flat(candidates, "candidate_id").withColumn("block", block(blocks)).withColumn("job_block", every(jobs)).drop("number")
+    theirs = flat(named, "job_id").withColumn("job_block", block(jobs)).withColumn("block", every(blocks)).drop("number")
+    kinds = {c: df.schema[c].dataType.simpleString() for df, c in ((profiles, "job_id"), (candidates, "candidate_id"))}
+    schema = ", ".join(
+        [*(f"{c} {t}" for c, t in kinds.items()), "shared long, cosine double, coverage double, score double, seen long, touched long"]
     )
+    empty = to_arrow_schema(StructType.fromDDL(schema)).empty_table()
 
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return empty
+        return search_tile(left, right, k).cast(empty.schema)
 
-def profile_blocks(profiles: DataFrame, cells: int = MATRIX_CELLS) -> list[DataFrame]:
-    """The profiles in parts whose matrices have about ``cells`` cells at most."""
-    entries = profiles.select("job_id", F.explode("vector").alias("e"))
-    facts = entries.agg(F.count("*").alias("entries"), F.count_distinct("e.term").alias("terms")).first()
-    count, parts = profiles.count(), 1
-    while min(facts["terms"], facts["entries"] / parts) * (count / parts) > cells and parts < count:
-        parts *= 2
-    part = F.pmod(F.xxhash64("job_id"), F.lit(parts))
-    return [profiles.where(part == i) for i in range(parts)]
+    keys = ["job_block", "block"]
+    return theirs.groupBy(*keys).cogroup(mine.groupBy(*keys)).applyInArrow(run, schema)
 
 
-def top_matches(candidates: DataFrame, profiles: DataFrame, k: int, cells: int = MATRIX_CELLS) -> DataFrame:
+def top_matches(candidates: DataFrame, profiles: DataFrame, k: int, postings: int = POSTINGS, rows: int = ROWS) -> DataFrame:
     """The ``k`` best candidates per profile by weak score, ties by candidate id.
 
     ``candidates`` (candidate_id, vector, norm2), ``profiles`` (job_id, vector, norm2). Candidates
     that share no term with a profile score 0 and fill its list if others are fewer than ``k``.
     """
-    named = profiles.where(F.col("job_id").isNotNull())
-    job_type = profiles.schema["job_id"].dataType.simpleString()
-    parts = [_block_scores(candidates, block.collect(), k, job_type) for block in profile_blocks(named, cells)]
-    scored = parts[0]
-    for part in parts[1:]:
-        scored = scored.unionByName(part)
+    scored = match_tiles(candidates, profiles, k, postings, rows).where("job_id IS NOT NULL").drop("seen", "touched")
     order = Window.partitionBy("job_id").orderBy(F.col("score").desc(), F.col("candidate_id"))
     return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def visited_postings(candidates: DataFrame, profiles: DataFrame, k: int, **sizes) -> DataFrame:
+    """(seen, touched): postings that the profiles' terms have, and how many of them were visited."""
+    tiles = match_tiles(candidates, profiles, k, **sizes).where("job_id IS NULL")
+    return tiles.agg(F.sum("seen").alias("seen"), F.sum("touched").alias("touched"))

@@ -27,7 +27,7 @@ from rankloom.operators.ranking import (
     score_by_formula,
 )
 from rankloom.operators.records import parse_jobs
-from rankloom.operators.similarity import encode, pair_similarity, top_matches, vectorize
+from rankloom.operators.similarity import encode, pair_similarity, top_matches, vectorize, visited_postings
 from rankloom.schemas import CANDIDATE_FIELDS, FEATURE_COLUMNS, ddl
 
 PAIR_JOB = """
@@ -200,12 +200,12 @@ def _plain_scores(candidates, profiles):
     return scores
 
 
-@pytest.mark.parametrize("cells", [50, 2000, 8_000_000])
-def test_top_matches_equal_counting_in_any_blocks(spark, sf_dir, cells):
+@pytest.mark.parametrize(("postings", "rows"), [(50, 60), (200, 8192), (200_000, 8192)])
+def test_top_matches_equal_counting_in_any_tiles(spark, sf_dir, postings, rows):
     candidates, profiles = _vectors(spark, sf_dir)
     profiles = profiles.where("job_id < 12")
     want = _plain_scores(candidates, profiles)
-    got = {(r.job_id, r.candidate_id): r for r in top_matches(candidates, profiles, 7, cells).collect()}
+    got = {(r.job_id, r.candidate_id): r for r in top_matches(candidates, profiles, 7, postings, rows).collect()}
     assert len(got) == 7 * 12
     for job in range(12):
         best = sorted((-round(s, 9), c) for (j, c), s in want.items() if j == job)[:7]
@@ -213,6 +213,22 @@ def test_top_matches_equal_counting_in_any_blocks(spark, sf_dir, cells):
         assert [(s, c) for _, s, c in mine] == best
 
 
+def test_top_matches_leave_out_postings(spark):
+    """Heavy terms set a threshold that candidates with light ones alone cannot reach."""
+    rng = np.random.default_rng(3)
+    docs = [(i, " ".join(["core"] * 9 * (i % 10 == 0) + [f"w{x}" for x in rng.integers(0, 60, 12)])) for i in range(800)]
+    items = [(i, " ".join(["core"] * 9 + [f"w{x}" for x in rng.choice(60, 20, replace=False)])) for i in range(10)]
+    candidates = vectorize(spark.createDataFrame(docs, "candidate_id long, text string"), "candidate_id", "text")
+    profiles = vectorize(spark.createDataFrame(items, "job_id long, text string"), "job_id", "text")
+    want = _plain_scores(candidates, profiles)
+    got = {(r.job_id, r.candidate_id) for r in top_matches(candidates, profiles, 5).collect()}
+    for job in range(10):
+        best = sorted((-round(s, 9), c) for (j, c), s in want.items() if j == job)[:5]
+        assert {c for j, c in got if j == job} == {c for _, c in best}
+    visits = visited_postings(candidates, profiles, 5).first()
+    assert 0 < visits.touched < 0.7 * visits.seen
+
+
 @pytest.mark.parametrize("kind", ["int", "bigint", "string", "date"])
 def test_top_matches_keep_the_type_of_ids_and_fill_up(spark, kind):
     docs = spark.createDataFrame([(3, "b c"), (1, "z"), (2, "y"), (9, "")], "candidate_id long, text string")
