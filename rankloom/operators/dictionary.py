@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rankloom.functions.dictionary import phrases, runs
 from rankloom.functions.text import bind
+from rankloom.operators.joins import is_small, lookup_join, written
 from rankloom.vocabulary import TERM_CHARS
 
 _PLAIN = rf"^[{TERM_CHARS}]+(?: [{TERM_CHARS}]+)*\z"
@@ -21,10 +22,22 @@ def text_phrases(documents: DataFrame, words: int, id_column: str, text_column:
     return documents.select(id_column, F.explode(found).alias("phrase"))
 
 
-def longest_run(term: Column) -> Column:
-    """The longest run of term characters of a term, the first of equals; empty without any."""
-    cut = F.split(F.lower(term), "[^a-z0-9+#.-]+")
-    return F.aggregate(cut, F.lit(""), lambda a, w: F.when(F.length(w) > F.length(a), w).otherwise(a))
+#: Characters of the pieces by which odd terms are found.
+GRAM = 3
+
+
+def grams(text: Column, sizes) -> Column:
+    """Distinct pieces of ``sizes`` characters of a lower-cased text, each character read once."""
+
+    def of_size(cs: Column, n: int) -> Column:
+        # The characters from here on that a piece takes, fewer at the end of the text.
+        every = F.transform(cs, lambda _, i: F.array_join(F.slice(cs, i + 1, n), ""))
+        return F.filter(every, lambda _, i: i <= F.size(cs) - n)
+
+    def pieces(cs: Column) -> Column:
+        return F.array_distinct(F.concat(*[of_size(cs, n) for n in sizes]))
+
+    return bind(F.filter(F.split(F.lower(text), ""), lambda c: c != ""), pieces)
 
 
 def term_pattern(term: Column) -> Column:
@@ -44,7 +57,8 @@ def match_dictionary(
 
     Terms of term characters and single spaces equal a phrase of the text and are joined on it;
     ``words`` is their greatest number of words and is measured if not given. Any other term meets
-    the texts that hold its longest run, and a pattern decides. Both are plain equi-joins:
+    the texts that hold its rarest piece of ``GRAM`` characters, and a pattern decides. Both are plain
+    equi-joins:
     adaptive execution broadcasts a small lexicon and splits a term that many documents hold.
     """
     keyed = lexicon.where(F.col("term").isNotNull()).withColumn("phrase", F.lower("term"))
@@ -63,12 +77,35 @@ def match_dictionary(
     return found.unionByName(_odd_matches(documents, odd, id_column, text_column))
 
 
+def rarest_grams(documents: DataFrame, odd: DataFrame, sizes, text_column: str) -> DataFrame:
+    """(phrase, gram): for each phrase that may occur its piece that the fewest documents hold."""
+    size = F.least(F.char_length("phrase"), F.lit(GRAM))
+    pieces = F.coalesce(*[F.when(size == n, grams(F.col("phrase"), [n])) for n in sizes])
+    own = odd.select("phrase").distinct().select("phrase", F.explode(pieces).alias("gram"))
+    held = documents.select(F.explode(grams(F.col(text_column), sizes)).alias("gram"))
+    wanted = written(own.select("gram").distinct(), "grams")
+    counts = written(lookup_join(held, wanted, "gram").groupBy("gram").agg(F.count("*").alias("n")), "grams")
+    # A phrase with a piece that no document holds occurs nowhere.
+    rated = own.join(counts, "gram", "left").groupBy("phrase").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("least"))
+    return rated.where(F.col("least.n") > 0).select("phrase", F.col("least.gram").alias("gram"))
+
+
 def _odd_matches(documents: DataFrame, odd: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    # A run inside a term is a whole run of the text, since what surrounds it is no term character.
-    # Terms without any run meet every text.
-    held = F.array_distinct(F.concat(runs(F.col(text_column)), F.array(F.lit(""))))
-    texts = documents.select(id_column, F.explode(held).alias("run"))
-    near = texts.join(odd.withColumn("run", longest_run(F.col("term"))), "run").drop("run", "phrase")
-    lowered = documents.select(id_column, F.lower(text_column).alias("_lowered"))
-    checked = near.join(lowered, id_column).where(F.regexp_like("_lowered", term_pattern(F.col("term"))))
-    return checked.drop("_lowered").distinct()
+    """Matches of terms that are no phrases: a document that holds a term holds its rarest piece.
+
+    The pattern is tested where the text is; with a lexicon too large to broadcast, each document's
+    terms are gathered by id and its text is fetched once.
+    """
+    lengths = F.least(F.char_length("phrase"), F.lit(GRAM))
+    sizes = sorted(r[0] for r in odd.select(lengths).distinct().collect())
+    keys = written(rarest_grams(documents, odd, sizes, text_column), "keys")
+    texts = documents.select(F.col(id_column).alias("_id"), F.lower(text_column).alias("_lowered"))
+    held = F.explode(grams(F.col("_lowered"), sizes)).alias("gram")
+    if is_small(keys):
+        near = texts.select("_id", "_lowered", held).join(F.broadcast(keys), "gram")
+    else:
+        found = texts.select("_id", held).join(keys, "gram").groupBy("_id").agg(F.collect_set("phrase").alias("_phrases"))
+        met = texts.join(found.withColumnRenamed("_id", "_found"), F.col("_id").eqNullSafe(F.col("_found")))
+        near = met.select("_id", "_lowered", F.explode("_phrases").alias("phrase"))
+    checked = near.where(F.regexp_like("_lowered", term_pattern(F.col("phrase")))).select("_id", "phrase").distinct()
+    return lookup_join(checked, odd, "phrase").drop("phrase").withColumnRenamed("_id", id_column)

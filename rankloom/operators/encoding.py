@@ -13,21 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankloom.functions.bitsets import flat_words, trimmed
-from rankloom.operators.joins import lookup_join
-from rankloom.session import scratch_path
+from rankloom.operators.joins import lookup_join, written
 
 #: Terms of a kind that get bits, at most.
 HEAD = 4096
 TERMS = "array<struct<slot:string,kind:string,term:string,tf:int>>"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def terms(slot: str, kind: str, values: Column) -> Column:
     """The entries of a list of distinct terms."""
     return F.transform(

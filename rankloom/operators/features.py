@@ -10,10 +10,9 @@ from rankloom.functions.dictionary import phrases, runs
 from rankloom.functions.text import bind, distinct_terms, keyed_terms, term_keys
 from rankloom.functions.vectors import candidate_text, clipped_cosine, job_text, squared_norm, term_vector
 from rankloom.operators.dictionary import match_dictionary
-from rankloom.operators.encoding import HEAD, TermCodes, counted, encode, term_codes, terms, written
-from rankloom.operators.joins import is_small, lookup_join
+from rankloom.operators.encoding import HEAD, TermCodes, counted, encode, term_codes, terms
+from rankloom.operators.joins import is_small, lookup_join, written
 from rankloom.schemas import FEATURE_COLUMNS
-from rankloom.session import scratch_path
 from rankloom.vocabulary import DEGREE_EQUIVALENTS, TERM_CHARS
 
 _PLAIN = f"^[{TERM_CHARS}]+(?: [{TERM_CHARS}]+)*\\z"
@@ -202,10 +201,7 @@ def join_pairs(
     ``jobs`` is written once, so that what is measured is what is broadcast. Candidates meet their
     pairs in one exchange on candidate_id, in which adaptive execution splits hot candidates.
     """
-    spark = jobs.sparkSession
-    path = scratch_path(spark, "jobs")
-    jobs.write.parquet(path)
-    jobs = spark.read.schema(jobs.schema).parquet(path)
+    jobs = written(jobs, "jobs")
     small = is_small(jobs) if small_jobs is None else small_jobs
     return lookup_join(pairs.join(candidates, "candidate_id"), jobs, "job_id", small)
 

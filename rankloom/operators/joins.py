@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankloom.session import scratch_path
+
 SMALL_ROWS = 20_000
 SMALL_BYTES = 64 * 1024 * 1024
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder: what is measured is what is joined."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> bool:
     """Measure rows and bytes of ``df``; only the sizes of ``max_rows + 1`` rows are gathered."""
     size = F.octet_length(F.to_json(F.struct(*df.columns))).cast("long")

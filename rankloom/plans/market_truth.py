@@ -69,7 +69,7 @@ bn AS (SELECT s, count(*) AS n FROM jb GROUP BY s),
 total AS (SELECT c, count(*) AS n FROM cs GROUP BY c),
 worked AS (
   SELECT c, status, string_agg(skill, ' ') AS names FROM cp GROUP BY c, status),
-told AS (
+undertaken AS (
   SELECT st.c, string_agg(CASE WHEN seg = 'FURNITURE'
       THEN 'Ran the ' || st.status || ' pipeline with ' || coalesce(names, '') || ' for us.'
       ELSE 'Pipeline ' || st.status || ' ' || coalesce('worked on ' || names, '') END, ' ') AS projects
@@ -93,7 +93,7 @@ ctext AS (
     'Open for talks about all kinds of supply work Based in', n_name, 'with the sales desk of the region',
     'Technical Skills:', skills, 'Work Experience', experience, 'Education', {degree}, n_name, 'College', first_year,
     'Certifications', certificates, 'Projects', projects) AS text
-  FROM cust JOIN customer ON c_custkey = c LEFT JOIN told USING (c) LEFT JOIN known USING (c)
+  FROM cust JOIN customer ON c_custkey = c LEFT JOIN undertaken USING (c) LEFT JOIN known USING (c)
   LEFT JOIN served USING (c) LEFT JOIN proved USING (c) LEFT JOIN active USING (c)),
 needs AS (SELECT s, string_agg(skill, ' ') AS required FROM jr GROUP BY s),
 likes AS (SELECT s, string_agg(skill, ' ') AS preferred FROM jp GROUP BY s),

@@ -10,7 +10,7 @@ from rankloom.functions import text as X
 from rankloom.functions.dictionary import dictionary_terms, keyword_coverage, runs
 from rankloom.functions.vectors import dense_cosine, term_vector
 from rankloom.operators.dictionary import match_dictionary
-from rankloom.operators.joins import lookup_join, spread
+from rankloom.operators.joins import lookup_join, spread, written
 from rankloom.operators.similarity import top_matches, vectorize
 from rankloom.plans.catalog import query
 from rankloom.plans.market import table
@@ -433,6 +433,29 @@ def centroid_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_ODD_WORDS = r"""
+words AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(lower(text), '\p{L}+'))) AS term FROM documents),
+lexicon AS (SELECT term FROM words WHERE regexp_matches(term, '[^\x00-\x7F]') GROUP BY term
+  ORDER BY count(*) DESC, term LIMIT 5000),
+lowered AS MATERIALIZED (SELECT doc_id, lower(text) AS low FROM documents),
+near AS MATERIALIZED (SELECT doc_id, low, term FROM lowered JOIN lexicon ON contains(low, term))"""
+
+
+@query(
+    "D1",
+    f"""WITH {_ODD_WORDS}
+SELECT doc_id, term FROM near
+WHERE regexp_matches(low, '(^|[^a-z0-9+#.-])' || term || '([^a-z0-9+#.-]|$)')""",
+)
+def odd_term_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5,000 words with letters beyond ASCII that most documents hold, wherever they match."""
+    docs = documents(spark, sf_dir)
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
+    odd = docs.select(F.explode(words).alias("term")).where(F.col("term").rlike(r"[^\x00-\x7F]"))
+    lexicon = odd.groupBy("term").count().orderBy(F.col("count").desc(), "term").limit(5000)
+    return match_dictionary(docs, written(lexicon.select("term"), "lexicon")).select("doc_id", "term")
+
+
 @query(
     "F3 F4 F5 D3 H1 I1 I5",
     f"""
