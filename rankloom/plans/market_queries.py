@@ -9,6 +9,7 @@ from rankloom.functions import text as X
 from rankloom.functions.vectors import candidate_text, job_text
 from rankloom.operators import forest
 from rankloom.operators.features import join_pairs, pair_features
+from rankloom.operators.lines import line_projects, line_table
 from rankloom.operators.labels import exact_holdout, fold, hash_holdout, target_score, with_target
 from rankloom.operators.pairs import unknown_pairs
 from rankloom.operators.ranking import (
@@ -174,6 +175,21 @@ def candidate_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("candidate_id", _project_text().alias("projects"))
 
 
+@query(
+    "B8 C9 C10 C17",
+    f"""WITH {FACTS}, {PROJECTS}
+SELECT c::VARCHAR AS candidate_id, projects FROM projects""",
+)
+def candidate_projects_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the line table, whose parts end in the middle of documents."""
+    lines = line_table(candidate_documents(spark, sf_dir))
+    found = line_projects(lines, vocabulary(spark, sf_dir), parts=97)
+    told = F.concat_ws(":", "name", "description", F.array_join("technologies", ", "))
+    rows = found.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", told.alias("told")))).alias("p"))
+    text = F.array_join(F.transform("p", lambda e: e["told"]), "|")
+    return rows.select(F.col("doc_id").alias("candidate_id"), text.alias("projects"))
+
+
 @query(
     "C11 C12",
     f"WITH {FACTS} SELECT c::VARCHAR AS candidate_id, years AS years_of_experience FROM cy",

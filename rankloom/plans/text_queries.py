@@ -11,6 +11,7 @@ from rankloom.functions.dictionary import dictionary_terms, keyword_coverage, ru
 from rankloom.functions.vectors import dense_cosine, term_vector
 from rankloom.operators.dictionary import match_dictionary
 from rankloom.operators.joins import lookup_join, spread, written
+from rankloom.operators.lines import line_sections, line_table, section_texts
 from rankloom.operators.similarity import top_matches, vectorize
 from rankloom.plans.catalog import query
 from rankloom.plans.market import table
@@ -170,6 +171,45 @@ def license_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return each.select("doc_id", "section", text.alias("text"))
 
 
+@query("B8", f"WITH {_SECTIONS} SELECT doc_id, section, text FROM section_texts")
+def license_sections_by_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from the line table, cut into 64 parts wherever documents end."""
+    lines = line_table(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return section_texts(line_sections(lines, LICENSE_SECTIONS, parts=64))
+
+
+@query(
+    "A3 B8",
+    f"""WITH {_ALIASES},
+lines AS (
+  SELECT source, doc_id, generate_subscripts(ls, 1) AS pos, unnest(ls) AS raw
+  FROM (SELECT source, doc_id, string_split(text, chr(10)) AS ls FROM documents)),
+marked AS (
+  SELECT source, doc_id, pos, raw, section FROM lines LEFT JOIN aliases ON {_HEADER.format('raw')} = alias),
+placed AS (
+  SELECT source, doc_id, pos, raw, section IS NOT NULL AS is_header,
+    last_value(section IGNORE NULLS) OVER w AS section, count(section) OVER w AS opened
+  FROM marked WINDOW w AS (PARTITION BY source ORDER BY doc_id, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT source, opened, any_value(section) AS section, count(*) FILTER (NOT is_header) AS n_lines,
+  CAST(coalesce(sum(length(raw)) FILTER (NOT is_header), 0) AS BIGINT) AS n_chars,
+  arg_max(doc_id, (doc_id, pos)) AS last_doc, arg_max(raw, (doc_id, pos)) AS last_line
+FROM placed WHERE section IS NOT NULL AND source IS NOT NULL GROUP BY source, opened""",
+)
+def source_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts of a source, in order of doc_id, as one document that no row or task holds."""
+    order = ("doc_id", "pos")
+    lines = line_table(table(spark, sf_dir, "documents"), "source", place=("doc_id",))
+    found = line_sections(lines, LICENSE_SECTIONS, "source", order, parts=128)
+    body, place = F.col("own").isNull(), F.struct(*order)
+    return found.groupBy("source", "opened").agg(
+        F.first("label").alias("section"),
+        F.count_if(body).alias("n_lines"),
+        F.coalesce(F.sum(F.when(body, F.char_length("line"))), F.lit(0)).cast("long").alias("n_chars"),
+        F.max_by("doc_id", place).alias("last_doc"),
+        F.max_by("line", place).alias("last_line"),
+    )
+
+
 @query(
     "B9",
     f"""WITH {_SECTIONS}
