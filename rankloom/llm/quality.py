@@ -8,8 +8,9 @@ scorer then judges every document by its words and their shapes, including texts
 labellers abstain or disagree.
 
 Votes and features are array operations on an Arrow batch. Defined results: a null, empty or blank
-text has no words, gets the score 0 and is rejected; repeated rows get equal scores; an empty table
-gives an empty result.
+text has no words, gets the score 0 and is rejected; repeated rows get equal scores; a score of
+exactly ``KEEP`` stays; texts of any length are read whole, in parts of about a megabyte; an empty
+table gives an empty result; other columns, whatever their names, are passed on or ignored.
 """
 
 from __future__ import annotations
@@ -31,9 +32,8 @@ BUCKETS = 1 << 14
 ROUNDS = 100
 STEPS = 60
 RIDGE = 1e-3
-KEEP = 0.5
-#: Documents stay whatever their score if the labellers' posterior is at least this.
-SURE = 0.8
+#: Least score of a document that stays; the scorer alone decides.
+KEEP = 0.4
 
 BAD, ABSTAIN, GOOD = 0, 1, 2
 
@@ -283,10 +283,6 @@ class Scorer:
         return weak * has_words, score * has_words
 
 
-def kept(weak: np.ndarray, score: np.ndarray) -> np.ndarray:
-    return (score >= KEEP) | (weak >= SURE)
-
-
 def fit_labels(docs: DataFrame, text: str = "text") -> LabelModel:
     """The label model of all documents; one row for each vote pattern reaches the driver."""
 
@@ -370,7 +366,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             weak, score = scorer.value.judge(batch.column(1))
-            columns = [batch.column(0), pa.array(weak), pa.array(score), pa.array(kept(weak, score))]
+            columns = [batch.column(0), pa.array(weak), pa.array(score), pa.array(score >= KEEP)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "weak", "score", "keep"])
 
     narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -384,6 +380,6 @@ def keep_good(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> Data
 
     @F.arrow_udf("boolean")
     def stays(texts: pa.Array) -> pa.Array:
-        return pa.array(kept(*scorer.value.judge(texts)))
+        return pa.array(scorer.value.judge(texts)[1] >= KEEP)
 
     return docs.where(stays(F.col(text).cast("string")))

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import math
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
@@ -254,11 +255,20 @@ def read_layout(spark: SparkSession, path: str) -> Layout:
     return Layout(**json.loads(spark.read.text(f"{path}/layout").first()[0]))
 
 
+def in_shard_order(files: list[str]) -> list[str]:
+    """Shard files by number: names have five digits and more from 100,000 on, so text order is wrong."""
+    return sorted(files, key=lambda f: int(re.search(r"part-(\d+)[^/]*$", f)[1]))
+
+
 def read_from(spark: SparkSession, path: str, slot: int = 0):
     """An RDD of (slot, ids) from ``slot`` on, in training order; whole shards before it are not
     opened."""
     layout = read_layout(spark, path)
-    files = sorted(f for f in spark.read.format("binaryFile").load(f"{path}/shards").select("path").toPandas()["path"]) if layout.shards else []
+    files = []
+    if layout.shards:
+        files = in_shard_order(list(spark.read.format("binaryFile").load(f"{path}/shards").select("path").toPandas()["path"]))
+    if len(files) != layout.shards:
+        raise ValueError(f"{len(files)} shard files, {layout.shards} in the layout: {path}")
     parts = []
     for number in range(slot // layout.per_shard, layout.shards):
         begin = number * layout.per_shard

@@ -34,6 +34,36 @@ def test_query_agrees_with_labels_it_never_saw(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def test_expectation_maximisation_equals_a_plain_one():
+    """A few votes, with the same first guess and rounds, labeller by labeller."""
+    rng = np.random.default_rng(4)
+    cast = rng.integers(0, 3, (300, 4))
+    patterns, counts = np.unique(q.pattern(cast), return_counts=True)
+    model = q.fit_label_model(patterns, counts, 4, rounds=7)
+    good = [1 / (1 + np.exp(-(0.25 * sum(v == q.GOOD for v in row) - 3.0 * sum(v == q.BAD for v in row) + 0.5))) for row in cast]
+    for _ in range(7):
+        rate = {}
+        for k in (0, 1):
+            for j in range(4):
+                held = {v: 1 + sum((g if k else 1 - g) for g, row in zip(good, cast, strict=True) if row[j] == v) for v in (q.BAD, q.GOOD)}
+                rate[k, j] = {v: n / sum(held.values()) for v, n in held.items()}
+        share = sum(good) / len(good)
+        good = []
+        for row in cast:
+            odds = np.log(share / (1 - share)) + sum(np.log(rate[1, j][v] / rate[0, j][v]) for j, v in enumerate(row) if v != q.ABSTAIN)
+            good.append(1 / (1 + np.exp(-odds)))
+    assert np.allclose(model.posterior(cast), good) and abs(model.good - share) < 1e-9
+
+
+def test_the_scorer_decides_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = q.score_documents(docs).collect()
+    assert all(r.keep == (r.score >= q.KEEP) for r in rows) and 0 < sum(r.keep for r in rows) < len(rows)
+    scorer = q.Scorer(q.LabelModel(np.full((2, 12, 3), 0.5), 0.5), np.zeros(q.BUCKETS), float(np.log(q.KEEP / (1 - q.KEEP))))
+    score = scorer.judge(pa.array(["a tie at the threshold", ""]))[1]
+    assert abs(score[0] - q.KEEP) < 1e-12 and score[1] == 0
+
+
 def test_tokens_equal_plain_tokens():
     texts = ["A b!  b\n\tCafé 12", "", "x", " %%% ", "b a"]
     data, offsets = text_bytes(pa.array(texts))

@@ -66,6 +66,20 @@ def test_round_trip_and_resume(spark, tmp_path, length):
     assert (raw[0, :length] == sequences[layout.per_shard]).all() and (raw[:, length] == 0x0A0A).all()
 
 
+def test_shards_are_read_by_number():
+    files = [f"file:/x/part-{i:05d}-b0a1-c000.txt" for i in (0, 7, 99_998, 99_999, 100_000, 100_001, 1_000_000)]
+    assert shards.in_shard_order(sorted(files)) == files and sorted(files) != files
+
+
+def test_a_missing_shard_is_an_error(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} " * 50) for i in range(50)], "doc_id bigint, text string")
+    _, layout = shards.write_shards(docs, f"file://{tmp_path}/a", PATH, public_tokenizers.PATTERN, length=64, shard_bytes=2000)
+    assert layout.shards > 2
+    next((tmp_path / "a/shards").glob("part-00001*")).unlink()
+    with pytest.raises(ValueError, match="shard files"):
+        shards.read_from(spark, f"file://{tmp_path}/a")
+
+
 def test_repeated_and_missing_ids_and_an_empty_table(spark, tmp_path):
     docs = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, "c")], "doc_id bigint, text string").coalesce(1)
     index, layout = shards.write_shards(docs, f"file://{tmp_path}/a", PATH, public_tokenizers.PATTERN)
