@@ -8,7 +8,9 @@ among them is scored in full. So tiles leave out postings, never a match.
 
 from __future__ import annotations
 
+import hashlib
 import math
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -38,26 +40,35 @@ def vectorize(df: DataFrame, id_column: str, text_column: str) -> DataFrame:
     return vectors.withColumn("norm2", squared_norm(F.col("vector")))
 
 
+def _loaded(name: str, load_encoder: Callable) -> Callable:
+    # Tasks get this function by its name, so that all of a worker see the same dictionary.
+    if name not in _ENCODERS:
+        _ENCODERS[name] = load_encoder()
+    return _ENCODERS[name]
+
+
 def encode(
     df: DataFrame,
     text_column: str,
     load_encoder: Callable[[], Callable[[list[str]], np.ndarray]],
     output_column: str = "embedding",
     name: str = "encoder",
+    kind: str = "float",
 ) -> DataFrame:
     """Add dense vectors from a user's encoder, loaded once per Python worker and ``name``.
 
-    The encoder gets whole whitespace-collapsed texts; rows are L2-normalised.
+    The encoder gets whole whitespace-collapsed texts; rows are L2-normalised. ``kind`` is that of
+    the components, float or double.
     """
     from rankloom.functions.text import collapse_whitespace
 
-    @F.pandas_udf("array<float>")
+    number = np.float32 if kind == "float" else np.float64
+
+    @F.pandas_udf(f"array<{kind}>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        if name not in _ENCODERS:
-            _ENCODERS[name] = load_encoder()
-        encoder = _ENCODERS[name]
+        encoder = _loaded(name, load_encoder)
         for texts in batches:
-            raw = np.asarray(encoder(texts.tolist()), dtype=np.float32)
+            raw = np.asarray(encoder(texts.tolist()), dtype=number)
             norms = np.linalg.norm(raw, axis=1, keepdims=True)
             unit = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0)
             yield pd.Series(list(unit))
@@ -65,6 +76,27 @@ def encode(
     return df.withColumn(output_column, run(collapse_whitespace(F.col(text_column))))
 
 
+def hashing_encoder(dimensions: int = 64) -> Callable[[list[str]], np.ndarray]:
+    """An encoder without a model: counts of words by the first four hex digits of their MD5."""
+    places: dict[str, int] = {}
+
+    def place(word: str) -> int:
+        if len(places) > 1_000_000:
+            places.clear()
+        if word not in places:
+            places[word] = int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dimensions
+        return places[word]
+
+    def run(texts: list[str]) -> np.ndarray:
+        rows = np.zeros((len(texts), dimensions))
+        for row, text in zip(rows, texts, strict=True):
+            found = [place(w) for w in re.findall("[a-z0-9]+", text.lower())]
+            row += np.bincount(np.array(found, np.int64), minlength=dimensions)
+        return rows
+
+    return run
+
+
 def pair_similarity(
     pairs: DataFrame, candidates: DataFrame, jobs: DataFrame, vector: str = "embedding"
 ) -> DataFrame:

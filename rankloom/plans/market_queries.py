@@ -9,6 +9,7 @@ from rankloom.functions import text as X
 from rankloom.functions.vectors import candidate_text, job_text
 from rankloom.operators import forest
 from rankloom.operators.features import join_pairs, pair_features
+from rankloom.operators.joins import written
 from rankloom.operators.lines import line_projects, line_table
 from rankloom.operators.labels import exact_holdout, fold, hash_holdout, target_score, with_target
 from rankloom.operators.pairs import unknown_pairs
@@ -32,6 +33,7 @@ from rankloom.operators.review import (
     review,
     score_label,
 )
+from rankloom.operators.similarity import encode, hashing_encoder, pair_similarity
 from rankloom.plans.catalog import query
 from rankloom.plans.market import (
     AS_OF_YEAR,
@@ -364,6 +366,35 @@ def application_features_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame
     return features(spark, sf_dir, small_jobs=False, head=64).select(*_PAIR, *_rounded(FEATURE_COLUMNS))
 
 
+_PLACE = "('0x' || substr(md5(term), 1, 4))::BIGINT % 64"
+
+
+@query(
+    "F3 F5 G1 K1",
+    truth()
+    + f""",
+cd AS (SELECT c, {_PLACE} AS d, sum(tf) AS v FROM ct GROUP BY ALL),
+jd AS (SELECT s, {_PLACE} AS d, sum(tf) AS v FROM jt GROUP BY ALL),
+cl AS (SELECT c, sqrt(sum(v * v)) AS n FROM cd GROUP BY c),
+jl AS (SELECT s, sqrt(sum(v * v)) AS n FROM jd GROUP BY s),
+near AS (SELECT c, s, sum(cd.v * jd.v) / any_value(cl.n * jl.n) AS cosine
+  FROM pairs JOIN cd USING (c) JOIN jd USING (s, d) JOIN cl USING (c) JOIN jl USING (s) GROUP BY c, s)
+SELECT c::VARCHAR AS candidate_id, s::VARCHAR AS job_id, round(least(coalesce(cosine, 0), 1.0), 6) AS semantic_similarity,
+  round(skill_match_percentage, 6) AS skill_match_percentage
+FROM feat LEFT JOIN near USING (c, s)""",
+)
+def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features with similarities from an encoder: vectors of both sides are written and met by id."""
+    mine, theirs = candidates(spark, sf_dir), jobs(spark, sf_dir)
+    vectors = [
+        written(encode(rows.select(key, text.alias("text")), "text", hashing_encoder, kind="double").drop("text"), "vectors")
+        for rows, key, text in ((mine, "candidate_id", candidate_text()), (theirs, "job_id", job_text()))
+    ]
+    pairs = market_applications(spark, sf_dir)
+    rows = pair_features(pairs, mine, theirs, similarity=pair_similarity(pairs, *vectors))
+    return rows.select(*_PAIR, *_rounded(["semantic_similarity", "skill_match_percentage"]))
+
+
 @query(
     "H1",
     truth()

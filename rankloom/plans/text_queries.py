@@ -15,6 +15,8 @@ from rankloom.operators.lines import line_sections, line_table, section_texts
 from rankloom.operators.similarity import top_matches, vectorize
 from rankloom.plans.catalog import query
 from rankloom.plans.market import table
+from rankloom.session import scratch_path
+from rankloom.sources.checked import read_changed, read_checked
 from rankloom.sources.files import assemble_pages, clean_documents
 from rankloom.sources.quarantine import quarantine
 
@@ -593,3 +595,100 @@ def united_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     united = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return united.select("kind", "id", X.token_key(F.col("text")).alias("token_key"))
+
+
+# --- files ----------------------------------------------------------------------
+
+
+def _spoilt_lines(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """Order lines as CSV or JSON text; every 7th is cut, every 11th has a word for the quantity, every
+    13th lacks it, by order and line number."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("o"), F.col("l_linenumber").cast("string").alias("n"),
+        F.col("l_quantity").cast("int").cast("string").alias("q"), (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("k"),
+    )
+    number = F.when(F.col("k") % 11 == 0, F.lit("many")).when(F.col("k") % 13 == 0, F.lit("" if kind == "csv" else "null")).otherwise(F.col("q"))
+    if kind == "csv":
+        whole, cut = F.concat_ws(",", "o", "n", number), F.concat_ws(",", "o", "n")
+    else:
+        head = F.concat(F.lit('{"o":'), "o", F.lit(',"n":'), "n", F.lit(',"q":'))
+        value = F.when(number == "many", F.lit('"many"')).otherwise(number)
+        whole, cut = F.concat(head, value, F.lit("}")), head
+    path = scratch_path(spark, f"spoilt-{kind}")
+    rows.select(F.when(F.col("k") % 7 == 0, cut).otherwise(whole).alias("value")).write.text(path)
+    return path
+
+
+def _both_sides(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    path = _spoilt_lines(spark, sf_dir, kind)
+    accepted, rejects = read_checked(spark, path, "o bigint, n int, q int", kind, ("q",))
+    fine = accepted.select(F.concat_ws(",", "o", "n", "q").alias("record"), F.lit("accepted").alias("reason"))
+    from_there = F.col("source").contains(path.rsplit("/", 1)[1])
+    return fine.unionByName(rejects.where(from_there).select("record", "reason"))
+
+
+def _spoilt_sql(record: str, cut: str, missing: str) -> str:
+    return f"""
+WITH l AS (SELECT l_orderkey AS o, l_linenumber AS n, l_quantity::INT AS q, l_orderkey * 8 + l_linenumber AS k FROM lineitem)
+SELECT CASE WHEN k % 7 = 0 THEN {cut} WHEN k % 11 = 0 THEN {record} WHEN k % 13 = 0 THEN {missing}
+    ELSE o || ',' || n || ',' || q END AS record,
+  CASE WHEN k % 7 = 0 OR k % 11 = 0 THEN 'malformed' WHEN k % 13 = 0 THEN 'incomplete' ELSE 'accepted' END AS reason
+FROM l"""
+
+
+@query("A4 A5", _spoilt_sql("o || ',' || n || ',many'", "o || ',' || n", "o || ',' || n || ','"))
+def checked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV with broken rows, read into what fits and what does not."""
+    return _both_sides(spark, sf_dir, "csv")
+
+
+_JSON = "'{\"o\":' || o || ',\"n\":' || n || "
+
+
+@query("A4 A9", _spoilt_sql(_JSON + "',\"q\":\"many\"}'", _JSON + "',\"q\":'", _JSON + "'}'"))
+def checked_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines with broken rows, read into what fits and what does not."""
+    return _both_sides(spark, sf_dir, "json")
+
+
+def _write_rosters(folder: str, rows: DataFrame) -> None:
+    """One text file for each nation and segment, in order of customer; others stay as they are."""
+    ordered = rows.repartition("nation", "segment").sortWithinPartitions("nation", "segment", "c_custkey")
+    files = ordered.select("nation", "segment", "value")
+    files.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("nation", "segment").text(folder)
+
+
+@query(
+    "A1 A2",
+    """
+WITH r AS (
+  SELECT 1 AS run, c_nationkey AS nation, c_mktsegment AS segment, c_custkey, c_name AS line FROM customer
+  UNION ALL
+  SELECT 2, c_nationkey, c_mktsegment, c_custkey, c_name || ' again' FROM customer WHERE c_nationkey % 3 = 0)
+SELECT run, nation::INT AS nation, segment, md5(string_agg(line, chr(10) ORDER BY c_custkey) || chr(10)) AS text_md5, count(*) AS n_lines
+FROM r GROUP BY run, nation, segment""",
+)
+def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer rosters as files; a second run reads only those that were written anew."""
+    folder, manifests = scratch_path(spark, "rosters"), scratch_path(spark, "manifests")
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"), "c_custkey", F.col("c_name").alias("value")
+    )
+    runs = []
+    for run in (1, 2):
+        if run == 2:
+            rows = rows.where(F.col("nation") % 3 == 0).withColumn("value", F.concat_ws(" ", "value", F.lit("again")))
+        _write_rosters(folder, rows)
+        read = read_changed(spark, folder, manifests)
+        part = lambda name, kind: F.regexp_extract("doc_id", f"{name}=([^/]+)", 1).cast(kind).alias(name)
+        # Read before the next run writes files anew.
+        runs.append(
+            written(
+                read.select(
+                    F.lit(run).alias("run"), part("nation", "int"), part("segment", "string"), F.md5("text").alias("text_md5"),
+                    F.regexp_count("text", F.lit("\n")).cast("long").alias("n_lines"),
+                ),
+                "run",
+            )
+        )
+    return runs[0].unionByName(runs[1])
