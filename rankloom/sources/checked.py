@@ -52,8 +52,8 @@ def changed_files(spark: SparkSession, path: str, glob: str, known: DataFrame |
 
 def read_changed(spark: SparkSession, path: str, manifests: str, glob: str = "*.txt") -> DataFrame:
     """(doc_id, text) of the files that are new or changed since the last run, whose manifest is in the
-    folder ``manifests``; the run's own manifest is added there as the next number. The text of an empty
-    file is empty, that of a file that is not UTF-8 null, which quarantine sets aside.
+    folder ``manifests``; the run's own manifest is added there as the next number. The text of a
+    file that is not UTF-8 is null, which quarantine sets aside; Spark lists no files without bytes.
 
     Only paths come to the driver, which lists folders in any case; files that did not change are
     not opened.
@@ -67,7 +67,6 @@ def read_changed(spark: SparkSession, path: str, manifests: str, glob: str = "*.
     paths = [r["path"] for r in changed_files(spark, path, glob, known).select("path").collect()]
     if not paths:
         return spark.createDataFrame([], "doc_id string, text string")
-    # Unlike the text reader, this one has a row for an empty file as well.
     files = spark.read.format("binaryFile").load(paths)
     text = F.col("content").cast("string")
     return files.select(F.col("path").alias("doc_id"), F.when(F.is_valid_utf8(text), text).alias("text"))

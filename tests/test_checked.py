@@ -44,10 +44,11 @@ def test_only_changed_files_are_read(spark, tmp_path):
     assert read() == {}
     known = manifest(spark, path, "*.txt").collect()
     (tmp_path / "in/b.txt").write_text("two more")
-    (tmp_path / "in/c.txt").write_text("")
+    (tmp_path / "in/c.txt").write_text("three")
+    (tmp_path / "in/e.txt").write_text("")
     (tmp_path / "in/d.txt").write_bytes(b"\xff\xfe caf\xe9")
     os.utime(tmp_path / "in/a.txt", (1, 1))
-    assert read() == {"a.txt": "one", "b.txt": "two more", "c.txt": "", "d.txt": None}
+    assert read() == {"a.txt": "one", "b.txt": "two more", "c.txt": "three", "d.txt": None}
     assert read() == {} and len(known) == 2
     assert changed_files(spark, path, "*.txt", None).count() == 4
 
