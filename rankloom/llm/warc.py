@@ -13,7 +13,8 @@ than a segment, whatever the record's size.
 Payloads of at least ``LEAST_SHARED`` bytes that are equal are stored once, under the largest key;
 the others are ``revisit`` records that name it. Equality is that of length, SHA-1 and a second
 64-bit hash. Defined results: a null payload is empty; a null key or URL is written as an empty
-header and read as null; rows that share the largest key are each a response.
+header and read as null; rows that share the largest key are each a response; payloads of any length
+are cut into segments; an empty table is an archive without records; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankloom.llm.tables import written
-from rankloom.operators.joins import lookup_join
+from rankloom.operators.joins import is_small, lookup_join
 
 END = b"\r\n\r\n"
 SEGMENT = 1 << 20
@@ -34,6 +35,9 @@ LEAST_SHARED = 1000
 #: Fixed values of the format.
 VERSION = b"WARC/1.1"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+#: Date of records whose pages have none.
+EPOCH = "1970-01-01T00:00:00Z"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _KEY = "urn:page:"
 
 RECORDS = "page_id bigint, url string, record_type string, refers_to bigint, segment int, chunk int, data binary, bytes_so_far bigint, digest_so_far string, last boolean, payload_bytes bigint, payload_digest string"
@@ -69,13 +73,14 @@ def _clean(url: str | None) -> str | None:
     return "".join(f"%{ord(c):02X}" if c < " " or c == "\x7f" else c for c in url)
 
 
-def records_of(page_id, url, payload: memoryview, size, digest, refers_to, segment: int) -> Iterator[bytes]:
+def records_of(page_id, url, payload: memoryview, size, digest, refers_to, segment: int, date: str = EPOCH) -> Iterator[bytes]:
     """The records of one page without their ends, one segment at a time."""
     key = "" if page_id is None else page_id
-    common = [("WARC-Target-URI", _clean(url)), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", size)]
+    common = [("WARC-Date", date), ("WARC-Target-URI", _clean(url)), ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", size)]
     if refers_to is not None:
         fields = [("WARC-Type", "revisit"), ("WARC-Record-ID", f"<{_KEY}{key}>"), ("WARC-Refers-To", f"<{_KEY}{refers_to}>")]
-        yield _header([*fields, *common, ("Content-Length", 0)])
+        empty = f"sha1:{hashlib.sha1(b'').hexdigest()}"
+        yield _header([*fields, *common, ("WARC-Profile", PROFILE), ("WARC-Block-Digest", empty), ("Content-Length", 0)])
         return
     count = max(1, -(-size // segment))
     for i in range(count):
@@ -84,9 +89,9 @@ def records_of(page_id, url, payload: memoryview, size, digest, refers_to, segme
         fields = [("WARC-Type", "response" if i == 0 else "continuation")]
         fields += [("WARC-Record-ID", f"<{_KEY}{key}>" if i == 0 else f"<{_KEY}{key}#{i + 1}>")]
         if i == 0:
-            fields += common
+            fields += [*common, ("Content-Type", "application/http; msgtype=response")]
         else:
-            fields += [("WARC-Segment-Origin-ID", f"<{_KEY}{key}>")]
+            fields += [("WARC-Date", date), ("WARC-Segment-Origin-ID", f"<{_KEY}{key}>")]
         if count > 1:
             fields += [("WARC-Segment-Number", i + 1)]
             if i == count - 1:
@@ -95,8 +100,8 @@ def records_of(page_id, url, payload: memoryview, size, digest, refers_to, segme
         yield _header(fields) + block
 
 
-def write_warc(rows: DataFrame, path: str, segment: int = SEGMENT) -> str:
-    """Write the rows of ``with_revisits`` as compressed archives below ``path``."""
+def write_warc(rows: DataFrame, path: str, segment: int = SEGMENT, date: str = EPOCH) -> str:
+    """Write the rows of ``with_revisits`` as compressed archives below ``path``, dated ``date``."""
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +109,7 @@ def write_warc(rows: DataFrame, path: str, segment: int = SEGMENT) -> str:
             for i in range(batch.num_rows):
                 page_id, url, _, size, digest, refers_to = (batch.column(j)[i].as_py() if j != 2 else None for j in range(6))
                 payload = memoryview(batch.column(2)[i].as_buffer())
-                for record in records_of(page_id, url, payload, size, digest, refers_to, segment):
+                for record in records_of(page_id, url, payload, size, digest, refers_to, segment, date):
                     ready.append(record)
                     held += len(record)
                     if held >= 4 * segment:
@@ -134,6 +139,7 @@ class RecordReader:
         self.tail = 0
         self.skip = 0
         self.page: dict = {}
+        self.block = hashlib.sha1()
 
     def _key(self, name: str) -> int | None:
         text = self.fields.get(name, "").strip("<>").removeprefix(_KEY).partition("#")[0]
@@ -144,7 +150,10 @@ class RecordReader:
             if self.missing:
                 block, data = data[: self.missing], data[self.missing :]
                 self.missing -= len(block)
+                self.block.update(block)
                 self._payload(block)
+                if not self.missing:
+                    self._verify()
             elif self.tail:
                 end, data = data[: self.tail], data[self.tail :]
                 if END[-self.tail :][: len(end)] != end:
@@ -189,9 +198,18 @@ class RecordReader:
                 "chunk": 0,
             }
             self.skip = len(HTTP) if kind == "response" else 0
+        self.block = hashlib.sha1()
+        if not self.missing:
+            self._verify()
         if kind == "revisit" or self.page["size"] == 0:
             self._row(b"", True)
 
+    def _verify(self) -> None:
+        """Every record's block has the digest of its header, a whole payload that of its first."""
+        said = self.fields.get("WARC-Block-Digest", "")
+        if said != f"sha1:{self.block.hexdigest()}":
+            raise ValueError(f"the block of {self.fields['WARC-Record-ID']} does not have its digest")
+
     def _payload(self, data: bytes) -> None:
         cut = min(self.skip, len(data))
         self.skip -= cut
@@ -199,6 +217,8 @@ class RecordReader:
             data = data[cut:]
             self.page["sha1"].update(data)
             self.page["bytes"] += len(data)
+            if self.page["bytes"] >= self.page["size"] and self.page["sha1"].hexdigest() != self.page["digest"]:
+                raise ValueError(f"the payload of page {self.page['page_id']} does not have its digest")
             self._row(data, self.page["bytes"] == self.page["size"])
 
     def _row(self, data: bytes, last: bool) -> None:
@@ -209,8 +229,8 @@ class RecordReader:
             (
                 p["page_id"], p["url"], p["record_type"], p["refers_to"], segment, p["chunk"], data, p["bytes"],
                 p["sha1"].hexdigest(), last,
-                p["size"] if whole and last else p["bytes"] if last else None,
-                p["digest"] if whole and last else p["sha1"].hexdigest() if last else None,
+                p["bytes"] if last and not whole else None,
+                p["digest"] if whole else p["sha1"].hexdigest() if last else None,
             )
         )
         p["chunk"] += 1
@@ -220,8 +240,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The chunk rows of all archives below ``path`` (see ``RECORDS``).
 
     ``digest_so_far`` and ``bytes_so_far`` run over a record's chunks; its last chunk also has the
-    whole payload's length and digest. A revisit record is one empty last chunk with those of the
-    payload it stands for.
+    whole payload's length and digest. A revisit record is one empty last chunk with the digest that
+    its header says. A block or payload without the digest of its header is an error.
     """
     pieces = spark.read.option("lineSep", END.decode()).text(path).select(F.col("value").cast("binary").alias("piece"))
 
@@ -260,5 +280,24 @@ def _batch(rows: list) -> pa.RecordBatch:
 
 
 def payload_summary(chunks: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to), one row for each record."""
-    return chunks.where("last").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to), one row for each record.
+
+    Length and digest of a revisit are those of the response read back that it names; without one
+    of the same digest in the archives they are null.
+    """
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    records = written(chunks.where("last").select(*names), "records")
+    revisits = records.where("record_type = 'revisit'")
+    named = written(revisits.select(F.col("refers_to").alias("kept"), F.col("payload_digest").alias("kept_digest")).distinct(), "named")
+    same = (F.col("page_id") == F.col("kept")) & (F.col("payload_digest") == F.col("kept_digest"))
+    # One row for each response that revisits name: a few of the many records.
+    small = is_small(named)
+    wanted = F.broadcast(named) if small else named
+    found = records.where("record_type = 'response'").join(wanted, same, "left_semi")
+    heads = found.groupBy(F.col("page_id").alias("refers_to"), F.col("payload_digest").alias("said")).agg(F.first("payload_bytes").alias("size"))
+    asked = revisits.withColumnRenamed("payload_digest", "said").drop("payload_bytes")
+    met = lookup_join(asked, heads, ["refers_to", "said"], small, "left")
+    whole = met.select(
+        "page_id", F.col("size").alias("payload_bytes"), F.when(F.col("size").isNotNull(), F.col("said")).alias("payload_digest"), "record_type", "refers_to"
+    )
+    return records.where("record_type <> 'revisit'").unionByName(whole)

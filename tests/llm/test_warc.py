@@ -59,6 +59,65 @@ def test_revisits_and_odd_rows(spark, tmp_path):
     assert got == sorted(want, key=repr)
 
 
+def plain_records(raw):
+    """A parser by the published grammar: version, named fields, a block of the given length, two breaks."""
+    at, out = 0, []
+    while at < len(raw):
+        end = raw.index(b"\r\n\r\n", at)
+        version, *lines = raw[at:end].split(b"\r\n")
+        fields = dict(line.decode().split(": ", 1) for line in lines)
+        size = int(fields["Content-Length"])
+        block = raw[end + 4 : end + 4 + size]
+        at = end + 4 + size
+        assert version == b"WARC/1.1" and raw[at : at + 4] == b"\r\n\r\n"
+        at += 4
+        out.append((fields, block))
+    return out
+
+
+def test_records_have_what_the_format_asks_for(spark, tmp_path):
+    rows = [(1, "http://h/1", "a" * 1500), (2, "http://h/2", "a" * 1500), (3, None, None), (4, "http://h/4", "é" * 900)]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").coalesce(1)
+    warc.write_warc(warc.with_revisits(pages), f"file://{tmp_path}/a", 700, "2024-05-06T07:08:09Z")
+    records = plain_records(b"".join(gzip.decompress(p.read_bytes()) for p in sorted(tmp_path.glob("a/part-*"))))
+    bodies = {}
+    for fields, block in records:
+        assert {"WARC-Record-ID", "WARC-Date", "WARC-Type", "Content-Length"} <= set(fields) and fields["WARC-Date"] == "2024-05-06T07:08:09Z"
+        assert fields["WARC-Block-Digest"] == "sha1:" + hashlib.sha1(block).hexdigest()
+        if fields["WARC-Type"] == "revisit":
+            assert fields["WARC-Profile"].startswith("http://netpreserve.org/warc/1.1/revisit/") and not block
+        elif fields["WARC-Type"] == "response":
+            assert fields["Content-Type"] == "application/http; msgtype=response"
+            head, _, body = block.partition(b"\r\n\r\n")
+            assert head.startswith(b"HTTP/1.1 200 OK")
+            bodies[fields["WARC-Record-ID"]] = body
+        else:
+            bodies[fields["WARC-Segment-Origin-ID"]] += block
+    assert bodies == {f"<urn:page:{i}>": (t or "").encode() for i, _, t in rows if i != 1}
+
+
+def test_a_flipped_byte_is_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(1, "http://h", "first " * 50), (2, "http://h", "second " * 50)], "page_id bigint, url string, html string").coalesce(1)
+    warc.write_warc(warc.with_revisits(pages), f"file://{tmp_path}/a")
+    file = next(tmp_path.glob("a/part-*"))
+    raw = gzip.decompress(file.read_bytes())
+    (tmp_path / "b").mkdir()
+    (tmp_path / "b/part-0.txt.gz").write_bytes(gzip.compress(raw.replace(b"second second", b"sfcond second", 1)))
+    assert warc.payload_summary(warc.read_warc(spark, f"file://{tmp_path}/a")).count() == 2
+    with pytest.raises(Exception, match="digest"):
+        warc.payload_summary(warc.read_warc(spark, f"file://{tmp_path}/b")).collect()
+
+
+def test_a_revisit_is_resolved_by_what_is_read_back(spark, tmp_path):
+    body = "a" * 1000
+    pages = spark.createDataFrame([(1, None, body), (7, None, body)], "page_id bigint, url string, html string")
+    chunks = warc.read_warc(spark, warc.write_warc(warc.with_revisits(pages), f"file://{tmp_path}/a"))
+    digest = hashlib.sha1(body.encode()).hexdigest()
+    assert sorted(map(tuple, warc.payload_summary(chunks).collect())) == [(1, 1000, digest, "revisit", 7), (7, 1000, digest, "response", None)]
+    alone = warc.payload_summary(chunks.where("page_id = 1")).collect()
+    assert [tuple(r) for r in alone] == [(1, None, None, "revisit", 7)]
+
+
 def test_empty_table(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id bigint, url string, html string")
     path = warc.write_warc(warc.with_revisits(pages), f"file://{tmp_path}/a")
