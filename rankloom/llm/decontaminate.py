@@ -2,14 +2,15 @@
 
 The items' windows are collected behind a check of their bytes and broadcast as sorted hashes;
 each task scans the word windows of its texts, verifies every hash hit on the words themselves,
-and reports or removes the hit spans. Documents are never shuffled. A test set beyond
+and reports or removes the hit spans, without a shuffle of the documents. A test set beyond
 ``INDEX_BYTES`` is cut into slices by window hash; each slice is one pass over the texts, and only
 when all hits of a text are known is it judged or cut, so the results do not depend on the slices.
 
 Defined results: a null or empty text has no words and no hits; an item without words takes no part;
 an item without id takes none either unless ``unnamed`` is set: it is then hit as any other, and one
-null among the items of a document stands for all items without id; an item of fewer than ``n`` words is one window; repeated items and documents count each
-for itself; with an empty benchmark nothing is hit.
+null among the items of a document stands for all items without id; an item of fewer than ``n``
+words is one window; repeated items and documents count each for itself; with an empty benchmark nothing is hit; texts of any length are searched whole; an empty
+table gives an empty result; other columns, whatever their names, are passed on or ignored.
 """
 
 from __future__ import annotations
@@ -277,8 +278,11 @@ def _apply(
 
         @F.arrow_udf("boolean")
         def stays(*given: pa.Array) -> pa.Array:
-            hits = scan(*given)
-            return pa.array(hits.n_hit <= share * hits.n_words)
+            kept = []
+            for at in range(0, max(1, len(given[0])), BATCH_ROWS):
+                hits = scan(*(g.slice(at, BATCH_ROWS) for g in given))
+                kept.append(hits.n_hit <= share * hits.n_words)
+            return pa.array(np.concatenate(kept))
 
         return found.where(stays(body, *hit)).select(*columns)
     place, schema, width = docs.columns.index(text), docs.schema, len(docs.columns)

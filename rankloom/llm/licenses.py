@@ -9,7 +9,9 @@ mandatory phrases stands in it word for word. Phrase templates (one mandatory ph
 template) take a single anchor, so each place where the phrase stands is found.
 
 All steps are array operations on an Arrow batch; documents are never shuffled. Defined results: a
-null or empty text has no words, no labels and score 0; repeated rows count each for itself.
+null or empty text has no words, no labels and score 0; repeated rows count each for itself; two
+templates at one place are both reported; texts of any length are read whole; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations

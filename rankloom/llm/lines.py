@@ -8,7 +8,8 @@ ones are broadcast, so that the pages of a large host stay where they were read;
 they meet the pages in an equi-join in which adaptive execution splits the large host.
 
 Defined results: a null or empty text has no lines; a page without host keeps all its lines and
-counts for none; repeated pages each count; blank lines are not lines.
+counts for none; repeated pages each count; blank lines are not lines; pages of any length are read
+whole.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ gradients, so no state is rewritten between steps.
 Defined results: a null or empty text has no tokens, the prior as its posterior and, like any
 document, a rate; a null label is no label; a document with several labels trains each; without
 labelled documents all posteriors are even over the targets' domains; domains that no document can
-belong to are left out of the fit.
+belong to are left out of the fit; repeated rows each count; texts of any length are read whole; an
+empty table gives an empty result; other columns, whatever their names, are passed on or ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ query's heap; the tiles' heaps are merged by query. Nothing is left out, so reca
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no
 part, neither does a row without id; vectors of different lengths never meet; a query's own id is
 no candidate of it; repeated rows each count as candidates, query rows that share an id ask as one;
-ties go to the smaller id.
+ties go to the smaller id; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations

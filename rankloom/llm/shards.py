@@ -9,7 +9,8 @@ so any file system will do and a lost executor's shard is written again. Slot s
 s // per_shard at byte (s % per_shard) * stride; a reader resumes at any slot.
 
 A record is ``length`` little-endian 16-bit ids and an end mark of two bytes. Defined results: a
-null or empty text is a lone END; repeated rows each count; an empty table writes no shard.
+null or empty text is a lone END; repeated rows each count; texts of any length run over as many
+sequences as they need; an empty table writes no shard; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -10,7 +10,9 @@ of its remaining bits, and what is still larger into tiles: each of its trees me
 its nodes in a task of its own. Fingerprints, links and components stay in tables.
 
 Defined results: null, empty and blank texts have the zero fingerprint, which links like any
-other; repeated rows share a fingerprint; null ids are ignored for a component's smallest id.
+other; repeated rows share a fingerprint; null ids are ignored for a component's smallest id; texts of
+any length are read whole; an empty table gives an empty result; other columns, whatever their names,
+are passed on by ``keep_one`` and ignored elsewhere.
 """
 
 from __future__ import annotations

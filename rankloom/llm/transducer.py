@@ -14,6 +14,9 @@ Texts of a batch are cut into chunks that advance together, one character a step
 tables. A chunk that begins at white space has a constant state map. Other chunks have their maps
 evaluated on the states that can reach them; maps are composed along each text until every chunk's
 entry state is known, which is exact whatever the chunk borders.
+
+Defined results: a null or empty text has no tokens; repeated rows count each for itself; texts of any
+length are counted whole; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
