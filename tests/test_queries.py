@@ -11,7 +11,8 @@ TEXT = [n for n, e in REGISTRY.items() if e.run.__module__ == text_queries.__nam
 MARKET = [
     "candidate_contacts", "candidate_education", "candidate_certifications", "candidate_projects",
     "candidate_years", "job_records", "matched_and_missing", "single_job_ranking",
-    "application_features", "noisy_labels", "holdout_split", "full_ranking", "top_reports",
+    "application_features", "application_features_shuffled", "encoded_features", "candidate_projects_by_line",
+    "noisy_labels", "holdout_split", "full_ranking", "top_reports",
 ]
 
 
