@@ -568,6 +568,30 @@ def forest_ranking_hold(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "A11",
+    f"""WITH {FACTS}
+SELECT c::VARCHAR AS candidate_id, s::VARCHAR AS job_id, true AS same_score, true AS same_confidence FROM pairs""",
+)
+def reloaded_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every application scored by a fitted forest and by the same forest saved and loaded again.
+
+    The first scores come from the fitted model itself, the second from the loaded one's flat nodes.
+    """
+    rows = _training(spark, sf_dir)
+    model = forest.regressor(trees=20, depth=8).fit(forest.assemble(forest.bounded(rows, _PAIR)))
+    loaded = forest.load_model(forest.save_model(model, scratch_path(spark, "model")))
+    direct = model.transform(forest.assemble(rows)).drop("features")
+    both = forest.predict(loaded, direct)
+    # A forest scores with the mean of its trees; its spread is that of the fitted model's votes.
+    flat = forest.predict(model, direct).select(*_PAIR, F.col(CONFIDENCE).alias("_fitted"))
+    return both.join(flat, list(_PAIR)).select(
+        *_PAIR,
+        (F.abs(F.col("prediction") - F.col(SCORE)) < 1e-9).alias("same_score"),
+        (F.col("_fitted") == F.col(CONFIDENCE)).alias("same_confidence"),
+    )
+
+
 # --- ranking --------------------------------------------------------------------
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,6 +21,7 @@ from rankloom.session import scratch_path
 from rankloom.sources.checked import read_changed, read_checked
 from rankloom.sources.files import assemble_pages, clean_documents
 from rankloom.sources.quarantine import quarantine
+from rankloom.sources.reuse import reuse_by_content
 
 # Recurring lines of the documents, used as section headers.
 LICENSE_SECTIONS = {
@@ -692,3 +695,38 @@ def incremental_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             )
         )
     return runs[0].unionByName(runs[1])
+
+
+@query(
+    "A12",
+    """
+WITH r AS (
+  SELECT 1 AS run, true AS built, c_nationkey AS nation, c_acctbal FROM customer
+  UNION ALL SELECT 2, false, c_nationkey, c_acctbal FROM customer
+  UNION ALL SELECT 3, true, c_nationkey, c_acctbal FROM customer
+  UNION ALL SELECT 3, true, s_nationkey, s_acctbal FROM supplier
+  UNION ALL SELECT 4, true, c_nationkey, c_acctbal FROM customer WHERE c_acctbal >= 0
+  UNION ALL SELECT 4, true, s_nationkey, s_acctbal FROM supplier WHERE s_acctbal >= 0)
+SELECT run, built, nation::INT AS nation, count(*) AS n, round(max(c_acctbal), 2) AS most
+FROM r GROUP BY run, built, nation""",
+)
+def reused_dataset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset by content: built, reused, built again for more files, built again for another filter."""
+    accounts, kept = scratch_path(spark, "accounts"), scratch_path(spark, "kept")
+
+    def rows(name: str, short: str) -> DataFrame:
+        columns = [F.col(f"{short}_nationkey").cast("int").alias("nation"), F.col(f"{short}_acctbal").cast("double").alias("balance")]
+        return table(spark, sf_dir, name).select(*columns)
+
+    def per_nation(least: float | None = None) -> tuple[DataFrame, bool]:
+        read = spark.read.parquet(accounts)
+        read = read if least is None else read.where(F.col("balance") >= least)
+        result = read.groupBy("nation").agg(F.count("*").alias("n"), F.round(F.max("balance"), 2).alias("most"))
+        return reuse_by_content(result, kept, [accounts])
+
+    rows("customer", "c").write.parquet(accounts)
+    runs = [per_nation(), per_nation()]
+    rows("supplier", "s").write.mode("append").parquet(accounts)
+    runs += [per_nation(), per_nation(0.0)]
+    marked = [df.select(F.lit(i).alias("run"), F.lit(built).alias("built"), "*") for i, (df, built) in enumerate(runs, 1)]
+    return reduce(DataFrame.unionByName, marked)

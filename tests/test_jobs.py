@@ -5,7 +5,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from rankloom.operators import forest
-from rankloom.operators.labels import exact_holdout, with_target
+from rankloom.operators.labels import exact_holdout, fold, with_target
 from rankloom.operators.pairs import assign
 from rankloom.operators.ranking import CONFIDENCE, SCORE, confidence, rank_all
 from rankloom.operators.records import parse_candidates, parse_jobs
@@ -151,6 +151,35 @@ def test_importances_are_sorted_and_scaled(spark, trained):
     assert sum(r.importance for r in rows) == pytest.approx(1.0)
 
 
+def test_importances_equal_the_gains_of_the_saved_nodes(spark, trained):
+    path = forest.save_model(trained[1], scratch_path(spark, "model"))
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
+    total = dict.fromkeys(range(12), 0.0)
+    for tree in {n.treeID for n in nodes}:
+        gains = dict.fromkeys(range(12), 0.0)
+        for n in nodes:
+            if n.treeID == tree and n.leftChild >= 0:
+                gains[n.split.featureIndex] += n.gain * n.impurityStats[0]
+        for f, gain in gains.items():
+            total[f] += gain / sum(gains.values())
+    found = {r.feature: r.importance for r in forest.importances(spark, trained[1]).collect()}
+    for f, name in enumerate(FEATURE_COLUMNS):
+        assert found[name] == pytest.approx(total[f] / sum(total.values()), abs=1e-9)
+
+
+def test_fold_errors_equal_single_fits(trained):
+    training, keys = trained[0], ("candidate_id", "job_id")
+    rows = training.withColumn("fold", fold(keys, 3)).cache()
+    errors = []
+    for i in range(3):
+        model = forest.regressor(5, 4).fit(forest.assemble(rows.where(F.col("fold") != i)))
+        tested = model.transform(forest.assemble(rows.where(F.col("fold") == i))).collect()
+        errors.append((sum((r[TARGET_COLUMN] - r.prediction) ** 2 for r in tested) / len(tested)) ** 0.5)
+    mean, deviation = forest.cross_validate(training, keys, 3, 5, 4)
+    # Rows reach the fits in another order, so bootstrap draws differ a little.
+    assert mean == pytest.approx(sum(errors) / 3, rel=0.1) and deviation < 2
+
+
 def test_model_scores_and_reloads(spark, trained):
     training, model, _ = trained
     loaded = forest.load_model(forest.save_model(model, scratch_path(spark, "model")))
