@@ -63,6 +63,60 @@ def test_notice_is_found_with_words_changed(spark):
     assert [n.label for n in got[4].notices] == ["apache-2.0"]
 
 
+def every_place(text, least=0.6):
+    """All alignments of all notices, by trying each place."""
+    words, found = words_of(text), []
+    for t in NOTICES:
+        wanted = t.words.split()
+        for start in range(-len(wanted) + 1, len(words)):
+            same = [0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(wanted)]
+            phrases = [m.split() for m in t.mandatory]
+            places = [next(i for i in range(len(wanted)) if wanted[i : i + len(m)] == m) for m in phrases]
+            whole = any(all(same[p : p + len(m)]) for p, m in zip(places, phrases, strict=True))
+            if whole and sum(same) >= least * len(wanted):
+                found.append((t.label, max(0, start), sum(same) / len(wanted)))
+    return sorted(found)
+
+
+def test_notices_equal_trying_every_place(spark):
+    random.seed(5)
+    rows = []
+    for i in range(160):
+        words = []
+        for t in random.choices(NOTICES, k=random.randint(0, 3)):
+            part = t.words.split()
+            for _ in range(random.randint(0, len(part) // 2)):
+                part[random.randrange(len(part))] = random.choice(["x", "the", "software", random.choice(part)])
+            cut = random.choice([0, 0, 0, random.randint(0, 4)])
+            words += random.choices(["the", "of", "license", "z"], k=random.randint(0, 3)) + part[cut:]
+        rows.append((i, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(2)
+    found = 0
+    for r in scan_licenses(docs).collect():
+        got = sorted((n.label, n.word, round(n.share, 9)) for n in r.notices)
+        assert got == [(label, word, round(share, 9)) for label, word, share in every_place(dict(rows)[r.doc_id])]
+        found += len(got)
+    assert found > 100
+
+
+def test_an_end_of_one_text_is_not_taken_for_the_next(spark):
+    tail = "anything permission is"
+    mit = NOTICES[1].words.split()
+    rows = [(i, text) for i in range(20) for text in (tail, " ".join(mit[2:]))]
+    docs = spark.createDataFrame([(n, t) for n, (_, t) in enumerate(rows)], "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: [(n.label, n.word) for n in r.notices] for r in scan_licenses(docs).collect()}
+    assert all(got[n] == ([("mit", 0)] if n % 2 else []) for n in range(40))
+
+
+def test_texts_are_told_apart(spark):
+    texts = [t for t in NOTICES if len(t.words.split()) > 30]
+    docs = spark.createDataFrame([(i, f"Copyright 2024. {t.words}") for i, t in enumerate(texts)], "doc_id bigint, text string")
+    for r in scan_licenses(docs).collect():
+        whole = {n.label for n in r.notices if n.share == 1.0 and n.word == 2}
+        long = {n.label for n in r.notices} & {t.label for t in texts}
+        assert texts[r.doc_id].label in whole and long == {texts[r.doc_id].label}
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "a " * 200_000 + "cc by"), (None, "cc by cc by"), (4, "cc by"), (4, "cc by")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("notices", F.lit(0))
