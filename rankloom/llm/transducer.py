@@ -11,12 +11,13 @@ White space: a run's pieces merge after all others, leftmost first, with a perio
 run states carry that count. A character without a piece is counted by its bytes.
 
 Texts of a batch are cut into chunks that advance together, one character a step, through flat
-tables. A chunk that begins at white space has a constant state map. Other chunks have their maps
-evaluated on the states that can reach them; maps are composed along each text until every chunk's
-entry state is known, which is exact whatever the chunk borders.
+tables. A chunk that begins at white space has a constant state map. The maps of other chunks hold
+the states that can reach them, with exits and token changes, and compose through a segmented prefix
+scan over all texts of the batch, which is exact whatever the chunk borders.
 
 Defined results: a null or empty text has no tokens; repeated rows count each for itself; texts of any
-length are counted whole; an empty table gives an empty result; other columns are ignored.
+length are counted whole, in one task, whose arrays take about 20 times the bytes of the longest text; an
+empty table gives an empty result; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -301,26 +302,63 @@ class Transducer:
         return np.concatenate(begins), np.concatenate(known)
 
     def _compose(self, symbols, begins, ends, exits, totals, unknown: np.ndarray) -> None:
-        """Compose the state maps of chunks that begin inside a word."""
+        """Exits and totals of the chunks that begin inside a word, from a prefix scan of state maps."""
+        if not len(unknown):
+            return
+        maps = self._maps(symbols, begins, ends, exits, unknown)
+        # A run of such chunks follows a chunk whose exit is known; its first row is the row ``first``.
+        row = np.arange(len(unknown))
+        first = np.maximum.accumulate(np.where(np.diff(unknown, prepend=-2) != 1, row, 0))
+        columns = [{state: i for i, state in enumerate(one)} for one in maps]
+        width = max(map(len, maps))
+        state, to, more = (np.zeros((len(maps), width), np.int64) for _ in range(3))
+        for r, one in enumerate(maps):
+            state[r, : len(one)] = [target for target, _ in one.values()]
+            more[r, : len(one)] = [n for _, n in one.values()]
+            if r + 1 < len(maps) and first[r + 1] != r + 1:
+                to[r, : len(one)] = [columns[r + 1][target] for target, _ in one.values()]
+        entry = np.array([columns[f][int(exits[unknown[f] - 1])] for f in first.tolist()])
+        to, more = prefix_scan(to, more, first)
+        later = row > first
+        column = np.where(later, to[row - 1, entry], entry)
+        exits[unknown] = state[row, column]
+        totals[unknown] = more[row, entry] - np.where(later, more[row - 1, entry], 0)
+
+    def _maps(self, symbols, begins, ends, exits, unknown: np.ndarray) -> list[dict[int, tuple[int, int]]]:
+        """(exit, token change) of each chunk for every state in which it may be entered.
+
+        All chunks first run from the guessed state and from known exits side by side; whatever
+        state a chunk then leaves in is an entry of the next one. Exits soon cease to depend on
+        entries, so few states are added.
+        """
         maps: dict[int, dict[int, tuple[int, int]]] = {int(i): {} for i in unknown}
-        wanted = {(int(i), self.hard) for i in unknown}
-        waiting = [int(i) for i in unknown]
-        while waiting:
-            asked = sorted(wanted)
-            lanes = np.array([i for i, _ in asked], np.int64)
-            after, more = self.run(symbols, begins[lanes], ends[lanes], np.array([s for _, s in asked], np.int64))
-            for (i, s), to, n in zip(asked, after.tolist(), more.tolist(), strict=True):
-                maps[i][s] = (to, n)
-            wanted, left = set(), []
-            for i in waiting:
-                entry = int(exits[i - 1])
-                if entry >= 0 and entry in maps[i]:
-                    exits[i], totals[i] = maps[i][entry]
-                    continue
-                left.append(i)
-                entries = [entry] if entry >= 0 else [to for to, _ in maps[i - 1].values()]
-                wanted |= {(i, s) for s in entries if s not in maps[i]}
-            waiting = left
+        asked = {(i, self.hard) for i in maps} | {(i, int(exits[i - 1])) for i in maps if exits[i - 1] >= 0}
+        while asked:
+            pairs = np.array(sorted(asked), np.int64)
+            after, more = self.run(symbols, begins[pairs[:, 0]], ends[pairs[:, 0]], pairs[:, 1])
+            asked = set()
+            for i, s, target, n in zip(*pairs.T.tolist(), after.tolist(), more.tolist(), strict=True):
+                maps[i][s] = (target, n)
+                if i + 1 in maps:
+                    asked.add((i + 1, target))
+            asked = {(i, s) for i, s in asked if s not in maps[i]}
+        return list(maps.values())
+
+
+def prefix_scan(to: np.ndarray, more: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Maps of rows ``first[r]`` to ``r`` one after another, for all rows in logarithmically many rounds.
+
+    Row ``r`` maps column ``c`` to column ``to[r, c]`` of the next row and adds ``more[r, c]``.
+    """
+    row, reach = np.arange(len(to)), 1
+    while len(rows := row[row - reach >= first]):
+        before = to[rows - reach]
+        added = more[rows - reach] + np.take_along_axis(more[rows], before, 1)
+        moved = np.take_along_axis(to[rows], before, 1)
+        to, more = to.copy(), more.copy()
+        to[rows], more[rows] = moved, added
+        reach *= 2
+    return to, more
 
 
 #: The compiled transducer of a Python worker, kept from task to task.

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
@@ -58,6 +59,28 @@ def test_long_words_compose_chunks(machine, library, monkeypatch):
     equal(machine, library, [t[:700] for t in texts] + ["one two  three   four\nfive"])
 
 
+def test_random_texts_in_short_chunks(machine, library, monkeypatch):
+    monkeypatch.setattr(transducer, "CHUNK", 5)
+    random.seed(8)
+    pieces = sorted(machine.scores)
+    texts = ["".join(random.choices(pieces, k=random.randint(1, 40))).replace("▁", random.choice(["", " "])) for _ in range(400)]
+    equal(machine, library, texts)
+
+
+def test_prefix_scan_equals_one_after_another():
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 3, 17, 64):
+        to, more = rng.integers(0, 4, (n, 4)), rng.integers(0, 9, (n, 4))
+        first = np.maximum.accumulate(np.where(rng.random(n) < 0.15, np.arange(n), 0))
+        reached, added = transducer.prefix_scan(to, more, first)
+        for r in range(n):
+            for c in range(4):
+                column, total = c, 0
+                for i in range(first[r], r + 1):
+                    column, total = to[i, column], total + more[i, column]
+                assert (reached[r, c], added[r, c]) == (column, total)
+
+
 def test_tables_made_anew_give_the_same_counts(machine, library, monkeypatch):
     monkeypatch.setattr(transducer, "MOST_PAGES", 1)
     for _ in range(2):
