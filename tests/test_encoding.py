@@ -69,3 +69,37 @@ def test_pairs_carry_no_text_and_few_bytes(spark, sf_dir):
 def test_no_candidate_shares_a_term(spark, sf_dir):
     pairs = assign(candidates(spark, sf_dir).limit(3), ["nowhere"])
     assert features(spark, sf_dir, pairs).count() == 0
+
+
+@pytest.mark.parametrize("head", [4096, 64, 3])
+def test_digests_and_pair_products_equal_counting(spark, head):
+    """One pass over many rows and many pairs: bits, numbers of rare terms, counts, nulls."""
+    import pyarrow as pa
+
+    from rankloom.functions.bitsets import PairProducts
+
+    random.seed(head)
+    words = [f"w{i}" for i in range(200)]
+    asked = [random.choices(words, weights=range(200, 0, -1), k=k) for k in (0, 1, 30, 900)]
+    terms = [[("l", "list", t, 1) for t in set(a)] + [("c", "count", t, n) for t, n in Counter(a).items()] for a in asked]
+    right = E.written(spark.createDataFrame(list(enumerate(terms)), f"row long, terms {E.TERMS}"), "rows")
+    codes = E.term_codes(right, head)
+    texts = [None, [], *[random.choices(words + ["none"], k=k) for k in (1, 40, 700)]]
+    left = spark.createDataFrame([(i, None if t is None else sorted(set(t)), t) for i, t in enumerate(texts)], "id long, l array<string>, c array<string>")
+    mine = {r.id: r for r in E.digested(left, codes, {"list": "l", "count": "c"}, "count").collect()}
+    theirs = {r["row"]: r.slots for r in E.encode(right, codes).collect()}
+    none = {"bits": [], "numbers": [], "counts": []}
+    width = codes.words["list"]
+    products = PairProducts([(0, 0, width)], (width, width, codes.words["count"]))
+    pairs = [(mine[i], theirs.get(j, {"l": none, "c": none}), t or [], a) for i, t in enumerate(texts) for j, a in enumerate(asked)]
+    columns = [pa.array(v, pa.list_(k)) for v, k in (
+        ([m.bits for m, *_ in pairs], pa.int64()), ([m.numbers for m, *_ in pairs], pa.int64()), ([m.counts for m, *_ in pairs], pa.int32()),
+        ([s["l"]["bits"] + [0] * (width - len(s["l"]["bits"])) + s["c"]["bits"] for _, s, *_ in pairs], pa.int64()),
+        ([s["l"]["numbers"] + s["c"]["numbers"] for _, s, *_ in pairs], pa.int64()),
+        ([s["l"]["counts"] + s["c"]["counts"] for _, s, *_ in pairs], pa.int32()),
+        ([[len(s["l"]["numbers"]), len(s["c"]["numbers"])] for _, s, *_ in pairs], pa.int32()),
+    )]
+    shared, dot = products(*columns)
+    assert shared.tolist() == [len(set(t) & set(a)) for *_, t, a in pairs]
+    assert dot.tolist() == [sum(n * Counter(a)[w] for w, n in Counter(t).items()) for *_, t, a in pairs]
+    assert [mine[i].norm2 for i in range(len(texts))] == [sum(n * n for n in Counter(t or []).values()) for t in texts]
