@@ -84,8 +84,8 @@ def normalize_text(text: Column) -> Column:
 
 def collapse_whitespace(text: Column) -> Column:
     """Single-spaced text; a single space when nothing is left."""
-    joined = F.array_join(split_words(text), " ")
-    return F.when(joined == "", F.lit(" ")).otherwise(joined)
+    joined = F.trim(F.regexp_replace(text, f"[{WHITESPACE}]+", " "))
+    return bind(joined, lambda j: F.when(j == "", F.lit(" ")).otherwise(j))
 
 
 def raw_lines(text: Column) -> Column:
