@@ -85,7 +85,7 @@ def normalize_text(text: Column) -> Column:
 def collapse_whitespace(text: Column) -> Column:
     """Single-spaced text; a single space when nothing is left."""
     joined = F.trim(F.regexp_replace(text, f"[{WHITESPACE}]+", " "))
-    return bind(joined, lambda j: F.when(j == "", F.lit(" ")).otherwise(j))
+    return F.regexp_replace(joined, r"^\z", " ")
 
 
 def raw_lines(text: Column) -> Column:

@@ -262,7 +262,8 @@ def pair_rows(
     if digests is not None:
         digests = digests.withColumnRenamed("norm2", "candidate_norm2")
     else:
-        mine = written(candidate_terms(profile), "candidates")
+        # Written first: Spark does not find a Python function over a conditional text.
+        mine = written(candidate_terms(written(profile, "profiles")), "candidates")
         odd = codes.codes.where(is_project & ~is_plain).select("term") if facts["odd"] else None
         digests = _encoded_candidates(mine, codes, odd, list(keep))
     return join_pairs(pairs.select("candidate_id", "job_id"), digests, _encoded_jobs(asked, codes, list(keep)), small_jobs), codes

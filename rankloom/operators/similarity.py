@@ -60,7 +60,7 @@ def encode(
     The encoder gets whole whitespace-collapsed texts; rows are L2-normalised. ``kind`` is that of
     the components, float or double.
     """
-    from rankloom.functions.text import collapse_whitespace
+    from rankloom.functions.text import split_words
 
     number = np.float32 if kind == "float" else np.float64
 
@@ -73,7 +73,9 @@ def encode(
             unit = np.divide(raw, norms, out=np.zeros_like(raw), where=norms > 0)
             yield pd.Series(list(unit))
 
-    return df.withColumn(output_column, run(collapse_whitespace(F.col(text_column))))
+    # Spark does not find a Python function over ``collapse_whitespace`` of a conditional text.
+    words = F.array_join(split_words(F.col(text_column)), " ")
+    return df.withColumn(output_column, run(F.when(words == "", F.lit(" ")).otherwise(words)))
 
 
 def hashing_encoder(dimensions: int = 64) -> Callable[[list[str]], np.ndarray]:

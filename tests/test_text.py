@@ -91,3 +91,11 @@ def test_bind_is_not_inlined_into_loops(spark):
     df = spark.range(1).select(F.sequence(F.lit(1), F.lit(5)).alias("v"))
     doubled = X.bind(F.transform("v", lambda x: x * 2), lambda d: F.transform(d, lambda x: x + F.size(d)))
     assert df.select(doubled.alias("x")).first().x == [7, 9, 11, 13, 15]
+
+
+def test_blanks_collapse_in_one_evaluation(spark):
+    texts = ["", " \n\u2003", " a\t\u00a0b\n", "a", "a\u2028", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(X.collapse_whitespace(F.col("t")).alias("t"))
+    assert [r.t for r in df.collect()] == [" ", " ", "a b", "a", "a", None]
+    # A condition would have the text cut twice.
+    assert "CASE" not in df._jdf.queryExecution().optimizedPlan().toString()
