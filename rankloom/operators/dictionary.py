@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,43 @@ def text_phrases(documents: DataFrame, words: int, id_column: str, text_column:
     return documents.select(id_column, F.explode(found).alias("phrase"))
 
 
+#: Phrases that tasks look up in a set of their own, at most; more are joined.
+SET_ROWS, SET_BYTES = 200_000, 16 * 1024 * 1024
+#: Runs one space apart, of a lower-cased text.
+_CHAIN = re.compile("[a-z0-9+#.-]+(?: [a-z0-9+#.-]+)*")
+
+
+class PhraseSet:
+    """Phrases by their words, looked up in whole texts."""
+
+    def __init__(self, phrases: list[str]):
+        self.known: dict[int, set] = {}
+        for phrase in phrases:
+            words = tuple(phrase.split(" "))
+            self.known.setdefault(len(words), set()).add(words)
+
+    def found(self, text: str) -> list[str]:
+        """The distinct known phrases of a lower-cased text."""
+        hits: set[tuple[str, ...]] = set()
+        for chain in _CHAIN.findall(text):
+            words = chain.split(" ")
+            for n, known in self.known.items():
+                hits |= known.intersection(zip(*[words[k:] for k in range(n)], strict=False))
+        return [" ".join(h) for h in hits]
+
+
+def known_phrases(documents: DataFrame, phrases: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """The (id, phrase) rows of ``text_phrases`` that are among few ``phrases``: others make no rows."""
+    # Measured small by the caller.
+    known = documents.sparkSession.sparkContext.broadcast(PhraseSet([r["phrase"] for r in phrases.collect()]))
+
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([None if t is None else known.value.found(t) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return documents.select(id_column, F.explode(run(F.lower(F.col(text_column)))).alias("phrase"))
+
+
 #: Characters of the pieces by which odd terms are found.
 GRAM = 3
 
@@ -56,7 +95,8 @@ def match_dictionary(
 ) -> DataFrame:
     """(id, term + the lexicon's other columns) for each lexicon term in a text.
 
-    Terms of term characters and single spaces equal a phrase of the text and are joined on it;
+    Terms of term characters and single spaces equal a phrase of the text and are joined on it, after
+    a look-up in the task that holds the text if they are few;
     ``words`` is their greatest number of words and is measured if not given. Any other term meets
     the texts that hold its rarest piece of ``GRAM`` characters, and a pattern decides. Both are plain
     equi-joins:
@@ -72,7 +112,12 @@ def match_dictionary(
     longest = facts["words"] or 1
     if words is not None and words < longest:
         raise ValueError(f"the lexicon has terms of {longest} words, more than {words}")
-    found = text_phrases(documents, longest, id_column, text_column).join(plain, "phrase").drop("phrase")
+    wanted = written(plain.select("phrase").distinct(), "phrases")
+    if is_small(wanted, SET_ROWS, SET_BYTES):
+        met = known_phrases(documents, wanted, id_column, text_column)
+    else:
+        met = text_phrases(documents, longest, id_column, text_column)
+    found = met.join(plain, "phrase").drop("phrase")
     if not facts["odd"]:
         return found
     return found.unionByName(_odd_matches(documents, odd, id_column, text_column))
