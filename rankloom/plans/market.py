@@ -96,35 +96,36 @@ def _choice(key: Column, values: dict) -> Column:
 
 
 def customer_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per customer: bounded sets, combined before the only exchange."""
-    lineitem = table(spark, sf_dir, "lineitem").select(
+    """One row per customer with orders: bounded sets, combined before their exchange.
+
+    What orders tell is taken from orders alone, and of the lines only those that tell anything go
+    to the joins.
+    """
+    orders = table(spark, sf_dir, "orders")
+    lineitem = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 25).select(
         "l_orderkey", "l_partkey", "l_quantity", "l_returnflag", F.year("l_shipdate").alias("shipped")
     )
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
-    orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"),
-        "o_custkey",
-        "o_orderstatus",
-        "o_orderpriority",
-        F.year("o_orderdate").alias("ordered"),
-    )
-    rows = orders.join(lineitem.join(part, "l_partkey"), "l_orderkey", "left").withColumn(
-        "skill", _skill_order()
-    )
+    owners = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus")
+    rows = owners.join(lineitem.join(part, "l_partkey"), "l_orderkey").withColumn("skill", _skill_order())
     returned = (F.col("l_returnflag") == "R") & (F.col("l_quantity") >= 48)
     project = F.struct(F.col("o_orderstatus").alias("status"), F.col("skill").alias("skill"))
     certified = F.struct(
         F.col("skill.b").alias("b"), F.col("p_brand").alias("brand"), F.col("shipped").alias("year")
     )
-    period = F.struct(F.col("o_orderpriority").alias("priority"), F.col("ordered").alias("year"))
-    return rows.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+    shipped = rows.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         _collected(F.col("skill"), F.col("l_quantity") >= 25).alias("skills"),
         _collected(project, F.col("l_quantity") >= 45).alias("projects"),
         _collected(certified, returned).alias("certified"),
+    )
+    period = F.struct(F.col("o_orderpriority").alias("priority"), F.year("o_orderdate").alias("year"))
+    ordered = orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.sort_array(F.collect_set("o_orderstatus")).alias("statuses"),
         F.sort_array(F.collect_set(period)).alias("periods"),
-        F.min("ordered").alias("first_year"),
+        F.min(F.year("o_orderdate")).alias("first_year"),
     )
+    sets = [F.coalesce(c, F.array().cast(shipped.schema[c].dataType)).alias(c) for c in ("skills", "projects", "certified")]
+    return ordered.join(shipped, "c_custkey", "left").select("c_custkey", *sets, "statuses", "periods", "first_year")
 
 
 def _experience_lines(periods: Column) -> Column:
@@ -230,7 +231,8 @@ def candidate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supplier_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").select(
+    # Other lines are named in no text, nor is a supplier that has no row here.
+    lineitem = table(spark, sf_dir, "lineitem").where(F.col("l_quantity") >= 48).select(
         "l_suppkey", "l_partkey", "l_quantity", "l_returnflag"
     )
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type", "p_brand")
