@@ -214,16 +214,28 @@ def keyed_terms(values: Column) -> Column:
     )
 
 
+def _by_shared_key(have_keys: Column, required: Column, keep) -> Column:
+    """Terms of the keyed terms for which ``keep(shared keys, key)`` holds.
+
+    The keys of both sides meet once, by hash; terms are compared with those shared alone.
+    """
+    shared = F.array_intersect(F.transform(required, lambda r: r["key"]), have_keys)
+    return bind(
+        F.struct(required.alias("required"), shared.alias("shared")),
+        lambda both: F.transform(
+            F.filter(both["required"], lambda r: keep(both["shared"], r["key"])), lambda r: r["term"]
+        ),
+    )
+
+
 def matching_terms(have_keys: Column, required: Column) -> Column:
     """Keyed terms whose key is among ``have_keys``, in required order (semi-join)."""
-    kept = F.filter(required, lambda r: F.array_contains(have_keys, r["key"]))
-    return F.transform(kept, lambda r: r["term"])
+    return _by_shared_key(have_keys, required, F.array_contains)
 
 
 def missing_terms(have_keys: Column, required: Column) -> Column:
     """Keyed terms whose key is not among ``have_keys``, in required order (anti-join)."""
-    kept = F.filter(required, lambda r: ~F.array_contains(have_keys, r["key"]))
-    return F.transform(kept, lambda r: r["term"])
+    return _by_shared_key(have_keys, required, lambda shared, key: ~F.array_contains(shared, key))
 
 
 def match_ratio(have_keys: Column, required_keys: Column) -> Column:

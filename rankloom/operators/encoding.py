@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from rankloom.functions.bitsets import flat_words, list_values, trimmed
 from rankloom.operators.joins import is_small, lookup_join, written
@@ -191,3 +191,25 @@ def digested(rows: DataFrame, codes: TermCodes, lists: dict[str, str], counted:
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], *found.flatten()], names=[*names, *(f.name for f in found.type)])
 
     return rows.mapInArrow(run, StructType([*plain, *StructType.fromDDL(DIGEST)]))
+
+
+def numbered(rows: DataFrame, vocabulary: list[str], columns: list[str]) -> DataFrame:
+    """``rows`` with places in ``vocabulary`` in place of the terms of its array<string> ``columns``, in
+    their order; terms that are not in it are left out, null lists stay null."""
+    schema = StructType([StructField(f.name, ArrayType(IntegerType())) if f.name in columns else f for f in rows.schema])
+    known = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+    def places(lists: pa.Array, every: pa.Array) -> pa.Array:
+        flat, owner = list_values(lists)
+        place = pc.index_in(flat, value_set=every.cast(flat.type))
+        owner = owner[pc.is_valid(place).to_numpy(zero_copy_only=False)]
+        ends = np.searchsorted(owner, np.arange(len(lists) + 1)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), place.drop_null(), mask=pc.is_null(lists))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        every = pa.array(known.value, pa.string())
+        for batch in batches:
+            found = [places(batch.column(f.name), every) if f.name in columns else batch.column(f.name) for f in schema]
+            yield pa.RecordBatch.from_arrays(found, names=[f.name for f in schema])
+
+    return rows.mapInArrow(run, schema)

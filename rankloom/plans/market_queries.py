@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from rankloom.functions import text as X
 from rankloom.functions.vectors import candidate_text, job_text
 from rankloom.operators import forest
+from rankloom.operators.encoding import numbered
 from rankloom.operators.features import join_pairs, pair_features
-from rankloom.operators.joins import written
+from rankloom.operators.joins import is_small, written
 from rankloom.operators.lines import line_projects, line_table
 from rankloom.operators.labels import exact_holdout, fold, hash_holdout, target_score, with_target
 from rankloom.operators.pairs import unknown_pairs
@@ -304,20 +305,42 @@ FROM pairs p LEFT JOIN have USING (c) LEFT JOIN need USING (s) LEFT JOIN every U
 def matched_and_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Matched skills of required-then-preferred, missing required skills."""
     wanted = F.concat("required_skills", "preferred_skills")
-    rows = join_pairs(
-        market_applications(spark, sf_dir),
-        candidates(spark, sf_dir).select("candidate_id", X.term_keys(F.col("skills")).alias("keys")),
-        jobs(spark, sf_dir).select(
-            "job_id",
-            X.keyed_terms(wanted).alias("wanted"),
-            X.keyed_terms(F.col("required_skills")).alias("required"),
-        ),
+    asked = jobs(spark, sf_dir).select(
+        "job_id",
+        X.keyed_terms(wanted).alias("wanted"),
+        X.keyed_terms(F.col("required_skills")).alias("required"),
+    )
+    own = candidates(spark, sf_dir).select("candidate_id", X.term_keys(F.col("skills")).alias("keys"))
+    return matched_and_missing_terms(market_applications(spark, sf_dir), own, asked)
+
+
+def matched_and_missing_terms(pairs: DataFrame, own: DataFrame, asked: DataFrame) -> DataFrame:
+    """Pairs of candidates with ``keys`` and jobs with keyed terms ``wanted`` and ``required``, which are
+    among the wanted. Pairs carry keys by number if the jobs' keys are few."""
+    asked = written(asked, "jobs")
+    every = written(asked.select(F.explode("wanted.key").alias("key")).distinct(), "vocabulary")
+    parts = asked.select(
+        "job_id",
+        *[F.col(f"{c}.{f}").alias(f"{c}_{f}s") for c in ("wanted", "required") for f in ("key", "term")],
     )
+    if is_small(every):
+        # Measured small.
+        vocabulary = [r["key"] for r in every.orderBy("key").collect()]
+        own = numbered(own, vocabulary, ["keys"])
+        parts = numbered(parts, vocabulary, ["wanted_keys", "required_keys"])
+    rows = join_pairs(pairs, own, parts)
+
+    def told(terms: str, keys: str, keep) -> Column:
+        # One set of shared keys for each pair, which is short; terms stand at the places of their keys.
+        shared = F.array_intersect("wanted_keys", "keys")
+        kept = X.bind(shared, lambda s: F.filter(F.col(terms), lambda _, i: keep(s, F.get(F.col(keys), i))))
+        return F.array_join(kept, ", ")
+
     return rows.select(
         *_PAIR,
-        F.array_join(X.matching_terms(F.col("keys"), F.col("wanted")), ", ").alias("matched"),
-        F.array_join(X.missing_terms(F.col("keys"), F.col("required")), ", ").alias("missing"),
-        F.size("wanted").cast("long").alias("n_wanted"),
+        told("wanted_terms", "wanted_keys", F.array_contains).alias("matched"),
+        told("required_terms", "required_keys", lambda s, key: ~F.array_contains(s, key)).alias("missing"),
+        F.size("wanted_terms").cast("long").alias("n_wanted"),
     )
 
 
@@ -391,13 +414,13 @@ SELECT c::VARCHAR AS candidate_id, s::VARCHAR AS job_id, round(least(coalesce(co
 FROM feat LEFT JOIN near USING (c, s)""",
 )
 def encoded_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features with similarities from an encoder: vectors of both sides are written and met by id."""
+    """Features with similarities from an encoder: vectors of both sides are written and meet in tiles."""
     mine, theirs = candidates(spark, sf_dir), jobs(spark, sf_dir)
     vectors = [
         written(encode(rows.select(key, text.alias("text")), "text", hashing_encoder, kind="double").drop("text"), "vectors")
         for rows, key, text in ((mine, "candidate_id", candidate_text()), (theirs, "job_id", job_text()))
     ]
-    pairs = market_applications(spark, sf_dir)
+    pairs = written(market_applications(spark, sf_dir), "pairs")
     rows = pair_features(pairs, mine, theirs, similarity=pair_similarity(pairs, *vectors))
     return rows.select(*_PAIR, *_rounded(["semantic_similarity", "skill_match_percentage"]))
 
