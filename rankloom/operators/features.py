@@ -266,7 +266,7 @@ def pair_rows(
         mine = written(candidate_terms(written(profile, "profiles")), "candidates")
         odd = codes.codes.where(is_project & ~is_plain).select("term") if facts["odd"] else None
         digests = _encoded_candidates(mine, codes, odd, list(keep))
-    return join_pairs(pairs.select("candidate_id", "job_id"), digests, _encoded_jobs(asked, codes, list(keep)), small_jobs), codes
+    return join_pairs(pairs, digests, _encoded_jobs(asked, codes, list(keep)), small_jobs), codes
 
 
 def pair_features(
@@ -288,6 +288,10 @@ def pair_features(
     which is measured if not given.
     """
     own_vectors = similarity is None
+    pairs = pairs.select("candidate_id", "job_id")
+    if not own_vectors:
+        # Pairs get theirs while they are narrow.
+        pairs = pairs.join(similarity, ["candidate_id", "job_id"], "left")
     rows, codes = pair_rows(pairs, candidates, jobs, candidate_text, job_text, own_vectors, keep, small_jobs, head)
     starts, slots, at = codes.offsets(KINDS), [], 0
     for kind in JOB_SLOTS.values():
@@ -303,7 +307,6 @@ def pair_features(
     if own_vectors:
         cosine = clipped_cosine(F.col("_found")["dot"], F.col("candidate_norm2"), F.col("job_norm2"))
     else:
-        rows = rows.join(similarity, ["candidate_id", "job_id"], "left")
         cosine = F.coalesce("semantic_similarity", F.lit(0.0))
     ratio = lambda slot: share(hits(slot), F.col(f"n_{slot}"))
     years, wanted_years = F.col("candidate_years"), F.col("required_years")

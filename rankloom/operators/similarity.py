@@ -17,12 +17,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
-from rankloom.functions.vectors import dense_cosine, squared_norm, term_vector
+from rankloom.functions.vectors import squared_norm, term_vector
 from rankloom.vocabulary import TARGET_WEIGHTS
 
 #: Encoders by name, kept by a Python worker from task to task.
@@ -99,18 +99,103 @@ def hashing_encoder(dimensions: int = 64) -> Callable[[list[str]], np.ndarray]:
     return run
 
 
+#: Vectors of either side, and pairs, that a tile of ``pair_similarity`` holds, about.
+TILE_CANDIDATES, TILE_JOBS, TILE_PAIRS = 65_536, 131_072, 1_000_000
+
+
+def _vector_rows(lists: pa.Array) -> list[np.ndarray | None]:
+    """A vector for each list; None for one that is null or has a null component."""
+    whole = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    ends = whole.offsets.to_numpy()
+    flat = whole.values
+    holes = np.concatenate([[0], np.cumsum(pc.is_null(flat).to_numpy(zero_copy_only=False))])
+    values = pc.fill_null(flat.cast(pa.float64()), 0.0).to_numpy(zero_copy_only=False)
+    bad = pc.is_null(whole).to_numpy(zero_copy_only=False) | (holes[ends[1:]] > holes[ends[:-1]])
+    return [None if bad[i] else values[ends[i] : ends[i + 1]] for i in range(len(whole))]
+
+
+def _ordered_dot(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Products of columns, summed in order as ``vectors.dense_dot`` does."""
+    total = np.zeros(first.shape[1])
+    for a, b in zip(first, second, strict=True):
+        total = total + a * b
+    return total
+
+
+def tile_cosines(pairs: pa.Table, candidates: pa.Table, jobs: pa.Table) -> pa.Table:
+    """Pairs of a tile with their cosines: each with every row of its ids, as a join has it."""
+    mine, theirs = _vector_rows(candidates.column("vector")), _vector_rows(jobs.column("vector"))
+    left = pd.DataFrame({"candidate_id": candidates.column("candidate_id").to_pandas(), "mine": np.arange(len(mine))})
+    right = pd.DataFrame({"job_id": jobs.column("job_id").to_pandas(), "theirs": np.arange(len(theirs))})
+    met = pairs.select(["candidate_id", "job_id"]).to_pandas().merge(left, "inner", "candidate_id").merge(right, "inner", "job_id")
+    cosine = np.zeros(len(met))
+    sizes = [np.array([-1 if v is None else len(v) for v in side], np.int64) for side in (mine, theirs)]
+    norms = [np.zeros(len(side)) for side in (mine, theirs)]
+    owners = [met["mine"].to_numpy(), met["theirs"].to_numpy()]
+    with np.errstate(all="ignore"):
+        parts = []
+        for side, of, norm in zip((mine, theirs), sizes, norms, strict=True):
+            # Vectors of one length, component by component.
+            parts.append({})
+            for size in set(of.tolist()) - {-1}:
+                at = np.flatnonzero(of == size)
+                columns = np.array([side[i] for i in at]).reshape(len(at), size).T.copy()
+                norm[at] = _ordered_dot(columns, columns)
+                parts[-1][size] = at, columns
+        positive = ~(norms[0][owners[0]] <= 0) & ~(norms[1][owners[1]] <= 0)
+        # As in Spark: what is no number or of different lengths counts as greatest.
+        cosine[positive] = 1.0
+        for size in set(parts[0]) & set(parts[1]):
+            at = np.flatnonzero(positive & (sizes[0][owners[0]] == size) & (sizes[1][owners[1]] == size))
+            rows = [np.searchsorted(part[size][0], owner[at]) for part, owner in zip(parts, owners, strict=True)]
+            dot = np.zeros(len(at))
+            for a, b in zip(parts[0][size][1], parts[1][size][1], strict=True):
+                dot = dot + a[rows[0]] * b[rows[1]]
+            found = dot / (np.sqrt(norms[0][owners[0][at]]) * np.sqrt(norms[1][owners[1][at]]))
+            cosine[at] = np.where(np.isnan(found), 1.0, np.clip(found, 0.0, 1.0))
+    ids = [pa.array(met[c], pairs.schema.field(c).type) for c in ("candidate_id", "job_id")]
+    return pa.Table.from_arrays([*ids, pa.array(cosine)], names=["candidate_id", "job_id", "semantic_similarity"])
+
+
 def pair_similarity(
     pairs: DataFrame, candidates: DataFrame, jobs: DataFrame, vector: str = "embedding"
 ) -> DataFrame:
     """(candidate_id, job_id, semantic_similarity) from tables of dense vectors.
 
-    The table that ``features.pair_features`` takes as ``similarity``.
+    The table that ``features.pair_features`` takes as ``similarity``. Pairs travel by id alone:
+    blocks of candidates and blocks of jobs meet in tiles, so that a vector moves once for each block
+    of the other side and not with every pair. All three should be written tables; they are counted.
     """
-    mine = candidates.select("candidate_id", F.col(vector).alias("_mine"))
-    theirs = jobs.select("job_id", F.col(vector).alias("_theirs"))
-    met = pairs.select("candidate_id", "job_id").join(mine, "candidate_id").join(theirs, "job_id")
-    cosine = dense_cosine(F.col("_mine"), F.col("_theirs"))
-    return met.select("candidate_id", "job_id", cosine.alias("semantic_similarity"))
+    n_pairs, n_mine, n_theirs = pairs.count(), candidates.count(), jobs.count()
+    theirs_in = max(1, math.ceil(n_theirs / TILE_JOBS))
+    tiles = max(math.ceil(n_pairs / TILE_PAIRS), pairs.sparkSession.sparkContext.defaultParallelism)
+    mine_in = max(1, math.ceil(n_mine / TILE_CANDIDATES), math.ceil(tiles / theirs_in))
+
+    def block(key: str, blocks: int) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+
+    ids = {c: pairs.schema[c].dataType for c in ("candidate_id", "job_id")}
+    lists = F.col(vector).cast("array<double>").alias("vector")
+    tiled = pairs.where("candidate_id IS NOT NULL AND job_id IS NOT NULL").select(
+        block("candidate_id", mine_in).alias("a"), block("job_id", theirs_in).alias("b"), "candidate_id", "job_id"
+    )
+
+    def side(rows: DataFrame, key: str) -> DataFrame:
+        keyed = rows.where(F.col(key).isNotNull()).withColumn(key, F.col(key).cast(ids[key]))
+        placed = (block(key, mine_in).alias("a"), every(theirs_in).alias("b")) if key == "candidate_id" else (every(mine_in).alias("a"), block(key, theirs_in).alias("b"))
+        return keyed.select(*placed, *[F.col(c) if c == key else F.lit(None).cast(t).alias(c) for c, t in ids.items()], lists)
+
+    vectors = side(candidates, "candidate_id").unionByName(side(jobs, "job_id"))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        is_mine = pc.is_valid(right.column("candidate_id"))
+        return tile_cosines(left, right.filter(is_mine), right.filter(pc.invert(is_mine)))
+
+    schema = StructType([*[StructField(c, t) for c, t in ids.items()], StructField("semantic_similarity", DoubleType())])
+    return tiled.groupBy("a", "b").cogroup(vectors.groupBy("a", "b")).applyInArrow(run, schema)
 
 
 def _flat(lists: pa.ChunkedArray) -> tuple[pa.Array, np.ndarray]:
