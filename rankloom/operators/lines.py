@@ -33,7 +33,9 @@ def carried(lines: DataFrame, label: Column, key: str = "doc_id", order: tuple[s
     """``lines`` with ``own`` label, ``label`` of the last labelled line down to this one, and
     ``opened``, the number of labelled lines down to this one."""
     marked = lines.where(F.col(key).isNotNull()).withColumn("own", label)
-    parts = max(1, lines.count() // PART_LINES) if parts is None else parts
+    # Ranges are cut by a pass of their own, which is not to make the lines again.
+    marked = written(marked, "marked")
+    parts = max(1, marked.count() // PART_LINES) if parts is None else parts
     dealt = marked.repartitionByRange(parts, key, *order)
     # Written with their numbers, parts stay the same whatever is computed again.
     rows = written(dealt.withColumn("part", F.spark_partition_id()), "lines")

@@ -11,6 +11,7 @@ from rankloom.functions.vectors import dense_cosine
 from rankloom.operators import dictionary as match
 from rankloom.operators import similarity
 from rankloom.operators.encoding import numbered
+from rankloom.operators.lines import carried
 from rankloom.plans import market, market_queries
 from tests.test_queries import plan_of
 
@@ -96,3 +97,18 @@ def test_dense_similarity_in_tiles_equals_the_join(spark, monkeypatch):
     got, expected = order(found), order(plain)
     assert len(got) == len(expected) and [g[:2] for g in got] == [e[:2] for e in expected]
     assert all(g[2] == pytest.approx(e[2]) for g, e in zip(got, expected, strict=True))
+
+
+def test_lines_are_made_once(spark):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(line):
+        made.add(1)
+        return line
+
+    lines = spark.range(40).select(F.lit("d").alias("doc_id"), F.col("id").alias("pos"), F.col("id").cast("string").alias("line"))
+    label = F.when(seen(F.col("line")) == "3", F.lit("three"))
+    got = carried(lines, label, parts=3).orderBy("pos").collect()
+    assert [r.label for r in got] == [None] * 3 + ["three"] * 37
+    assert made.value == 40
