@@ -239,6 +239,23 @@ def test_query_trains_on_all_pairs(spark, monkeypatch):
     assert given == [(20_000, forest.FIT_ROWS)]
 
 
+def test_fits_of_the_queries_see_all_rows(trained, monkeypatch):
+    training, keys = trained[0], ("candidate_id", "job_id")
+    seen = []
+
+    class Counting:
+        def fit(self, rows):
+            seen.append(rows.count())
+            return trained[1]
+
+    wide = training.crossJoin(training.sparkSession.range(60).select(F.col("id").cast("string").alias("n")))
+    wide = wide.withColumn("candidate_id", F.concat_ws("-", "candidate_id", "n")).drop("n")
+    monkeypatch.setattr(forest, "regressor", lambda *a, **b: Counting())
+    forest.train(wide, keys, folds=2, most=forest.FIT_ROWS)
+    # 80 % of 24,000 rows, then all rows outside of each fold.
+    assert sorted(seen)[-1] == 19_200 and sum(seen) == 19_200 + 24_000
+
+
 def test_confidence_uses_single_trees(spark, trained):
     training, model, _ = trained
     rows = forest.assemble(training).limit(20)
