@@ -103,3 +103,29 @@ def test_digests_and_pair_products_equal_counting(spark, head):
     assert shared.tolist() == [len(set(t) & set(a)) for *_, t, a in pairs]
     assert dot.tolist() == [sum(n * Counter(a)[w] for w, n in Counter(t).items()) for *_, t, a in pairs]
     assert [mine[i].norm2 for i in range(len(texts))] == [sum(n * n for n in Counter(t or []).values()) for t in texts]
+
+
+def test_digests_of_texts_equal_those_of_their_lists(spark):
+    """Terms cut from texts in the digesting pass are those that the expressions cut."""
+    from rankloom.functions.dictionary import phrases, runs
+    from rankloom.functions.text import term_keys
+    from rankloom.functions.vectors import tokens
+    from rankloom.operators.features import SOURCE_FORMS
+
+    texts = [None, "", "Go go GO! c++ 3 go", "İstanbul ½ Σας go Ⅷ naïve", "big data tools. Big  data", "\u212aotlin x"]
+    lists = [None, [], ["C++", "c++ ", "!", "Big Data"], ["\u212aotlin", "go", None], ["tools", "Tools."], ["x"]]
+    known = {"skill": ["c++", "big data", "kotlin", "go", "tools"], "certificate": ["go"],
+             "project": ["big data", "data tools", "go", "x", "3 go"], "text": ["go", "istanbul", "½", "na", "naïve", "3", "kotlin", "ⅷ"]}
+    asked = [(0, [(k, k, t, 1) for k, ts in known.items() for t in ts])]
+    for head in (4096, 1):
+        codes = E.term_codes(E.written(spark.createDataFrame(asked, f"row long, terms {E.TERMS}"), "rows"), head)
+        rows = spark.createDataFrame(list(zip(range(6), lists, texts, strict=True)), "id long, l array<string>, t string")
+        keys, lowered, whole = term_keys(F.col("l")), F.lower("t"), F.col("t")
+        pieces = F.array_distinct(F.concat(phrases(runs(lowered), 1), phrases(runs(lowered), 2)))
+        plain = rows.select("id", *[c.alias(k) for k, c in zip(known, (keys, keys, pieces, tokens(whole)), strict=True)])
+        is_ascii = F.octet_length(whole) == F.char_length(whole)
+        text = F.struct(F.when(is_ascii, whole).alias("ascii"), F.when(~is_ascii, tokens(whole)).alias("tokens"))
+        sources = rows.select("id", *[c.alias(k) for k, c in zip(known, (F.col("l"), F.col("l"), lowered, text), strict=True)])
+        columns = {k: k for k in known}
+        expected = sorted(E.digested(plain, codes, columns, "text").collect())
+        assert sorted(E.digested(sources, codes, columns, "text", SOURCE_FORMS).collect()) == expected
