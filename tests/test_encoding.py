@@ -129,3 +129,24 @@ def test_digests_of_texts_equal_those_of_their_lists(spark):
         columns = {k: k for k in known}
         expected = sorted(E.digested(plain, codes, columns, "text").collect())
         assert sorted(E.digested(sources, codes, columns, "text", SOURCE_FORMS).collect()) == expected
+
+
+def test_best_pairs_get_their_facts_after_the_ranking(spark):
+    """Rows with the same id keep their own facts, and what is ranked carries none."""
+    from rankloom.operators.features import ROW_NUMBERS, numbered_rows, pair_features, with_facts
+    from rankloom.operators.ranking import rank_top, score_by_formula
+    from rankloom.operators.records import parse_candidates, parse_jobs
+    from rankloom.operators.review import REVIEW_COLUMNS, reports
+
+    resumes = [("a", "Ann Lee\nSkills\nJava, Docker"), ("a", "Ann Lee\nSkills\nPython"), ("b", "Bob Ray\nSkills\nSQL"), (None, "x")]
+    texts = [("j", "Developer\nRequirements\nJava, SQL"), ("k", "Tester\nRequirements\nPython")]
+    schema = "doc_id string, text string"
+    mine = parse_candidates(spark.createDataFrame(resumes, schema), as_of_year=2026)
+    theirs = parse_jobs(spark.createDataFrame(texts, schema))
+    pairs = spark.createDataFrame([(c, j) for c in ("a", "b", None) for j in ("j", "k")], "candidate_id string, job_id string")
+    wide = reports(rank_top(score_by_formula(pair_features(pairs, mine, theirs, keep=REVIEW_COLUMNS)), 2)).collect()
+    mine, theirs = numbered_rows(mine, "candidate_row"), numbered_rows(theirs, "job_row")
+    best = rank_top(score_by_formula(pair_features(pairs, mine, theirs, keep=ROW_NUMBERS)), 2)
+    assert not set(REVIEW_COLUMNS) & set(best.columns)
+    found = reports(with_facts(best, mine, theirs, REVIEW_COLUMNS)).collect()
+    assert len(found) == 4 and sorted(found) == sorted(wide)
